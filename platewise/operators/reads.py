@@ -231,22 +231,24 @@ def duplicate_reads(reads: DataFrame) -> DataFrame:
     )
 
 
-def position_counts(reads: DataFrame) -> DataFrame:
+def position_counts(reads: DataFrame, bin_width: int = 1) -> DataFrame:
     """Bases per sample, mate, position, base class (A, C, G, T, N for others) and quality score.
 
-    This is the only step over single bases; its partial aggregation leaves each map task with at most
-    positions x classes x scores rows per sample.
+    Positions are 0-based; with ``bin_width`` they are grouped under the first position of their bin,
+    as long reads are. This is the only step over single bases; its partial aggregation leaves each map
+    task with at most positions x classes x scores rows per sample.
     """
     def mate(n: int) -> DataFrame:
         symbols = F.posexplode(F.arrays_zip(F.split(f"seq{n}", "").alias("b"), F.split(f"qual{n}", "").alias("q")))
         return reads.where(F.length(f"seq{n}") > 0).select(
-            *SAMPLE_KEY, F.lit(f"R{n}").alias("mate"), symbols.alias("pos", "x")
+            *SAMPLE_KEY, F.lit(f"R{n}").alias("mate"), symbols.alias("at", "x")
         )
 
     code = F.instr(F.lit("ACGT"), F.upper("x.b"))
+    position = (F.col("at") - F.col("at") % bin_width).alias("pos")
     counted = (
         mate(1).unionByName(mate(2))
-        .groupBy(*SAMPLE_KEY, "mate", "pos", code.alias("code"), (F.ascii("x.q") - sq.PHRED_OFFSET).alias("quality"))
+        .groupBy(*SAMPLE_KEY, "mate", position, code.alias("code"), (F.ascii("x.q") - sq.PHRED_OFFSET).alias("quality"))
         .agg(F.count("*").alias("n"))
     )
     base = F.when(F.col("code") == 0, "N").otherwise(F.substr(F.lit("ACGT"), F.col("code"), F.lit(1)))
