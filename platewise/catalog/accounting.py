@@ -13,7 +13,7 @@ from platewise.functions.text import base_name, expand_template, format_runtime,
 from platewise.operators import accounting as acc
 from platewise.operators import hooks
 from platewise.operators.reads import metric_matrix
-from platewise.session import shared_path
+from platewise.session import checkpointed, shared_path
 from platewise.sources.text import parse_resource_reports, parse_status_log
 from platewise.streaming.progress import read_progress, stream_progress, write_progress
 
@@ -93,7 +93,7 @@ SELECT run_id, tool, count(*) AS missing_count,
   string_agg(sample_id, ', ' ORDER BY rn) FILTER (rn <= 5) || CASE WHEN count(*) > 5 THEN '...' ELSE '' END AS preview
 FROM ranked GROUP BY ALL""")
 def q11(spark, sf_dir):
-    pending = q07(spark, sf_dir).where(F.col("sample_id").isNotNull())
+    pending = checkpointed(q07(spark, sf_dir).where(F.col("sample_id").isNotNull()))
     return acc.missing_preview(pending, ["run_id", "tool"])
 
 
@@ -135,7 +135,7 @@ DIGITS = {"mean_memory_gb": 3, "max_memory_gb": 3, "mean_cpu_cores": 1, "max_cpu
 
 
 def _rounded(df):
-    return df.withColumns({c: round_binary_half_even(F.col(c), n) for c, n in DIGITS.items()})
+    return df.withColumns({c: round_binary_half_even(c, n) for c, n in DIGITS.items()})
 
 
 @query("q12_resource_usage", f"WITH {USAGE_SQL} SELECT run_id, tool, execution_mode, n_ran, {ROUNDED} FROM usage")
@@ -178,9 +178,9 @@ RUNTIME_TEXT = """CASE WHEN s < 60 THEN printf('%.1f', s) || ' seconds'
 @query("q14_runtime_text", f"""SELECT o_orderkey, {RUNTIME_TEXT} AS runtime, {RUNTIME_TEXT.replace('s <', 'z <').replace("', s", "', z").replace('(s', '(z')} AS short_runtime
 FROM (SELECT o_orderkey, o_totalprice / 10 AS s, o_totalprice / 7000 AS z FROM orders)""")
 def q14(spark, sf_dir):
-    price = F.col("o_totalprice")
     return st.load(spark, sf_dir, "orders").select(
-        "o_orderkey", format_runtime(price / 10).alias("runtime"), format_runtime(price / 7000).alias("short_runtime")
+        "o_orderkey", format_runtime("o_totalprice / 10").alias("runtime"),
+        format_runtime("o_totalprice / 7000").alias("short_runtime"),
     )
 
 
@@ -258,14 +258,13 @@ def q28(spark, sf_dir):
     return newest.withColumn("timestamp", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).drop("ts")
 
 
-@query("q31_elapsed_parse", f"""SELECT event_id, {st.EVENT_K} * 60 + CAST(printf('%.2f', value % 60) AS DOUBLE) + (event_id % 3) * 3600 AS wall_s,
-  value * 1000 AS max_rss_kb, value * 1000 / 1024 / 1024 AS peak_memory_gb, value AS user_s, 0.25 AS sys_s,
-  CASE WHEN {st.EVENT_K} * 60 + CAST(printf('%.2f', value % 60) AS DOUBLE) + (event_id % 3) * 3600 > 0
-    THEN (value + 0.25) / ({st.EVENT_K} * 60 + CAST(printf('%.2f', value % 60) AS DOUBLE) + (event_id % 3) * 3600) ELSE 0.0 END AS cpu_cores
-FROM (SELECT event_id, value::DOUBLE AS value, props FROM events)""")
+@query("q31_elapsed_parse", f"""WITH e AS (
+  SELECT event_id, value, (event_id % 3 * 60 + {st.EVENT_K}) * 60 + CAST(printf('%.2f', value % 60) AS DOUBLE) AS wall_s FROM events)
+SELECT event_id, wall_s, value * 1000 AS max_rss_kb, value * 1000 / 1024 / 1024 AS peak_memory_gb, value AS user_s,
+  0.25::DOUBLE AS sys_s, CASE WHEN wall_s > 0 THEN (value + 0.25::DOUBLE) / wall_s ELSE 0.0 END AS cpu_cores FROM e""")
 def q31(spark, sf_dir):
     k, value, hours = st.event_k(), F.col("value"), F.col("event_id") % 3
-    seconds = F.format_string("%05.2f", round_binary_half_even(value % 60, 2))
+    seconds = F.format_string("%05.2f", round_binary_half_even("value % 60", 2))
     clock = F.when(
         hours > 0, F.concat(hours.cast("string"), F.lit(":"), F.lpad(k.cast("string"), 2, "0"), F.lit(":"), seconds)
     ).otherwise(F.concat(k.cast("string"), F.lit(":"), seconds))
@@ -293,7 +292,7 @@ FROM e""")
 def q32(spark, sf_dir):
     form, k, event = F.col("event_id") % 7, st.event_k().cast("string"), F.col("event_id").cast("string")
     sample = F.concat(F.when(F.col("event_id") % 4 == 0, "failed_").otherwise("s"), F.col("user_id").cast("string"))
-    seconds = F.format_string("%.1f", round_binary_half_even(F.col("value") % 60, 1))
+    seconds = F.format_string("%.1f", round_binary_half_even("value % 60", 1))
     messages = [
         F.concat(F.lit("✅ "), sample, F.lit(" skipped (output exists: /out/"), event, F.lit(")")),
         F.concat(sample, F.lit(": ERROR: missing input file /in/"), event),

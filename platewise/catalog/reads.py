@@ -116,8 +116,7 @@ trimmed AS (
 
 
 def _trimmed(spark, sf_dir):
-    adapters = spark.createDataFrame([(a,) for a in ADAPTERS], "sequence string")
-    return rd.trim_reads(st.reads(spark, sf_dir), adapters)
+    return rd.trim_reads(st.reads(spark, sf_dir), ADAPTERS)
 
 
 @query("q23_trim", f"""WITH {TRIM_SQL}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise import schemas
+from platewise.session import spread_if_few
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -248,10 +249,14 @@ def _quality(text: Column, symbols: str) -> Column:
     return F.translate(plain, PRINTABLE, symbols)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_if_few(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read pairs: the source is the sample, the whole text the first mate, its complement the second."""
     text = F.col("text")
-    return load(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         run_of("doc_id").alias("run_id"), F.col("source").alias("sample_id"), F.col("lang").alias("lane"),
         F.col("doc_id").cast("string").alias("read_id"),
         text.alias("seq1"), _quality(text, QUALITY_1).alias("qual1"),

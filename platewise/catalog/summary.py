@@ -222,11 +222,10 @@ def q34(spark, sf_dir):
   CAST(printf('%.3f', l_extendedprice / l_quantity) AS DOUBLE) AS thousandths,
   CAST(printf('%.1f', CAST(l_partkey AS DOUBLE) / 20) AS DOUBLE) AS ties FROM lineitem""")
 def q44(spark, sf_dir):
-    price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     return st.load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        round_binary_half_even(price / 100, 1).alias("tenths"),
-        round_binary_half_even(F.col("l_discount") * F.col("l_tax"), 2).alias("hundredths"),
-        round_binary_half_even(price / quantity, 3).alias("thousandths"),
-        round_binary_half_even(F.col("l_partkey").cast("double") / 20, 1).alias("ties"),
+        round_binary_half_even("l_extendedprice / 100", 1).alias("tenths"),
+        round_binary_half_even("l_discount * l_tax", 2).alias("hundredths"),
+        round_binary_half_even("l_extendedprice / l_quantity", 3).alias("thousandths"),
+        round_binary_half_even("l_partkey / 20", 1).alias("ties"),
     )

@@ -5,39 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BITS = 52
-
-
-def round_binary_half_even(x: Column, digits: int) -> Column:
-    """Round the exact binary value of a double, ties to even.
+# Nested transforms over one-element arrays name intermediate values, so each is computed once:
+# size = |x|, scaled = fraction * 2**52, product = scaled * 10**digits, units = whole units of the last digit.
+# What lies below 2**-52 (values under 1 only) is carried into the product.
+_ROUND = """
+CASE WHEN abs({x}) < 4398046511104D THEN signum({x}) * get(transform(array(abs({x})),
+  size -> get(transform(array((size - floor(size)) * 4503599627370496D),
+  scaled -> get(transform(array(floor(scaled) * {scale}L + floor((scaled - floor(scaled)) * {scale}L)),
+  product -> get(transform(array(floor(size) * {scale}L + shiftright(product, 52)),
+  units -> units + CASE
+    WHEN product & 4503599627370495L > 2251799813685248L THEN 1
+    WHEN product & 4503599627370495L < 2251799813685248L THEN 0
+    WHEN (scaled - floor(scaled)) * {scale}L > floor((scaled - floor(scaled)) * {scale}L) THEN 1
+    ELSE units & 1 END
+  ), 0)), 0)), 0)), 0) / {scale}D
+ELSE bround({x}, {digits}) END"""
+
+
+def round_binary_half_even(x: str, digits: int) -> Column:
+    """Round the exact binary value of a double (given as SQL text), ties to even.
 
     12.25 gives 12.2 and 12.35 (stored slightly below) gives 12.3, where ``bround`` works on the
-    decimal text and gives 12.4. The fraction is scaled to an integer of 52 bits, so the whole
-    computation is exact 64-bit arithmetic; ``digits`` may be 0 to 3. Values of 2**42 and more have
-    no digits left to argue about and go through ``bround``.
+    decimal text and gives 12.4. The fraction is scaled to an integer of 52 bits, so the computation is
+    exact 64-bit arithmetic; ``digits`` may be 0 to 3. Values of 2**42 and more have no digits left to
+    argue about and go through ``bround``.
     """
     if not 0 <= digits <= 3:
         raise ValueError("digits must be between 0 and 3")
-    scale = 10**digits
-    one, half = 2**_BITS, 2 ** (_BITS - 1)
-    size = F.abs(x)
-    whole = F.floor(size)
-    scaled = (size - whole) * float(one)
-    fraction = scaled.cast("bigint")
-    # what lies below 2**-52 (values under 1 only) is carried into the scaled product
-    tail = (scaled - fraction.cast("double")) * float(scale)
-    product = fraction * F.lit(scale).cast("bigint") + F.floor(tail)
-    rest = product.bitwiseAND(F.lit(one - 1).cast("bigint"))
-    quotient = whole * F.lit(scale).cast("bigint") + F.shiftright(product, _BITS)
-    below = tail > F.floor(tail).cast("double")
-    odd = quotient.bitwiseAND(F.lit(1).cast("bigint")) == 1
-    up = (rest > half) | ((rest == half) & (below | odd))
-    rounded = (quotient + up.cast("bigint")) / F.lit(float(scale))
-    return (
-        F.when(x.isNull() | F.isnan(x), x)
-        .when(size < float(2**42), F.when(x < 0, -rounded).otherwise(rounded))
-        .otherwise(F.bround(x, digits))
-    )
+    return F.expr(_ROUND.format(x=f"CAST({x} AS DOUBLE)", scale=10**digits, digits=digits))
 
 
 def or_default(value: Column, default: object) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,51 +53,38 @@ def gc_count(seq: Column) -> Column:
     return F.length(seq) - F.length(F.translate(seq, "GCgc", ""))
 
 
-def seed_pieces(seed: Column, mismatches: int) -> list[tuple[Column, Column]]:
+def _literal(text: str) -> str:
+    """Text as a regular expression that matches just it."""
+    return "".join(c if c.isalnum() and c.isascii() else "\\" + c for c in text)
+
+
+def seed_pieces(seed: str, mismatches: int) -> list[tuple[int, str]]:
     """Cut a seed in ``mismatches + 1`` pieces: (offset, piece). One of them must match exactly."""
-    parts = mismatches + 1
-    size = F.length(seed)
-    out = []
-    for n in range(parts):
-        start = F.floor(size * n / parts).cast("int")
-        end = F.floor(size * (n + 1) / parts).cast("int")
-        out.append((start, F.substr(seed, start + 1, end - start)))
-    return out
-
-
-def hamming(left: Column, right: Column) -> Column:
-    """Number of differing positions of two equally long strings."""
-    return F.aggregate(
-        F.zip_with(F.split(left, ""), F.split(right, ""), lambda a, b: (a != b).cast("int")),
-        F.lit(0),
-        lambda acc, d: acc + d,
+    cuts = [len(seed) * n // (mismatches + 1) for n in range(mismatches + 2)]
+    return [(start, seed[start:end]) for start, end in zip(cuts, cuts[1:])]
+
+
+def seed_pattern(seed: str, mismatches: int) -> str:
+    """Regular expression for the seed with at most ``mismatches`` positions free.
+
+    At each position it first looks for an exact piece, so the list of variants is rarely tried.
+    """
+    pieces = "|".join(f".{{{at}}}{_literal(piece)}" for at, piece in seed_pieces(seed, mismatches))
+    variants = "|".join(
+        "".join("." if i in free else _literal(c) for i, c in enumerate(seed))
+        for free in combinations(range(len(seed)), mismatches)
     )
+    return f"(?s)(?={pieces})(?:{variants})"
 
 
-def adapter_start(seq: Column, seeds: Column, mismatches: int) -> Column:
+def adapter_start(seq: Column, seeds: list[str], mismatches: int) -> Column:
     """First position (0-based) where any seed matches with at most ``mismatches``; null if none.
 
-    A seed can only match where one of its pieces matches exactly, so reads without any piece cost one
-    substring search per piece and only the remaining positions are compared base by base.
+    Reads without any exact piece of a seed cost one substring search per piece.
     """
-    def first_match(seed: Column) -> Column:
-        pieces = seed_pieces(seed, mismatches)
-        present = None
-        for _, piece in pieces:
-            found = F.contains(seq, piece)
-            present = found if present is None else present | found
-
-        def matches(i: Column) -> Column:
-            candidate = None
-            for offset, piece in pieces:
-                same = F.substr(seq, i + offset + 1, F.length(piece)) == piece
-                candidate = same if candidate is None else candidate | same
-            window = F.substr(seq, i + 1, F.length(seed))
-            return F.when(candidate, hamming(window, seed) <= mismatches).otherwise(F.lit(False))
-
-        last = F.length(seq) - F.length(seed)
-        return F.when(
-            (last >= 0) & present, F.get(F.filter(F.sequence(F.lit(0), last), matches), F.lit(0))
-        )
-
-    return F.array_min(F.transform(seeds, first_match))
+    def first_match(seed: str) -> Column:
+        present = reduce(or_, [F.contains(seq, F.lit(piece)) for _, piece in seed_pieces(seed, mismatches)])
+        parts = F.split(seq, seed_pattern(seed, mismatches), 2)
+        return F.when(present & (F.size(parts) > 1), F.length(F.get(parts, F.lit(0))))
+
+    return F.array_min(F.array(*[first_match(seed) for seed in seeds]))

@@ -90,21 +90,14 @@ def parse_elapsed(text: Column) -> Column:
     )
 
 
-def format_runtime(seconds: Column) -> Column:
-    """``x.x seconds``, ``Nm x.xs`` or ``Nh Nm x.xs``."""
-    def tenths(value: Column) -> Column:
-        return F.format_string("%.1f", round_binary_half_even(value, 1))
-
-    rest = seconds % F.lit(60.0)
-    minutes = F.floor(seconds / F.lit(60.0))
-    in_hour = F.floor((seconds % F.lit(3600.0)) / F.lit(60.0))
+def format_runtime(seconds: str) -> Column:
+    """``x.x seconds``, ``Nm x.xs`` or ``Nh Nm x.xs`` of a number of seconds (given as SQL text)."""
+    value = F.expr(f"CAST({seconds} AS DOUBLE)")
+    short = F.format_string("%.1f seconds", round_binary_half_even(seconds, 1))
+    rest = round_binary_half_even(f"({seconds}) % 60D", 1)
+    minutes, hours = F.floor(value / 60), F.floor(value / 3600)
     return (
-        F.when(seconds < 60, F.concat(tenths(seconds), F.lit(" seconds")))
-        .when(seconds < 3600, F.concat(minutes.cast("string"), F.lit("m "), tenths(rest), F.lit("s")))
-        .otherwise(
-            F.concat(
-                F.floor(seconds / F.lit(3600.0)).cast("string"), F.lit("h "),
-                in_hour.cast("string"), F.lit("m "), tenths(rest), F.lit("s"),
-            )
-        )
+        F.when(value < 60, short)
+        .when(value < 3600, F.format_string("%dm %.1fs", minutes, rest))
+        .otherwise(F.format_string("%dh %dm %.1fs", hours, F.floor((value % 3600) / 60), rest))
     )

@@ -11,6 +11,7 @@ from platewise.functions.text import (
     base_name, expand_template, glob_prefix, glob_suffix, glob_to_regex, has_wildcard, parent_dir,
     parse_skip_list,
 )
+from platewise.session import checkpointed
 
 STATUSES = ["skipped", "skipped_missing_input", "completed", "allowed_failure", "failed"]
 
@@ -156,6 +157,7 @@ def missing_preview(
     """Per key: how many rows, and the first ``n`` labels in sheet order, with '...' if there are more.
 
     Only the first ``n`` rows of a key are ever brought together; the count is a plain aggregation.
+    ``rows`` are read twice, so pass a stored table if they are costly.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("missing_count"))
     w = Window.partitionBy(*keys).orderBy(order, label)
@@ -187,7 +189,8 @@ def stage_readiness(
     A dependency on an unknown tool is ignored; one that declares no output counts as satisfied;
     samples that may fail do not hold a stage up. Tools without dependencies have no row.
     """
-    missing = pending_outputs(manifest, artifacts)
+    # stored: it is counted, previewed and searched for batch outputs
+    missing = checkpointed(pending_outputs(manifest, artifacts))
     of_samples = missing.where(F.col("sample_id").isNotNull()).join(
         allowed.select("run_id", "sample_id").distinct(), ["run_id", "sample_id"], "left_anti"
     )
@@ -295,8 +298,8 @@ def capacity_plan(usage: DataFrame, hosts: DataFrame, utilisation: float = ref.U
     def fits(available: Column, need: Column) -> Column:
         return F.when(known, (available / need).cast("bigint"))
 
-    def share(need: Column, available: Column) -> Column:
-        return F.when(known, round_binary_half_even(F.col("suggested_threads") * need / available * 100, 1))
+    def share(need: str, available: str) -> Column:
+        return F.when(known, round_binary_half_even(f"suggested_threads * {need} / {available} * 100", 1))
 
     return (
         usage.join(hosts.select("run_id", "logical_cores", "memory_gb"), "run_id", "left")
@@ -310,8 +313,8 @@ def capacity_plan(usage: DataFrame, hosts: DataFrame, utilisation: float = ref.U
             F.when(known & (F.col("memory_t_recommended") < F.col("cpu_t_recommended")), "memory")
             .when(known, "cpu"),
         )
-        .withColumn("mem_total_percent", share(max_memory, memory))
-        .withColumn("cpu_total_percent", share(max_cores, cores))
+        .withColumn("mem_total_percent", share("max_memory_gb", "memory_gb"))
+        .withColumn("cpu_total_percent", share("max_cpu_cores", "logical_cores"))
         .drop("logical_cores", "memory_gb")
     )
 

@@ -6,6 +6,7 @@ contract (see each function); they follow the stage parameters, not another prog
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +25,7 @@ def union_lanes(lanes: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, lanes)
 
 
-def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: Column | None) -> DataFrame:
+def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: list[str]) -> DataFrame:
     """Steps in order: low-quality start, low-quality end, sliding window, minimum length, adapter."""
     lead = sq.leading_low(F.col(qual), p["leading"])
     step = reads.withColumn("_lead", lead)
@@ -37,7 +38,7 @@ def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: Column | N
     step = step.withColumn("_keep", F.when(F.col("_keep") < p["min_length"], 0).otherwise(F.col("_keep")))
     step = step.withColumn(seq, F.substr(seq, F.col("_lead") + 1, F.col("_keep")))
     step = step.withColumn(qual, F.substr(qual, F.col("_lead") + 1, F.col("_keep")))
-    if seeds is not None:
+    if seeds:
         step = step.withColumn("_adapter", sq.adapter_start(F.col(seq), seeds, p["mismatches"]))
         keep = F.coalesce("_adapter", F.length(seq))
         step = step.withColumn(qual, F.substr(qual, F.lit(1), keep)).withColumn(seq, F.substr(seq, F.lit(1), keep))
@@ -47,7 +48,7 @@ def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: Column | N
 
 def trim_reads(
     reads: DataFrame,
-    adapters: DataFrame | None = None,
+    adapters: Sequence[str] = (),
     leading: int = ref.LEADING_QUALITY,
     trailing: int = ref.TRAILING_QUALITY,
     window: int = ref.WINDOW_SIZE,
@@ -58,18 +59,15 @@ def trim_reads(
     """Trim both mates; a mate that does not survive becomes ''.
 
     The window step keeps the bases before the start of the first failing window. The adapter step comes
-    last, as listed by the stage: a read is cut where the first 16 bases of an adapter (column
-    ``sequence``) match with at most ``mismatches`` differences. The length limit is not applied again
-    afterwards. Adapters are a short user list and enter as one array value.
+    last, as listed by the stage: a read is cut where the first 16 bases of an adapter match with at most
+    ``mismatches`` differences. The length limit is not applied again afterwards. Adapters are a short
+    list of sequences; shorter ones than 16 bases are not used.
     """
     p = dict(
         leading=leading, trailing=trailing, window=window, required=required,
         min_length=min_length, mismatches=mismatches,
     )
-    seeds = None
-    if adapters is not None:
-        seed = F.substr("sequence", F.lit(1), F.lit(SEED_LENGTH))
-        seeds = adapters.where(F.length("sequence") >= SEED_LENGTH).agg(F.sort_array(F.collect_set(seed))).scalar()
+    seeds = sorted({a[:SEED_LENGTH] for a in adapters if len(a) >= SEED_LENGTH})
     out = _trim_mate(reads, "seq1", "qual1", p, seeds)
     return _trim_mate(out, "seq2", "qual2", p, seeds).withColumn(
         "survivor", split_survivors(F.length("seq1"), F.length("seq2"))

@@ -93,7 +93,7 @@ def override_merge(metrics: DataFrame, calls: DataFrame) -> DataFrame:
 def finish_summary(merged: DataFrame) -> DataFrame:
     """Defaults, rounding and the 17 output columns, after ``run_id`` and ``sample_ord``."""
     def rounded(column: str, digits: int) -> Column:
-        return round_binary_half_even(or_default(F.col(column).cast("double"), 0.0), digits)
+        return round_binary_half_even(f"coalesce({column}, 0D)", digits)
 
     def taxon(column: str) -> Column:
         return or_default(F.col(column), ref.MISSING_TAXON)

@@ -69,3 +69,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     if stored.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(stored)
     return stored
+
+
+def spread_if_few(df: DataFrame, *columns: str) -> DataFrame:
+    """Redistribute a scan of few files over all cores, by columns that identify a row.
+
+    Meant right after a scan whose rows are costly to work on (long texts, unsplittable files). A scan
+    that already has a partition per core is returned as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df

@@ -37,8 +37,7 @@ def resource_rows(plan: DataFrame, tools: DataFrame, timestamp: str) -> DataFram
         "mean_memory_gb": 3, "max_memory_gb": 3, "mean_cpu_cores": 1, "max_cpu_cores": 1, "runtime_seconds": 1,
     }
     rows = plan.join(parallel, "tool", "left").withColumn("timestamp", F.lit(timestamp))
-    for name, n in digits.items():
-        rows = rows.withColumn(name, round_binary_half_even(F.col(name), n))
+    rows = rows.withColumns({name: round_binary_half_even(name, n) for name, n in digits.items()})
     return rows.select(
         "run_id", *[F.col(f.name).cast(f.dataType) for f in schemas.RESOURCE_USAGE.fields]
     )
