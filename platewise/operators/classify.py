@@ -97,7 +97,7 @@ def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None
     return scored.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.taxid", "_b.score")
 
 
-def taxon_report(calls: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def taxon_report(calls: DataFrame, taxonomy: DataFrame, digits: int = 2) -> DataFrame:
     """Classification report per sample from ``run_id, sample_id, taxid`` (null taxid: unclassified).
 
     Clade counts include descendants. Lines come in depth-first order, siblings by clade count, with the
@@ -145,7 +145,7 @@ def taxon_report(calls: DataFrame, taxonomy: DataFrame) -> DataFrame:
         .select(
             *SAMPLE_KEY,
             F.row_number().over(order).alias("line_no"),
-            F.round(F.col("clade") * 100 / F.col("total"), 2).alias("percentage"),
+            F.bround(F.col("clade") * 100 / F.col("total"), digits).alias("percentage"),
             F.col("clade").alias("count_clade"),
             F.col("direct").alias("count_taxon"),
             "rank_code", "taxid", "name",
