@@ -23,4 +23,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from platewise.catalog import accounting, reads, summary, taxonomy  # noqa: F401
+    from platewise.catalog import accounting, files, reads, summary, taxonomy  # noqa: F401

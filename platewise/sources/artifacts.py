@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platewise.functions.text import base_name, parent_dir
 from platewise.session import broadcast_if_small
 
-READ_FILE = r"^(.+?)(?:_(L\d{3}))?_(R[12])\.fastq(?:\.gz)?$"
+READ_FILE = r"^(.+?)(?:_(L\d{3,}))?_(R[12])\.fastq(?:\.gz)?$"
 
 
 def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:

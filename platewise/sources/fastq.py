@@ -1,4 +1,7 @@
-"""Paired FASTQ files as a Spark data source: ``spark.read.format("fastq_pairs").load(directory)``."""
+"""Paired FASTQ files as a Spark data source.
+
+``spark.read.format("fastq_pairs").load(directory)`` and ``reads.write.format("fastq_pairs").save(directory)``.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +14,10 @@ from itertools import zip_longest
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark import TaskContext
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage,
+)
 from pyspark.sql.types import StructType
 
 from platewise import schemas
@@ -90,6 +96,58 @@ class FastqPairReader(DataSourceReader):
             yield as_batch()
 
 
+@dataclass
+class WrittenFiles(WriterCommitMessage):
+    paths: list[tuple[str, str]]
+
+
+class FastqPairWriter(DataSourceArrowWriter):
+    """Every task writes its rows as lanes of its own, ``<sample>_L<task>_R1.fastq.gz`` and ``_R2``.
+
+    Files get their name when the whole job commits, so a repeated task leaves no double.
+    """
+
+    def __init__(self, options: dict):
+        self.root = options["path"].rstrip("/")
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WrittenFiles:
+        filesystem, root = _open(self.root)
+        filesystem.create_dir(root, recursive=True)
+        task = TaskContext.get()
+        lane, attempt = f"L{task.partitionId():03d}", task.taskAttemptId()
+        streams: dict[str, tuple] = {}
+        paths: list[tuple[str, str]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                sample = row["sample_id"]
+                if sample not in streams:
+                    named = [f"{root}/{sample}_{lane}_R{n}.fastq.gz" for n in (1, 2)]
+                    drafts = [f"{path}.draft-{attempt}" for path in named]
+                    streams[sample] = tuple(
+                        filesystem.open_output_stream(draft, compression="gzip") for draft in drafts
+                    )
+                    paths += zip(drafts, named)
+                for n, stream in enumerate(streams[sample], start=1):
+                    record = f"@{row['read_id']}\n{row[f'seq{n}']}\n+\n{row[f'qual{n}']}\n"
+                    stream.write(record.encode("ascii"))
+        for pair in streams.values():
+            for stream in pair:
+                stream.close()
+        return WrittenFiles(paths)
+
+    def commit(self, messages: list[WrittenFiles | None]) -> None:
+        filesystem, _ = _open(self.root)
+        for message in messages:
+            for draft, named in message.paths if message else []:
+                filesystem.move(draft, named)
+
+    def abort(self, messages: list[WrittenFiles | None]) -> None:
+        filesystem, _ = _open(self.root)
+        for message in messages:
+            for draft, _ in message.paths if message else []:
+                filesystem.delete_file(draft)
+
+
 class FastqPairs(DataSource):
     """One partition per pair of mate files (gz cannot be split); one row per pair."""
 
@@ -103,9 +161,18 @@ class FastqPairs(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return FastqPairReader(self.options)
 
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
+        return FastqPairWriter(self.options)
+
 
 def read_fastq_pairs(spark: SparkSession, path: str, run_id: str = "", spread: int | None = None) -> DataFrame:
     """Read pairs below a directory. ``spread`` redistributes rows of few large files by read id."""
     spark.dataSource.register(FastqPairs)
     reads = spark.read.format("fastq_pairs").option("run_id", run_id).load(path)
     return reads.repartition(spread, "sample_id", "read_id") if spread else reads
+
+
+def write_fastq_pairs(reads: DataFrame, path: str) -> None:
+    """Read pairs as gz FASTQ files below a directory; the tasks' files are the lanes of a sample."""
+    reads.sparkSession.dataSource.register(FastqPairs)
+    reads.select(*schemas.READS.names).write.format("fastq_pairs").mode("append").save(path)
