@@ -13,7 +13,7 @@ from platewise.functions.text import base_name, expand_template, format_runtime,
 from platewise.operators import accounting as acc
 from platewise.operators import hooks
 from platewise.operators.reads import metric_matrix
-from platewise.session import checkpointed, shared_path
+from platewise.session import checkpointed, shared_path, spread_if_few
 from platewise.sources.text import parse_resource_reports, parse_status_log
 from platewise.streaming.progress import read_progress, stream_progress, write_progress
 
@@ -319,7 +319,8 @@ def _user_partial(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 @query("q33_per_sample_hook", """SELECT 'run' || (user_id % 8) AS run_id, CAST(user_id AS VARCHAR) AS sample_id, count(*) AS n,
   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, max(value) AS top_value FROM events GROUP BY user_id""")
 def q33(spark, sf_dir):
-    rows = st.load(spark, sf_dir, "events").select(
+    events = spread_if_few(st.load(spark, sf_dir, "events").select("user_id", "value"), "user_id")
+    rows = events.select(
         st.run_of("user_id").alias("run_id"), F.col("user_id").cast("string").alias("sample_id"), "value"
     )
     return hooks.per_sample(

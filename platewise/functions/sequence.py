@@ -6,15 +6,15 @@ from functools import reduce
 from itertools import combinations
 from operator import or_
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PHRED_OFFSET = 33
-
-
-def phred(quality: Column) -> Column:
-    """Quality string as an array of integer scores."""
-    return F.transform(F.split(quality, ""), lambda c: F.ascii(c) - PHRED_OFFSET)
+BASES_AT_ONCE = 4_000_000
+_SCORES = 94
+_BASES = np.array(list("ACGTN"))
 
 
 def low_symbols(threshold: int) -> str:
@@ -31,22 +31,35 @@ def trailing_low(quality: Column, threshold: int) -> Column:
     return F.length(quality) - F.length(F.rtrim(quality, F.lit(low_symbols(threshold))))
 
 
-def window_cut(scores: Column, length: Column, window: int, required: int) -> Column:
+def _joined(strings: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all strings in one array, and where each string starts (one entry more)."""
+    present = strings.fillna("")
+    codes = np.frombuffer("".join(present).encode("utf-32-le"), dtype=np.uint32)
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in present], dtype=np.int64)))
+    return codes, starts
+
+
+def window_cut(quality: Column, window: int, required: int) -> Column:
     """Bases to keep: those before the start of the first window with a mean below ``required``.
 
-    ``scores`` must be a plain column, it is referenced once per window position. A read shorter than
-    one window is kept whole by this step.
+    A read shorter than one window is kept whole by this step. Window sums need every single base, which
+    array expressions interpret one by one; here a batch of qualities is summed as one numpy array, and
+    only a number per read comes back.
     """
-    def window_sum(i: Column) -> Column:
-        total = F.get(scores, i)
-        for offset in range(1, window):
-            total = total + F.get(scores, i + offset)
-        return total
-
-    failing = F.filter(
-        F.sequence(F.lit(0), length - window), lambda i: window_sum(i) < window * required
-    )
-    return F.when(length < window, length).otherwise(F.coalesce(F.get(failing, F.lit(0)), length))
+    @F.pandas_udf("int")
+    def cut(qualities: pd.Series) -> pd.Series:
+        codes, starts = _joined(qualities)
+        lengths = np.diff(starts)
+        if len(codes) < window:
+            return pd.Series(lengths)
+        total = np.concatenate(([0], np.cumsum(codes, dtype=np.int64)))
+        sums = total[window:] - total[:-window]
+        failing = np.flatnonzero(sums < window * (required + PHRED_OFFSET))
+        # the first failing window at or after each read's start, if it lies inside the read
+        first = np.append(failing, np.iinfo(np.int64).max)[np.searchsorted(failing, starts[:-1])]
+        return pd.Series(np.where(first <= starts[1:] - window, first - starts[:-1], lengths))
+
+    return cut(quality)
 
 
 def gc_count(seq: Column) -> Column:
@@ -88,3 +101,25 @@ def adapter_start(seq: Column, seeds: list[str], mismatches: int) -> Column:
         return F.when(present & (F.size(parts) > 1), F.length(F.get(parts, F.lit(0))))
 
     return F.array_min(F.array(*[first_match(seed) for seed in seeds]))
+
+
+def count_symbols(seqs: pd.Series, quals: pd.Series, groups: np.ndarray, bin_width: int) -> pd.DataFrame:
+    """Counts per (group, position bin, base class, score) over a batch of reads."""
+    symbols, starts = _joined(seqs)
+    scores, _ = _joined(quals)
+    lengths = np.diff(starts)
+    classes = np.full(128, 4, dtype=np.int64)
+    for code, letters in enumerate(("Aa", "Cc", "Gg", "Tt")):
+        classes[[ord(letter) for letter in letters]] = code
+    bins = (np.arange(len(symbols)) - np.repeat(starts[:-1], lengths)) // bin_width
+    n_bins = int(bins.max(initial=0)) + 1
+    place = np.repeat(groups, lengths) * n_bins + bins
+    base = classes[np.minimum(symbols, 127)]
+    cell = (place * len(_BASES) + base) * _SCORES + (scores.astype(np.int64) - PHRED_OFFSET)
+    cells, n = np.unique(cell, return_counts=True)
+    place, rest = np.divmod(cells, len(_BASES) * _SCORES)
+    base, quality = np.divmod(rest, _SCORES)
+    group, position = np.divmod(place, n_bins)
+    return pd.DataFrame({
+        "group": group, "pos": position * bin_width, "base": _BASES[base], "quality": quality, "n": n,
+    })

@@ -14,20 +14,30 @@ def per_sample(
     schema: str,
     combine: Callable[[DataFrame], DataFrame],
     keys: list[str] | None = None,
+    rows_at_once: int = 200_000,
 ) -> DataFrame:
     """Run a user function for every sample.
 
     ``partial(key, rows)`` sees some of a sample's rows at a time and returns partial results (its key
     columns included) of the given schema; ``combine`` is a DataFrame aggregation that merges them.
-    Rows are handled where they are, one Arrow batch at a time: a sample that holds most of the data
-    is spread over all tasks and only partial results are shuffled.
+    Rows are handled where they are, at most about ``rows_at_once`` at a time: a sample that holds most
+    of the data is spread over all tasks and only partial results are shuffled.
     """
     keys = keys or ["run_id", "sample_id"]
 
+    def results(waiting: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if waiting:
+            for key, rows in pd.concat(waiting).groupby(keys, sort=False, dropna=False):
+                yield partial(key, rows)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
-                yield partial(key, rows)
+            waiting.append(batch)
+            if sum(map(len, waiting)) >= rows_at_once:
+                yield from results(waiting)
+                waiting = []
+        yield from results(waiting)
 
     return combine(df.mapInPandas(run, schema))
 

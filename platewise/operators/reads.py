@@ -6,9 +6,10 @@ contract (see each function); they follow the stage parameters, not another prog
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +33,8 @@ def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: list[str])
     step = step.withColumn(
         "_len", F.greatest(F.length(qual) - F.col("_lead") - sq.trailing_low(F.col(qual), p["trailing"]), F.lit(0))
     )
-    step = step.withColumn("_scores", sq.phred(F.substr(qual, F.col("_lead") + 1, F.col("_len"))))
-    cut = sq.window_cut(F.col("_scores"), F.col("_len"), p["window"], p["required"])
-    step = step.withColumn("_keep", cut)
+    scores = F.substr(qual, F.col("_lead") + 1, F.col("_len"))
+    step = step.withColumn("_keep", sq.window_cut(scores, p["window"], p["required"]))
     step = step.withColumn("_keep", F.when(F.col("_keep") < p["min_length"], 0).otherwise(F.col("_keep")))
     step = step.withColumn(seq, F.substr(seq, F.col("_lead") + 1, F.col("_keep")))
     step = step.withColumn(qual, F.substr(qual, F.col("_lead") + 1, F.col("_keep")))
@@ -43,7 +43,7 @@ def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: list[str])
         keep = F.coalesce("_adapter", F.length(seq))
         step = step.withColumn(qual, F.substr(qual, F.lit(1), keep)).withColumn(seq, F.substr(seq, F.lit(1), keep))
         step = step.drop("_adapter")
-    return step.drop("_lead", "_len", "_scores", "_keep")
+    return step.drop("_lead", "_len", "_keep")
 
 
 def trim_reads(
@@ -233,24 +233,29 @@ def position_counts(reads: DataFrame, bin_width: int = 1) -> DataFrame:
     """Bases per sample, mate, position, base class (A, C, G, T, N for others) and quality score.
 
     Positions are 0-based; with ``bin_width`` they are grouped under the first position of their bin,
-    as long reads are. This is the only step over single bases; its partial aggregation leaves each map
-    task with at most positions x classes x scores rows per sample.
+    as long reads are. This is the only step over single bases. Each task counts its rows with numpy, a
+    bounded number of bases at a time, so only counts (positions x classes x scores per sample) leave it.
     """
-    def mate(n: int) -> DataFrame:
-        symbols = F.posexplode(F.arrays_zip(F.split(f"seq{n}", "").alias("b"), F.split(f"qual{n}", "").alias("q")))
-        return reads.where(F.length(f"seq{n}") > 0).select(
-            *SAMPLE_KEY, F.lit(f"R{n}").alias("mate"), symbols.alias("at", "x")
-        )
-
-    code = F.instr(F.lit("ACGT"), F.upper("x.b"))
-    position = (F.col("at") - F.col("at") % bin_width).alias("pos")
-    counted = (
-        mate(1).unionByName(mate(2))
-        .groupBy(*SAMPLE_KEY, "mate", position, code.alias("code"), (F.ascii("x.q") - sq.PHRED_OFFSET).alias("quality"))
-        .agg(F.count("*").alias("n"))
+    schema = "run_id string, sample_id string, mate string, pos int, base string, quality int, n bigint"
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bases = batch[["seq1", "seq2"]].map(lambda s: len(s or "")).sum(axis=1)
+            for _, rows in batch.groupby((bases.cumsum() // sq.BASES_AT_ONCE).to_numpy(), sort=False):
+                groups = rows.groupby(SAMPLE_KEY, sort=False).ngroup().to_numpy()
+                keys = rows[SAMPLE_KEY].assign(group=groups).drop_duplicates("group").set_index("group")
+                for n in (1, 2):
+                    cells = sq.count_symbols(rows[f"seq{n}"], rows[f"qual{n}"], groups, bin_width)
+                    yield keys.loc[cells["group"]].reset_index(drop=True).assign(
+                        mate=f"R{n}", **cells.drop(columns="group")
+                    )[["run_id", "sample_id", "mate", "pos", "base", "quality", "n"]]
+
+    columns = reads.select(*SAMPLE_KEY, "seq1", "qual1", "seq2", "qual2")
+    return (
+        columns.mapInPandas(count, schema)
+        .groupBy(*SAMPLE_KEY, "mate", "pos", "base", "quality")
+        .agg(F.sum("n").alias("n"))
     )
-    base = F.when(F.col("code") == 0, "N").otherwise(F.substr(F.lit("ACGT"), F.col("code"), F.lit(1)))
-    return counted.select(*SAMPLE_KEY, "mate", "pos", base.alias("base"), "quality", "n")
 
 
 def position_profile(counts: DataFrame) -> DataFrame:

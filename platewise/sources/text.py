@@ -194,23 +194,20 @@ def parse_status_log(lines: DataFrame, prefix: str = "") -> DataFrame:
         (r"(.+?): Completed \(runtime: (.*)\)$", "completed", "completed"),
         (r"(.+?): (Starting)$", "starting", "starting"),
     ]
-    event = status = sample = detail = None
-    for pattern, event_name, status_name in forms:
-        hit = F.col("value").rlike(start + pattern)
-        values = (
-            F.lit(event_name), F.lit(status_name),
-            F.regexp_extract("value", start + pattern, 1), F.regexp_extract("value", start + pattern, 2),
-        )
-        if event is None:
-            event, status, sample, detail = (F.when(hit, v) for v in values)
-        else:
-            event, status, sample, detail = (
-                old.when(hit, v) for old, v in zip((event, status, sample, detail), values)
-            )
+    # the form is found once; the fields are then taken from the matching form only
+    form = F.coalesce(*[F.when(F.col("value").rlike(start + p), n) for n, (p, _, _) in enumerate(forms)])
+
+    def of_form(values: list[Column]) -> Column:
+        return F.coalesce(*[F.when(F.col("_form") == n, v) for n, v in enumerate(values)])
+
     rest = [c for c in lines.columns if c != "value"]
-    parsed = lines.select(
-        *rest, sample.alias("sample_id"), event.alias("event"), status.alias("status"), detail.alias("detail")
-    ).where(F.col("event").isNotNull())
+    parsed = lines.withColumn("_form", form).where(F.col("_form").isNotNull()).select(
+        *rest,
+        of_form([F.regexp_extract("value", start + p, 1) for p, _, _ in forms]).alias("sample_id"),
+        of_form([F.lit(e) for _, e, _ in forms]).alias("event"),
+        of_form([F.lit(s) for _, _, s in forms]).alias("status"),
+        of_form([F.regexp_extract("value", start + p, 2) for p, _, _ in forms]).alias("detail"),
+    )
     coded = F.col("event").isin("allowed_failure", "failed")
     exit_code = F.when(coded, F.col("detail").try_cast("int")).when(F.col("event") == "completed", 0)
     runtime = F.when(F.col("event") == "completed", _runtime_seconds(F.col("detail")))
