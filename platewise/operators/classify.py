@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platewise.session import broadcast_if_small
+from platewise.session import broadcast_if_small, checkpointed
 
 SAMPLE_KEY = ["run_id", "sample_id"]
 COARSE, FINE = 16_384, 256
@@ -77,13 +77,14 @@ def kmer_match(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | Non
 def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The taxon whose path from the root collects most k-mer hits; reads without hits have no row.
 
-    Ties go to the taxon with more hits of its own, then to the smaller taxid. Hits are shuffled by read
-    once; where joins may use a partitioning on some of their keys (see ``get_session``) the ancestor
-    join and both aggregations then stay within a read's partition.
+    Ties go to the taxon with more hits of its own, then to the smaller taxid. The hits are stored, they
+    are needed on both sides of the ancestor join and k-mers should be matched once. They are shuffled by
+    read; where joins may use a partitioning on some of their keys (see ``get_session``) the join and
+    both aggregations then stay within a read's partition.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
     paths = taxonomy.select("taxid", "path")
-    by_read = hits.repartition(*keys)
+    by_read = checkpointed(hits).repartition(*keys)
     ancestors = by_read.join(paths, "taxid").select(
         *keys, "taxid", F.col("hits").alias("own"), F.explode("path").alias("ancestor")
     )

@@ -2,21 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from platewise import schemas
 from platewise.functions.text import base_name, parent_dir
 from platewise.session import broadcast_if_small
 
 READ_FILE = r"^(.+?)(?:_(L\d{3,}))?_(R[12])\.fastq(?:\.gz)?$"
 
 
+def open_root(root: str) -> tuple[fs.FileSystem, str]:
+    """File system and plain path of a folder given as a path or as a URI."""
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+
+
 def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
-    """Files below ``root`` as ``path, length``; contents are not read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+    """Files below ``root`` as ``path, length`` (paths without scheme), empty ones included; contents are not read.
+
+    Each folder directly below a root is listed by a task of its own.
+    """
+    def wanted(info: fs.FileInfo) -> bool:
+        return info.is_file and (glob is None or fnmatchcase(info.base_name, glob))
+
+    direct, folders = [], []
+    for one in [root] if isinstance(root, str) else root:
+        filesystem, path = open_root(one)
+        infos = filesystem.get_file_info(fs.FileSelector(path))
+        direct += [(i.path, i.size) for i in infos if wanted(i)]
+        folders += [(one, i.path) for i in infos if not i.is_file]
+
+    def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for one, path in batch.itertuples(index=False):
+                filesystem, _ = open_root(one)
+                found = filesystem.get_file_info(fs.FileSelector(path, recursive=True))
+                rows = [(i.path, i.size) for i in found if wanted(i)]
+                yield pd.DataFrame(rows, columns=["path", "length"]).astype({"path": str, "length": "int64"})
+
+    below = spark.createDataFrame(folders, "root string, path string")
+    if folders:
+        below = below.repartition(len(folders), "path")
+    return below.mapInPandas(listing, schemas.ARTIFACTS).unionByName(
+        spark.createDataFrame(direct, schemas.ARTIFACTS)
+    )
 
 
 def discover_samples(artifacts: DataFrame) -> DataFrame:

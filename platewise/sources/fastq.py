@@ -21,7 +21,7 @@ from pyspark.sql.datasource import (
 from pyspark.sql.types import StructType
 
 from platewise import schemas
-from platewise.sources.artifacts import READ_FILE
+from platewise.sources.artifacts import READ_FILE, open_root
 
 _BATCH_ROWS = 8192
 
@@ -34,10 +34,6 @@ class FilePair(InputPartition):
     path2: str
 
 
-def _open(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
-
-
 def _records(filesystem: fs.FileSystem, path: str) -> Iterator[tuple[str, str, str]]:
     """Read id, bases and qualities of each four-line record; lines are counted, '@' means nothing."""
     with filesystem.open_input_stream(path) as stream:
@@ -57,7 +53,7 @@ class FastqPairReader(DataSourceReader):
         self.recursive = options.get("recursive", "true").lower() == "true"
 
     def partitions(self) -> list[FilePair]:
-        filesystem, root = _open(self.root)
+        filesystem, root = open_root(self.root)
         infos = filesystem.get_file_info(fs.FileSelector(root, recursive=self.recursive))
         found: dict[tuple, dict[str, str]] = {}
         for info in infos:
@@ -74,7 +70,7 @@ class FastqPairReader(DataSourceReader):
         return pairs
 
     def read(self, partition: FilePair) -> Iterator[pa.RecordBatch]:
-        filesystem, _ = _open(self.root)
+        filesystem, _ = open_root(self.root)
         schema = pa.schema([(name, pa.string()) for name in schemas.READS.names])
         fixed = [self.run_id, partition.sample_id, partition.lane]
         rows: list[tuple] = []
@@ -111,7 +107,7 @@ class FastqPairWriter(DataSourceArrowWriter):
         self.root = options["path"].rstrip("/")
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WrittenFiles:
-        filesystem, root = _open(self.root)
+        filesystem, root = open_root(self.root)
         filesystem.create_dir(root, recursive=True)
         task = TaskContext.get()
         lane, attempt = f"L{task.partitionId():03d}", task.taskAttemptId()
@@ -136,13 +132,13 @@ class FastqPairWriter(DataSourceArrowWriter):
         return WrittenFiles(paths)
 
     def commit(self, messages: list[WrittenFiles | None]) -> None:
-        filesystem, _ = _open(self.root)
+        filesystem, _ = open_root(self.root)
         for message in messages:
             for draft, named in message.paths if message else []:
                 filesystem.move(draft, named)
 
     def abort(self, messages: list[WrittenFiles | None]) -> None:
-        filesystem, _ = _open(self.root)
+        filesystem, _ = open_root(self.root)
         for message in messages:
             for draft, _ in message.paths if message else []:
                 filesystem.delete_file(draft)
