@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 from operator import or_
@@ -12,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PHRED_OFFSET = 33
-BASES_AT_ONCE = 4_000_000
+BASES_AT_ONCE = 2_000_000
 _SCORES = 94
 _BASES = np.array(list("ACGTN"))
 
@@ -39,6 +40,26 @@ def _joined(strings: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return codes, starts
 
 
+def slices(lengths: pd.Series) -> Iterator[slice]:
+    """Row ranges that hold about ``BASES_AT_ONCE`` bases each, at least one row."""
+    part = lengths.cumsum().to_numpy() // BASES_AT_ONCE
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
+    return (slice(start, end) for start, end in zip(edges, edges[1:]))
+
+
+def _first_failing(qualities: pd.Series, window: int, required: int) -> np.ndarray:
+    """Start of each read's first failing window, or its length."""
+    codes, starts = _joined(qualities)
+    lengths = np.diff(starts)
+    if len(codes) < window:
+        return lengths
+    total = np.concatenate(([0], np.cumsum(codes, dtype=np.int64)))
+    failing = np.flatnonzero(total[window:] - total[:-window] < window * (required + PHRED_OFFSET))
+    # the first failing window at or after each read's start, if it lies inside the read
+    first = np.append(failing, np.iinfo(np.int64).max)[np.searchsorted(failing, starts[:-1])]
+    return np.where(first <= starts[1:] - window, first - starts[:-1], lengths)
+
+
 def window_cut(quality: Column, window: int, required: int) -> Column:
     """Bases to keep: those before the start of the first window with a mean below ``required``.
 
@@ -48,16 +69,9 @@ def window_cut(quality: Column, window: int, required: int) -> Column:
     """
     @F.pandas_udf("int")
     def cut(qualities: pd.Series) -> pd.Series:
-        codes, starts = _joined(qualities)
-        lengths = np.diff(starts)
-        if len(codes) < window:
-            return pd.Series(lengths)
-        total = np.concatenate(([0], np.cumsum(codes, dtype=np.int64)))
-        sums = total[window:] - total[:-window]
-        failing = np.flatnonzero(sums < window * (required + PHRED_OFFSET))
-        # the first failing window at or after each read's start, if it lies inside the read
-        first = np.append(failing, np.iinfo(np.int64).max)[np.searchsorted(failing, starts[:-1])]
-        return pd.Series(np.where(first <= starts[1:] - window, first - starts[:-1], lengths))
+        present = qualities.fillna("")
+        parts = [_first_failing(present.iloc[part], window, required) for part in slices(present.str.len())]
+        return pd.Series(np.concatenate([*parts, np.empty(0, np.int64)]))
 
     return cut(quality)
 

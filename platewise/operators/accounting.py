@@ -106,7 +106,8 @@ def glob_match(patterns: DataFrame, artifacts: DataFrame) -> DataFrame:
         (wanted.dir == offered.dir) & (wanted.prefix == offered.prefix)
         & (wanted.suffix == offered.suffix) & F.rlike(offered.name, wanted.regex)
     )
-    return wanted.join(offered, same, "left_semi").select("pattern")
+    # an inner join, whose file side can be split if one folder and prefix holds most files
+    return offered.join(wanted, same).select("pattern").distinct()
 
 
 def _present_paths(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def kmer_match(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | Non
     keys = keys or [*SAMPLE_KEY, "read_id"]
     read_kmers = kmers(reads.select(*keys, "seq"), "seq", k)
     return (
-        read_kmers.join(broadcast_if_small(index, max_rows=2_000_000), "kmer")
+        read_kmers.join(broadcast_if_small(index, max_rows=1_000_000), "kmer")
         .groupBy(*keys, "taxid")
         .agg(F.count("*").alias("hits"))
     )
@@ -77,18 +77,16 @@ def kmer_match(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | Non
 def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The taxon whose path from the root collects most k-mer hits; reads without hits have no row.
 
-    Ties go to the taxon with more hits of its own, then to the smaller taxid. The hits are stored, they
-    are needed on both sides of the ancestor join and k-mers should be matched once. They are shuffled by
-    read; where joins may use a partitioning on some of their keys (see ``get_session``) the join and
-    both aggregations then stay within a read's partition.
+    Ties go to the taxon with more hits of its own, then to the smaller taxid. The hits, a few rows per
+    read, are stored: both sides of the ancestor join need them, and k-mers should be matched once.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
     paths = taxonomy.select("taxid", "path")
-    by_read = checkpointed(hits).repartition(*keys)
-    ancestors = by_read.join(paths, "taxid").select(
+    stored = checkpointed(hits)
+    ancestors = stored.join(paths, "taxid").select(
         *keys, "taxid", F.col("hits").alias("own"), F.explode("path").alias("ancestor")
     )
-    weights = by_read.select(*keys, F.col("taxid").alias("ancestor"), "hits")
+    weights = stored.select(*keys, F.col("taxid").alias("ancestor"), "hits")
     scored = (
         ancestors.join(weights, [*keys, "ancestor"])
         .groupBy(*keys, "taxid", "own")

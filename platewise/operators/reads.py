@@ -240,8 +240,8 @@ def position_counts(reads: DataFrame, bin_width: int = 1) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bases = batch[["seq1", "seq2"]].map(lambda s: len(s or "")).sum(axis=1)
-            for _, rows in batch.groupby((bases.cumsum() // sq.BASES_AT_ONCE).to_numpy(), sort=False):
+            for part in sq.slices(batch[["seq1", "seq2"]].map(lambda s: len(s or "")).sum(axis=1)):
+                rows = batch.iloc[part]
                 groups = rows.groupby(SAMPLE_KEY, sort=False).ngroup().to_numpy()
                 keys = rows[SAMPLE_KEY].assign(group=groups).drop_duplicates("group").set_index("group")
                 for n in (1, 2):

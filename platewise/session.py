@@ -17,8 +17,6 @@ def get_session(app_name: str = "platewise", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # joins may reuse a partitioning on a subset of their keys
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.ui.enabled": "false",
     }
     builder = SparkSession.builder.appName(app_name)

@@ -10,7 +10,6 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise import schemas
 from platewise.functions.text import base_name, parent_dir
 from platewise.session import broadcast_if_small
 
@@ -25,32 +24,29 @@ def open_root(root: str) -> tuple[fs.FileSystem, str]:
 def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
     """Files below ``root`` as ``path, length`` (paths without scheme), empty ones included; contents are not read.
 
-    Each folder directly below a root is listed by a task of its own.
+    Tasks do the listing: one per root, then one per folder directly below a root.
     """
-    def wanted(info: fs.FileInfo) -> bool:
-        return info.is_file and (glob is None or fnmatchcase(info.base_name, glob))
-
-    direct, folders = [], []
-    for one in [root] if isinstance(root, str) else root:
-        filesystem, path = open_root(one)
-        infos = filesystem.get_file_info(fs.FileSelector(path))
-        direct += [(i.path, i.size) for i in infos if wanted(i)]
-        folders += [(one, i.path) for i in infos if not i.is_file]
-
-    def listing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for one, path in batch.itertuples(index=False):
-                filesystem, _ = open_root(one)
-                found = filesystem.get_file_info(fs.FileSelector(path, recursive=True))
-                rows = [(i.path, i.size) for i in found if wanted(i)]
-                yield pd.DataFrame(rows, columns=["path", "length"]).astype({"path": str, "length": "int64"})
-
-    below = spark.createDataFrame(folders, "root string, path string")
-    if folders:
-        below = below.repartition(len(folders), "path")
-    return below.mapInPandas(listing, schemas.ARTIFACTS).unionByName(
-        spark.createDataFrame(direct, schemas.ARTIFACTS)
-    )
+    level = "root string, path string, length bigint, is_file boolean"
+
+    def entries(recursive: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for uri, path in zip(batch["root"], batch["path"]):
+                    found = open_root(uri)[0].get_file_info(fs.FileSelector(path, recursive=recursive))
+                    rows = [
+                        (uri, i.path, i.size or 0, i.is_file) for i in found
+                        if not i.is_file or glob is None or fnmatchcase(i.base_name, glob)
+                    ]
+                    yield pd.DataFrame(rows, columns=["root", "path", "length", "is_file"])
+
+        return run
+
+    roots = [(uri, open_root(uri)[1]) for uri in ([root] if isinstance(root, str) else root)]
+    start = spark.createDataFrame(roots, "root string, path string")
+    top = start.repartition(len(roots), "path").mapInPandas(entries(recursive=False), level)
+    below = top.where(~F.col("is_file")).select("root", "path").repartition("path")
+    deep = below.mapInPandas(entries(recursive=True), level)
+    return top.unionByName(deep).where("is_file").select("path", "length")
 
 
 def discover_samples(artifacts: DataFrame) -> DataFrame:
