@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 PHRED_OFFSET = 33
 BASES_AT_ONCE = 2_000_000
-_SCORES = 94
-_BASES = np.array(list("ACGTN"))
+SCORES = 94
+BASE_CLASSES = "ACGTN"
 
 
 def low_symbols(threshold: int) -> str:
@@ -117,23 +117,33 @@ def adapter_start(seq: Column, seeds: list[str], mismatches: int) -> Column:
     return F.array_min(F.array(*[first_match(seed) for seed in seeds]))
 
 
-def count_symbols(seqs: pd.Series, quals: pd.Series, groups: np.ndarray, bin_width: int) -> pd.DataFrame:
-    """Counts per (group, position bin, base class, score) over a batch of reads."""
+def count_cells(seqs: pd.Series, quals: pd.Series, groups: np.ndarray, bin_width: int) -> Iterator[tuple]:
+    """(group, cells, counts) of a batch of reads; a cell is position bin, base class and score in one number."""
     symbols, starts = _joined(seqs)
     scores, _ = _joined(quals)
     lengths = np.diff(starts)
-    classes = np.full(128, 4, dtype=np.int64)
-    for code, letters in enumerate(("Aa", "Cc", "Gg", "Tt")):
-        classes[[ord(letter) for letter in letters]] = code
+    classes = np.full(128, len(BASE_CLASSES) - 1, dtype=np.int64)
+    for code, letter in enumerate(BASE_CLASSES[:-1]):
+        classes[[ord(letter), ord(letter.lower())]] = code
     bins = (np.arange(len(symbols)) - np.repeat(starts[:-1], lengths)) // bin_width
-    n_bins = int(bins.max(initial=0)) + 1
-    place = np.repeat(groups, lengths) * n_bins + bins
     base = classes[np.minimum(symbols, 127)]
-    cell = (place * len(_BASES) + base) * _SCORES + (scores.astype(np.int64) - PHRED_OFFSET)
-    cells, n = np.unique(cell, return_counts=True)
-    place, rest = np.divmod(cells, len(_BASES) * _SCORES)
-    base, quality = np.divmod(rest, _SCORES)
-    group, position = np.divmod(place, n_bins)
-    return pd.DataFrame({
-        "group": group, "pos": position * bin_width, "base": _BASES[base], "quality": quality, "n": n,
-    })
+    cell = (bins * len(BASE_CLASSES) + base) * SCORES + (scores.astype(np.int64) - PHRED_OFFSET)
+    size = int(cell.max(initial=0)) + 1
+    found, n = np.unique(np.repeat(groups, lengths) * size + cell, return_counts=True)
+    group, cells = np.divmod(found, size)
+    for start, end in zip(edges := np.flatnonzero(np.diff(group, prepend=-1)), [*edges[1:], len(group)]):
+        yield int(group[start]), cells[start:end], n[start:end]
+
+
+def cell_position(cell: Column, bin_width: int) -> Column:
+    """First position of a cell's bin."""
+    return (F.floor(cell / (len(BASE_CLASSES) * SCORES)) * bin_width).cast("int")
+
+
+def cell_base(cell: Column) -> Column:
+    code = F.floor(cell / SCORES) % len(BASE_CLASSES)
+    return F.substr(F.lit(BASE_CLASSES), code.cast("int") + 1, F.lit(1))
+
+
+def cell_quality(cell: Column) -> Column:
+    return (cell % SCORES).cast("int")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from platewise.session import broadcast_if_small, checkpointed
 
 SAMPLE_KEY = ["run_id", "sample_id"]
-COARSE, FINE = 16_384, 256
+STRIDES = (16_384, 1_024, 64)
 
 
 def _chunks(rows: DataFrame, column: str, k: int, stride: int) -> DataFrame:
@@ -25,11 +25,12 @@ def _chunks(rows: DataFrame, column: str, k: int, stride: int) -> DataFrame:
 def kmers(rows: DataFrame, column: str, k: int) -> DataFrame:
     """One row per k-mer of ``column`` (whole text), in a column ``kmer`` in its place.
 
-    ``substr`` walks a UTF-8 string from its start, so long strings are first cut in two steps; each
-    step's cost then stays near linear. Strings shorter than k have no row.
+    ``substr`` walks a UTF-8 string from its start, so strings are first cut in ever smaller pieces; the
+    whole cost then stays near linear in the text. Strings shorter than k have no row.
     """
-    long_enough = rows.where(F.length(column) >= k)
-    pieces = _chunks(_chunks(long_enough, column, k, COARSE), column, k, FINE)
+    pieces = rows.where(F.length(column) >= k)
+    for stride in STRIDES:
+        pieces = _chunks(pieces, column, k, stride)
     at = F.sequence(F.lit(1), F.length(column) - (k - 1))
     return pieces.withColumn("_at", F.explode(at)).withColumn(
         "kmer", F.substr(column, F.col("_at"), F.lit(k))

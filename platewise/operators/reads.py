@@ -236,25 +236,30 @@ def position_counts(reads: DataFrame, bin_width: int = 1) -> DataFrame:
     as long reads are. This is the only step over single bases. Each task counts its rows with numpy, a
     bounded number of bases at a time, so only counts (positions x classes x scores per sample) leave it.
     """
-    schema = "run_id string, sample_id string, mate string, pos int, base string, quality int, n bigint"
+    schema = "run_id string, sample_id string, mate string, cells array<bigint>, counts array<bigint>"
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part in sq.slices(batch[["seq1", "seq2"]].map(lambda s: len(s or "")).sum(axis=1)):
                 rows = batch.iloc[part]
                 groups = rows.groupby(SAMPLE_KEY, sort=False).ngroup().to_numpy()
-                keys = rows[SAMPLE_KEY].assign(group=groups).drop_duplicates("group").set_index("group")
+                keys = dict(zip(groups.tolist(), rows[SAMPLE_KEY].itertuples(index=False, name=None)))
                 for n in (1, 2):
-                    cells = sq.count_symbols(rows[f"seq{n}"], rows[f"qual{n}"], groups, bin_width)
-                    yield keys.loc[cells["group"]].reset_index(drop=True).assign(
-                        mate=f"R{n}", **cells.drop(columns="group")
-                    )[["run_id", "sample_id", "mate", "pos", "base", "quality", "n"]]
+                    found = sq.count_cells(rows[f"seq{n}"], rows[f"qual{n}"], groups, bin_width)
+                    out = [(*keys[group], f"R{n}", cells, counts) for group, cells, counts in found]
+                    yield pd.DataFrame(out, columns=["run_id", "sample_id", "mate", "cells", "counts"])
 
     columns = reads.select(*SAMPLE_KEY, "seq1", "qual1", "seq2", "qual2")
+    cell = F.col("cell")
     return (
         columns.mapInPandas(count, schema)
-        .groupBy(*SAMPLE_KEY, "mate", "pos", "base", "quality")
-        .agg(F.sum("n").alias("n"))
+        .select(*SAMPLE_KEY, "mate", F.explode(F.arrays_zip("cells", "counts")).alias("x"))
+        .groupBy(*SAMPLE_KEY, "mate", F.col("x.cells").alias("cell"))
+        .agg(F.sum("x.counts").alias("n"))
+        .select(
+            *SAMPLE_KEY, "mate", sq.cell_position(cell, bin_width).alias("pos"), sq.cell_base(cell).alias("base"),
+            sq.cell_quality(cell).alias("quality"), "n",
+        )
     )
 
 

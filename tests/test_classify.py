@@ -38,10 +38,9 @@ def brute_index(genomes):
     return out
 
 
-@pytest.mark.parametrize("coarse,fine", [(16_384, 256), (64, 16), (8, 1)])
-def test_every_kmer_once(spark, monkeypatch, coarse, fine):
-    monkeypatch.setattr(cl, "COARSE", coarse)
-    monkeypatch.setattr(cl, "FINE", fine)
+@pytest.mark.parametrize("strides", [cl.STRIDES, (64, 16), (8, 1)])
+def test_every_kmer_once(spark, monkeypatch, strides):
+    monkeypatch.setattr(cl, "STRIDES", strides)
     random.seed(1)
     texts = ["", "ACGT", "ACGTACGT", "é" * 30 + "ü\n" * 10] + ["".join(random.choice("ACGT") for _ in range(n)) for n in (9, 15, 16, 17, 71, 72, 73, 300)]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, seq string")
