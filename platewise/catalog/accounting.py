@@ -227,7 +227,7 @@ def q26(spark, sf_dir):
 
     lines = st.load(spark, sf_dir, "conversations").select(path("conv_id"))
     files = lines.unionByName(st.load(spark, sf_dir, "labels").select(path("doc_id"))).distinct()
-    return acc.header_only(lines, files)
+    return acc.is_empty_or_header_only(lines, files)
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

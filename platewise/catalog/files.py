@@ -9,14 +9,16 @@ from platewise.catalog import query
 from platewise.catalog import standins as st
 from platewise.catalog.accounting import USAGE_SQL
 from platewise.catalog.summary import SUMMARY_SQL, q05
-from platewise.operators.accounting import sub_tool_versions
+from platewise.operators.accounting import is_empty_or_header_only, sub_tool_versions
 from platewise.operators.taxa import top_hits, union_species
 from platewise.plans.run_accounting import resource_log
 from platewise.session import shared_path
-from platewise.sources.artifacts import concat_lanes
+from platewise.sources.artifacts import concat_lanes, list_artifacts
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.sinks import append_resource_usage, append_versions, versions_as_text, write_qc_summary
-from platewise.sources.text import read_samples, read_species_calls, split_report_lines
+from platewise.sources.text import (
+    merge_species_calls, ordered_lines, read_genome_sizes, read_renames, read_samples, split_report_lines,
+)
 
 RUN_DIR = r"run_id=([^/]+)/"
 
@@ -73,7 +75,7 @@ def q40(spark, sf_dir):
     sheet = st.load(spark, sf_dir, "orders").select(
         st.run_of("o_custkey").alias("run_id"), F.col("o_custkey").cast("string").alias("sample_id")
     )
-    return union_species([read_species_calls(spark, f"{path}/*/*.csv", run_pattern=RUN_DIR)], sheet)
+    return union_species([merge_species_calls(spark, f"{path}/*/*.csv", run_pattern=RUN_DIR)], sheet)
 
 
 @query("q41_summary_tsv", f"SELECT * EXCLUDE (run_id, sample_ord, \"FASTQC_fails\"), nullif(\"FASTQC_fails\", '') AS \"FASTQC_fails\" FROM ({SUMMARY_SQL})")
@@ -125,3 +127,38 @@ def q42b(spark, sf_dir):
     tools = spark.createDataFrame([(1, "click", "per_sample", 1, None, None, None, subs)], schemas.TOOLS)
     append_versions(sub_tool_versions(tools, captured), path)
     return versions_as_text(spark.read.schema(schemas.VERSIONS).parquet(path))
+
+
+@query("q45_lookup_files", """SELECT 'size' AS kind, p_name AS name, CAST(p_retailprice AS VARCHAR) AS value FROM part WHERE p_size >= 10
+UNION ALL SELECT 'rename', s_name, 'nation ' || s_nationkey FROM supplier""")
+def q45(spark, sf_dir):
+    """Parts as genome sizes (small parts lack the third field and are ignored) and suppliers as renames."""
+    sizes_path, renames_path = shared_path(spark, "sizes"), shared_path(spark, "renames")
+    price = F.when(F.col("p_size") >= 10, F.col("p_retailprice").cast("string"))
+    line = F.concat_ws("\t", "p_name", F.col("p_partkey").cast("string"), price).alias("species\ttaxid\tgenome_size")
+    st.load(spark, sf_dir, "part").select(line).write.options(sep="\x01", header=True, quote="").csv(sizes_path)
+    st.load(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("old_name"), F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("new_name")
+    ).write.options(sep="\t", header=True).csv(renames_path)
+
+    def rows(table, kind, name, value):
+        return table.select(F.lit(kind).alias("kind"), F.col(name).alias("name"), F.col(value).alias("value"))
+
+    sizes = rows(read_genome_sizes(spark, sizes_path), "size", "species", "genome_size")
+    return sizes.unionByName(rows(read_renames(spark, renames_path), "rename", "old_name", "new_name"))
+
+
+@query("q46_artifact_files", """SELECT role, count(*) AS n_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, FALSE AS empty
+FROM (SELECT role, conv_id || ':' || turn || ':' || regexp_replace(text, '[\n\r]', ' ', 'g') AS line FROM conversations) GROUP BY role""")
+def q46(spark, sf_dir):
+    """Conversation turns as the lines of files, one folder per role: listed, measured and counted."""
+    path = shared_path(spark, "artifacts")
+    parts = [F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.regexp_replace("text", "[\\n\\r]", " ")]
+    rows = st.load(spark, sf_dir, "conversations").select("role", F.concat_ws(":", *parts).alias("value"))
+    rows.write.partitionBy("role").text(path)
+    found = list_artifacts(spark, path, glob="*.txt")
+    measured = is_empty_or_header_only(ordered_lines(spark, f"{path}/*/*.txt"), found).join(found, "path")
+    return measured.groupBy(F.regexp_extract("path", "role=([^/]+)/", 1).alias("role")).agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("length").alias("bytes"),
+        (F.sum("n_lines") == 0).alias("empty"),
+    )

@@ -8,6 +8,8 @@ from platewise.catalog import query
 from platewise.catalog import standins as st
 from platewise.functions import sequence as sq
 from platewise.operators import reads as rd
+from platewise.plans.read_stages import processed_reads
+from platewise.session import checkpointed
 
 
 @query("q18_read_stats", f"""WITH {st.READS},
@@ -144,3 +146,14 @@ def q24(spark, sf_dir):
 def q25(spark, sf_dir):
     reads = st.reads(spark, sf_dir)
     return rd.pair_count(rd.union_lanes([reads.where("lane = 'en'"), reads.where("lane <> 'en'")]))
+
+
+@query("q47_processed_reads", f"""WITH {TRIM_SQL}, p AS (
+  SELECT run_id, sample_id, lane, read_id, t.seq1, t.seq2, count(*) OVER (PARTITION BY run_id, sample_id) AS total,
+    row_number() OVER (PARTITION BY run_id, sample_id ORDER BY md5(concat_ws(':', '100', lane, read_id)), read_id) AS rn
+  FROM trimmed t JOIN (SELECT read_id, lane FROM reads) USING (read_id) WHERE survivor = 'paired')
+SELECT run_id, sample_id, lane, read_id, md5(seq1) AS seq1, md5(seq2) AS seq2 FROM p WHERE total <= 2 OR rn <= 1""")
+def q47(spark, sf_dir):
+    kept = processed_reads(checkpointed(_trimmed(spark, sf_dir)), n=1, min_pairs=2)
+    digests = [F.md5(F.col(c).cast("binary")).alias(c) for c in ("seq1", "seq2")]
+    return kept.select("run_id", "sample_id", "lane", "read_id", *digests)

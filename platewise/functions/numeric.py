@@ -35,7 +35,7 @@ def round_binary_half_even(x: str, digits: int) -> Column:
     return F.expr(_ROUND.format(x=f"CAST({x} AS DOUBLE)", scale=10**digits, digits=digits))
 
 
-def or_default(value: Column, default: object) -> Column:
+def default_missing(value: Column, default: object) -> Column:
     """``value``, or a literal where it is missing."""
     return F.coalesce(value, F.lit(default))
 

@@ -232,7 +232,7 @@ def stage_readiness(
     ).withColumn("ready", (F.col("missing_samples") == 0) & (F.col("missing_outputs") == 0))
 
 
-def header_only(lines: DataFrame, artifacts: DataFrame) -> DataFrame:
+def is_empty_or_header_only(lines: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Artifacts with the flag ``header_only``: at most one line, empty files included.
 
     ``lines`` has one row per text line with its ``path``.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise import reference_values as ref
-from platewise.functions.numeric import or_default, paired_total, round_binary_half_even
+from platewise.functions.numeric import default_missing, paired_total, round_binary_half_even
 from platewise.functions.text import base_sample_id
 from platewise.operators.taxa import first_present_key, first_second_taxa
 
@@ -83,26 +83,26 @@ def override_merge(metrics: DataFrame, calls: DataFrame) -> DataFrame:
 
     return (
         metrics.join(unique_calls(calls), ["run_id", "sample_id"], "left")
-        .withColumn("top_species", overlay("top_species", or_default(F.col("species_1"), ref.MISSING_TAXON)))
+        .withColumn("top_species", overlay("top_species", default_missing(F.col("species_1"), ref.MISSING_TAXON)))
         .withColumn("taxid", overlay("taxid", F.lit(ref.MISSING_CALL)))
         .withColumn("expected_genome_size", overlay("expected_genome_size", F.lit(ref.MISSING_CALL)))
         .drop("matched")
     )
 
 
-def finish_summary(merged: DataFrame) -> DataFrame:
+def round_metrics(merged: DataFrame) -> DataFrame:
     """Defaults, rounding and the 17 output columns, after ``run_id`` and ``sample_ord``."""
     def rounded(column: str, digits: int) -> Column:
         return round_binary_half_even(f"coalesce({column}, 0D)", digits)
 
     def taxon(column: str) -> Column:
-        return or_default(F.col(column), ref.MISSING_TAXON)
+        return default_missing(F.col(column), ref.MISSING_TAXON)
 
     return merged.select(
         "run_id",
         "sample_ord",
         F.col("base_id").alias("Sample_ID"),
-        or_default(paired_total(F.col("total_sequences")), 0).alias("Total_Trimmed_Reads"),
+        default_missing(paired_total(F.col("total_sequences")), 0).alias("Total_Trimmed_Reads"),
         rounded("percent_gc", 1).alias("GC_PCT"),
         rounded("avg_sequence_length", 1).alias("Avg_Sequence_Length"),
         rounded("surviving_pct", 2).alias("Passing_Trim_PCT"),
@@ -115,7 +115,7 @@ def finish_summary(merged: DataFrame) -> DataFrame:
         rounded("species_1_pct", 2).alias("Top_Species_PCT"),
         taxon("species_2").alias("Second_Species"),
         rounded("species_2_pct", 2).alias("Second_Species_PCT"),
-        or_default(F.col("fastqc_fails"), "").alias("FASTQC_fails"),
+        default_missing(F.col("fastqc_fails"), "").alias("FASTQC_fails"),
         F.col("taxid").alias("TaxID"),
         F.col("expected_genome_size").alias("Expected_Genome_Size"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise import reference_values as ref
-from platewise.functions.numeric import or_default
+from platewise.functions.numeric import default_missing
 from platewise.functions.text import clean_name, decode_rank
 
 SAMPLE_KEY = ["run_id", "sample_id"]
@@ -71,36 +71,31 @@ def top_species(lines: DataFrame, order: str = "report") -> DataFrame:
     )
 
 
-def first_wins(rows: DataFrame, key: str, value: str, order: str = "line_no") -> DataFrame:
-    """One row per key, taken from its first line."""
-    return rows.groupBy(key).agg(F.min_by(value, order).alias(value))
+def first_or_last_wins(rows: DataFrame, key: str, value: str, keep: str, order: str = "line_no") -> DataFrame:
+    """One row per key, taken from its first or its last line."""
+    pick = {"first": F.min_by, "last": F.max_by}[keep]
+    return rows.groupBy(key).agg(pick(value, order).alias(value))
 
 
-def last_wins(rows: DataFrame, key: str, value: str, order: str = "line_no") -> DataFrame:
-    """One row per key, taken from its last line."""
-    return rows.groupBy(key).agg(F.max_by(value, order).alias(value))
+def apply_rename(calls: DataFrame, lookup: DataFrame, column: str = "species") -> DataFrame:
+    """The listed new name in place of ``column``, else the name itself; ``lookup`` has one row per old name."""
+    renamed = lookup.select(F.col("old_name").alias(column), F.col("new_name").alias("_renamed"))
+    return calls.join(renamed, column, "left").withColumn(column, F.coalesce("_renamed", column)).drop("_renamed")
 
 
 def species_rename(calls: DataFrame, renames: DataFrame, column: str = "species") -> DataFrame:
     """Replace listed names; the taxid stays. The last of duplicate entries counts."""
-    lookup = last_wins(renames, "old_name", "new_name").select(
-        F.col("old_name").alias(column), F.col("new_name").alias("_renamed")
-    )
-    return (
-        calls.join(lookup, column, "left")
-        .withColumn(column, F.coalesce("_renamed", column))
-        .drop("_renamed")
-    )
+    return apply_rename(calls, first_or_last_wins(renames, "old_name", "new_name", "last"), column)
 
 
 def genome_size_lookup(calls: DataFrame, sizes: DataFrame, column: str = "species") -> DataFrame:
     """Expected genome size by exact name, 'NA' if unlisted. The first of duplicate entries counts."""
-    lookup = first_wins(sizes, "species", "genome_size").select(
+    lookup = first_or_last_wins(sizes, "species", "genome_size", "first").select(
         F.col("species").alias(column), F.col("genome_size").alias("_size")
     )
     return (
         calls.join(lookup, column, "left")
-        .withColumn("expected_genome_size", or_default(F.col("_size"), ref.MISSING_CALL))
+        .withColumn("expected_genome_size", default_missing(F.col("_size"), ref.MISSING_CALL))
         .drop("_size")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.operators.summary import assemble_qc, finish_summary, override_merge
+from platewise.operators.summary import assemble_qc, round_metrics, override_merge
 from platewise.sources.multiqc import read_multiqc_json
 from platewise.sources.text import read_samples
 
@@ -15,7 +15,7 @@ def qc_summary(
 ) -> DataFrame:
     """One row per sheet row: ``run_id, sample_ord`` and the 17 summary columns."""
     metrics = assemble_qc(samples, fastqc_general, trim_stats, kraken_hits, fastqc_status)
-    return finish_summary(override_merge(metrics, calls))
+    return round_metrics(override_merge(metrics, calls))
 
 
 def qc_summary_from_files(

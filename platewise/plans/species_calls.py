@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise import reference_values as ref
-from platewise.functions.numeric import or_default
+from platewise.functions.numeric import default_missing
 from platewise.operators.taxa import genome_size_lookup, species_rename, top_species
 
 
@@ -18,7 +18,7 @@ def species_calls(
     calls = genome_size_lookup(species_rename(top_species(lines, order), renames), sizes)
     return samples.select(*keys).distinct().join(calls, keys, "left").select(
         *keys,
-        or_default(F.col("species"), ref.UNKNOWN_SPECIES).alias("top_species"),
-        or_default(F.col("taxid"), ref.MISSING_CALL).alias("taxid"),
-        or_default(F.col("expected_genome_size"), ref.MISSING_CALL).alias("expected_genome_size"),
+        default_missing(F.col("species"), ref.UNKNOWN_SPECIES).alias("top_species"),
+        default_missing(F.col("taxid"), ref.MISSING_CALL).alias("taxid"),
+        default_missing(F.col("expected_genome_size"), ref.MISSING_CALL).alias("expected_genome_size"),
     )

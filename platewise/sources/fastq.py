@@ -98,19 +98,24 @@ class WrittenFiles(WriterCommitMessage):
 
 
 class FastqPairWriter(DataSourceArrowWriter):
-    """Every task writes its rows as lanes of its own, ``<sample>_L<task>_R1.fastq.gz`` and ``_R2``.
+    """Every task writes its rows as lanes of its own, ``<sample>_L<number>_R1.fastq.gz`` and ``_R2``.
 
-    Files get their name when the whole job commits, so a repeated task leaves no double.
+    Numbers start above the lanes that are there. Files get their name when the whole job commits, so a
+    repeated task leaves no double.
     """
 
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/")
+        filesystem, root = open_root(self.root)
+        there = filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        lanes = [re.match(READ_FILE, info.base_name) for info in there]
+        self.first_lane = max((int((m.group(2) or "L0")[1:]) + 1 for m in lanes if m), default=0)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WrittenFiles:
         filesystem, root = open_root(self.root)
         filesystem.create_dir(root, recursive=True)
         task = TaskContext.get()
-        lane, attempt = f"L{task.partitionId():03d}", task.taskAttemptId()
+        lane, attempt = f"L{self.first_lane + task.partitionId():03d}", task.taskAttemptId()
         streams: dict[str, tuple] = {}
         paths: list[tuple[str, str]] = []
         for batch in batches:

@@ -122,7 +122,7 @@ def read_renames(spark: SparkSession, path: str | None) -> DataFrame:
     return spark.createDataFrame([], schemas.RENAMES)
 
 
-def read_species_calls(
+def merge_species_calls(
     spark: SparkSession, path: str | list[str], run_pattern: str = r"([^/]+)/[^/]+/[^/]+/[^/]+\.species\.tsv$",
     **options: str,
 ) -> DataFrame:

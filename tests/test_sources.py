@@ -3,7 +3,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from platewise.operators.accounting import header_only
+from platewise.operators.accounting import is_empty_or_header_only
 from platewise.sources import artifacts as art
 from platewise.sources import text
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
@@ -76,7 +76,7 @@ def test_species_files_are_merged(spark, tmp_path, write, rows):
     head = "Sample_ID\tTop_Species\tTaxID\tExpected_Genome_Size\n"
     write(f"{tmp_path}/r1/kraken2/S1/S1.species.tsv", head + "S1\tEscherichia coli\t562\t5150000\n")
     write(f"{tmp_path}/r1/kraken2/S2/S2.species.tsv", head + "S2\tUnknown\tNA\tNA\n")
-    got = text.read_species_calls(spark, f"{tmp_path}/*/kraken2/*/*.species.tsv")
+    got = text.merge_species_calls(spark, f"{tmp_path}/*/kraken2/*/*.species.tsv")
     assert rows(got) == [("r1", "S1", "Escherichia coli", "562", "5150000"), ("r1", "S2", "Unknown", "NA", "NA")]
 
 
@@ -122,7 +122,7 @@ def test_artifacts_and_discovery(spark, tmp_path, write, rows):
         ("S 2+", "", "R1"), ("S1", "", "R1"), ("S1", "", "R2"), ("S10", "L001", "R1")
     ]
     lines = text.ordered_lines(spark, f"{tmp_path}/in", pathGlobFilter="*.tsv")
-    flags = header_only(lines, found.where(F.col("path").endswith(".tsv")))
+    flags = is_empty_or_header_only(lines, found.where(F.col("path").endswith(".tsv")))
     assert [(r.path.rsplit("/")[-1], r.n_lines, r.header_only) for r in flags.orderBy("path").collect()] == [
         ("empty.tsv", 0, True), ("head.tsv", 1, True)
     ]
@@ -190,11 +190,15 @@ def test_fastq_errors(spark, tmp_path, second, message):
 def test_fastq_round_trip_and_lanes(spark, tmp_path, rows):
     data = [("r", f"S{i % 3 or 10}", "", f"x{i}", "ACGT", "IIII", "GG", "##") for i in range(50)]
     schema = "run_id string, sample_id string, lane string, read_id string, seq1 string, qual1 string, seq2 string, qual2 string"
-    write_fastq_pairs(spark.createDataFrame(data, schema).repartition(4), str(tmp_path))
-    back = read_fastq_pairs(spark, str(tmp_path), run_id="r")
+    write_fastq_pairs(spark.createDataFrame(data, schema).repartition(4), f"{tmp_path}/reads")
+    back = read_fastq_pairs(spark, f"{tmp_path}/reads", run_id="r")
     expected = sorted((d[1], *d[3:]) for d in data)
     assert rows(back.drop("run_id", "lane")) == expected
-    assert not list(tmp_path.glob("*draft*"))
+    assert not list(tmp_path.glob("reads/*draft*"))
+    more = spark.createDataFrame([("r", "S1", "", "later", "A", "I", "C", "I")], schema)
+    write_fastq_pairs(more, f"{tmp_path}/more")
+    write_fastq_pairs(more, f"{tmp_path}/more")
+    assert read_fastq_pairs(spark, f"{tmp_path}/more").count() == 2
     sheet = spark.createDataFrame([("r", "S1"), ("r", "S10")], "run_id string, sample_id string")
     exact = art.concat_lanes(back, sheet).groupBy("sample_id").count()
     assert rows(exact) == [("S1", 17), ("S10", 17)]

@@ -64,8 +64,8 @@ def test_order_by_percent_is_an_option(spark, lines, sheet, rows):
 
 def test_first_genome_size_and_last_rename_win(spark, rows):
     renames, sizes = dimensions(spark)
-    assert dict(rows(taxa.first_wins(sizes, "species", "genome_size")))["Escherichia coli"] == "5150000"
-    assert rows(taxa.last_wins(renames, "old_name", "new_name")) == [ref.RENAMES[0]]
+    assert dict(rows(taxa.first_or_last_wins(sizes, "species", "genome_size", "first")))["Escherichia coli"] == "5150000"
+    assert rows(taxa.first_or_last_wins(renames, "old_name", "new_name", "last")) == [ref.RENAMES[0]]
 
 
 def test_first_and_second_taxa(spark, rows):
