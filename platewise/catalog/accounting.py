@@ -116,9 +116,11 @@ USAGE_SQL = f"""{st.TASK_RUNS},
 usage AS (
   SELECT run_id, tool, 'per_sample' AS execution_mode,
     count(*) FILTER (status = 'completed' AND value > 0) AS n_ran,
-    avg(value) FILTER (status = 'completed' AND value > 0) AS mean_memory_gb,
+    CAST(sum(CAST(value AS DECIMAL(28,12))) FILTER (status = 'completed' AND value > 0) AS DOUBLE)
+      / nullif(count(*) FILTER (status = 'completed' AND value > 0), 0) AS mean_memory_gb,
     max(value) FILTER (status = 'completed' AND value > 0) AS max_memory_gb,
-    avg((value + 0.5) / (k + 1)) FILTER (status = 'completed' AND value > 0) AS mean_cpu_cores,
+    CAST(sum(CAST((value + 0.5) / (k + 1) AS DECIMAL(28,12))) FILTER (status = 'completed' AND value > 0) AS DOUBLE)
+      / nullif(count(*) FILTER (status = 'completed' AND value > 0), 0) AS mean_cpu_cores,
     max((value + 0.5) / (k + 1)) FILTER (status = 'completed' AND value > 0) AS max_cpu_cores,
     max(epoch_us(ts) / 1e6) - min(epoch_us(ts) / 1e6 - runtime_s) AS runtime_seconds
   FROM task_runs GROUP BY ALL HAVING count(*) FILTER (status = 'completed' AND value > 0) > 0)"""

@@ -261,6 +261,11 @@ def classify_status(
     )
 
 
+def _exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order they arrive in."""
+    return F.sum(value.cast("decimal(28,12)")).cast("double")
+
+
 def resource_usage(task_runs: DataFrame) -> DataFrame:
     """Per (run, tool): tasks measured, mean and peak memory and cores, and the stage's runtime.
 
@@ -276,9 +281,10 @@ def resource_usage(task_runs: DataFrame) -> DataFrame:
         task_runs.groupBy("run_id", "tool", "execution_mode")
         .agg(
             F.count_if(counted).alias("n_ran"),
-            F.avg(F.when(counted, memory)).alias("mean_memory_gb"),
+            # null, not an error, where nothing was measured
+            F.try_divide(_exact_sum(F.when(counted, memory)), F.count_if(counted)).alias("mean_memory_gb"),
             F.max(F.when(counted, memory)).alias("max_memory_gb"),
-            F.avg(F.when(counted, cores)).alias("mean_cpu_cores"),
+            F.try_divide(_exact_sum(F.when(counted, cores)), F.count_if(counted)).alias("mean_cpu_cores"),
             F.max(F.when(counted, cores)).alias("max_cpu_cores"),
             span.alias("runtime_seconds"),
         )
@@ -324,7 +330,7 @@ def run_totals(task_runs: DataFrame) -> DataFrame:
     """Per (run, tool): tasks by outcome and the summed runtime."""
     return task_runs.groupBy("run_id", "tool").agg(
         *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in STATUSES],
-        F.sum("runtime_s").alias("runtime_s"),
+        _exact_sum(F.col("runtime_s")).alias("runtime_s"),
     )
 
 

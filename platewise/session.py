@@ -36,6 +36,8 @@ def shared_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="platewise-")
