@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from platewise.session import broadcast_if_small, checkpointed
+from platewise.session import broadcast_if_small, checkpointed, has_at_most
 
 SAMPLE_KEY = ["run_id", "sample_id"]
 STRIDES = (16_384, 1_024, 64)
@@ -23,7 +23,7 @@ def _chunks(rows: DataFrame, column: str, k: int, stride: int) -> DataFrame:
 
 
 def kmers(rows: DataFrame, column: str, k: int) -> DataFrame:
-    """One row per k-mer of ``column`` (whole text), in a column ``kmer`` in its place.
+    """One row per k-mer of ``column`` (whole text): ``kmer``, and ``at``, its place in the piece it was cut from.
 
     ``substr`` walks a UTF-8 string from its start, so strings are first cut in ever smaller pieces; the
     whole cost then stays near linear in the text. Strings shorter than k have no row.
@@ -32,9 +32,9 @@ def kmers(rows: DataFrame, column: str, k: int) -> DataFrame:
     for stride in STRIDES:
         pieces = _chunks(pieces, column, k, stride)
     at = F.sequence(F.lit(1), F.length(column) - (k - 1))
-    return pieces.withColumn("_at", F.explode(at)).withColumn(
-        "kmer", F.substr(column, F.col("_at"), F.lit(k))
-    ).drop("_at", column)
+    return pieces.withColumn("at", F.explode(at)).withColumn(
+        "kmer", F.substr(column, F.col("at"), F.lit(k))
+    ).drop(column)
 
 
 def _common_prefix(low: Column, high: Column) -> Column:
@@ -59,20 +59,45 @@ def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     return bounds.select("kmer", F.element_at(shared, -1).alias("taxid"))
 
 
-def kmer_match(reads: DataFrame, index: DataFrame, k: int, keys: list[str] | None = None) -> DataFrame:
+def _hot_kmers(reads: DataFrame, k: int, fraction: float, limit: int, at_least: int) -> DataFrame:
+    """The most frequent k-mers of a sample of the reads. They decide what is salted, not what is counted."""
+    counts = kmers(reads.select("seq").sample(fraction, seed=1), "seq", k).groupBy("kmer").agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "kmer").limit(limit).where(F.col("n") >= at_least)
+    return broadcast_if_small(top.select("kmer", F.lit(True).alias("hot")), limit)
+
+
+def _salted_join(read_kmers: DataFrame, index: DataFrame, hot: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """Join on the k-mer, with the rows of hot k-mers spread over ``salts`` copies of their index row.
+
+    Equal k-mers compress to next to nothing, so adaptive execution, which goes by bytes, would not see
+    a partition that holds a third of all rows.
+    """
+    spread = F.pmod(F.xxhash64(*keys, "at"), F.lit(salts)).cast("int")
+    left = read_kmers.join(hot, "kmer", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = index.join(hot, "kmer", "left").withColumn("salt", F.explode(copies)).drop("hot")
+    return left.drop("hot").join(right, ["kmer", "salt"])
+
+
+def kmer_match(
+    reads: DataFrame, index: DataFrame, k: int, keys: list[str] | None = None, max_broadcast: int = 1_000_000,
+    salts: int = 64, sample: float = 0.001, hot_limit: int = 1000, hot_count: int = 50,
+) -> DataFrame:
     """k-mer hits per (read, taxon): ``reads`` has its key columns and ``seq``.
 
-    A k-mer occurs once in the index, so a read k-mer meets at most one row. An index proven small is
-    broadcast and reads are not shuffled; otherwise the join shuffles by k-mer and adaptive execution
-    splits the partition of a hot k-mer.
+    A k-mer occurs once in the index, so a read k-mer meets at most one row. The index is stored; one of at
+    most ``max_broadcast`` rows is broadcast and reads are not shuffled before their hits are counted.
+    Beyond it both sides are shuffled by k-mer, with the hottest k-mers salted.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
     read_kmers = kmers(reads.select(*keys, "seq"), "seq", k)
-    return (
-        read_kmers.join(broadcast_if_small(index, max_rows=1_000_000), "kmer")
-        .groupBy(*keys, "taxid")
-        .agg(F.count("*").alias("hits"))
-    )
+    stored = checkpointed(index.select("kmer", "taxid"))
+    if has_at_most(stored, max_broadcast):
+        matched = read_kmers.join(F.broadcast(stored), "kmer")
+    else:
+        hot = _hot_kmers(reads, k, sample, hot_limit, hot_count)
+        matched = _salted_join(read_kmers, stored, hot, keys, salts)
+    return matched.groupBy(*keys, "taxid").agg(F.count("*").alias("hits"))
 
 
 def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -59,6 +59,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether a stored table has no more than ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     """Broadcast hint only when a count proves ``df`` has at most ``max_rows`` rows.
 
@@ -66,9 +71,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
     returned without a hint: the join then shuffles, and adaptive execution splits its hot keys.
     """
     stored = checkpointed(df)
-    if stored.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(stored)
-    return stored
+    return F.broadcast(stored) if has_at_most(stored, max_rows) else stored
 
 
 def spread_if_few(df: DataFrame, *columns: str) -> DataFrame:

@@ -97,10 +97,11 @@ def test_broadcast_only_below_the_bound(spark):
     assert "ResolvedHint" not in broadcast_if_small(small, 9)._jdf.queryExecution().analyzed().toString()
 
 
-def test_match_without_broadcast(spark, monkeypatch, taxonomy, genomes, rows):
+@pytest.mark.parametrize("hot_count", [5, 10**9])
+def test_match_without_broadcast(spark, taxonomy, genomes, rows, hot_count):
     references = spark.createDataFrame(list(genomes.items()), "taxid bigint, seq string")
     index = cl.kmer_index(references, taxonomy, K)
-    df = spark.createDataFrame([("r", "S", "x", genomes[100])], "run_id string, sample_id string, read_id string, seq string")
-    with_broadcast = rows(cl.kmer_match(df, index, K))
-    monkeypatch.setattr(cl, "broadcast_if_small", lambda side, max_rows: side)
-    assert rows(cl.kmer_match(df, index, K)) == with_broadcast
+    data = [("r", "S", f"x{n}", genomes[100] if n % 3 else "A" * 400 + "ACGT") for n in range(12)]
+    df = spark.createDataFrame(data, "run_id string, sample_id string, read_id string, seq string")
+    shuffled = cl.kmer_match(df, index, K, max_broadcast=0, salts=7, sample=1.0, hot_limit=3, hot_count=hot_count)
+    assert rows(shuffled) == rows(cl.kmer_match(df, index, K))
