@@ -22,12 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from platewise.llm.common import short_batches
-from platewise.llm.tokens import encoder
+from platewise.llm.packing import cut, with_separator
+from platewise.llm.tokens import TEXTS_PER_BATCH, encoder
 
 ROWS_PER_SHARD = 1024
 MEMBER = "struct<doc_id:bigint,piece:int,start:bigint,length:bigint,row:int,offset:int>"
@@ -84,13 +88,6 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
-def pieces_of(ids: np.ndarray, capacity: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of a document: the first takes the odd rest, the others are full."""
-    n = len(ids)
-    first = n if n <= capacity else n % capacity or capacity
-    return [(0, first), *((s, capacity) for s in range(first, n, capacity))] if n else []
-
-
 def write_shard(number: int, pieces: list, capacity: int, dtype: str, pad: int) -> dict:
     """One packed shard of pieces (doc_id, piece, start, ids)."""
     rows = best_fit_decreasing([len(p[3]) for p in pieces], capacity)
@@ -119,28 +116,31 @@ def pack_shards(
     pad: int = 0, dtype: str = "<u2", rows_per_shard: int = ROWS_PER_SHARD,
 ) -> DataFrame:
     """Packed shards (schema ``SHARD``) of whole texts. ``dtype`` must hold every id; ``separator`` ends each document."""
-    short_batches(docs.sparkSession)
-    tail = np.array([] if separator is None else [separator], "<u4")
+    short_batches(docs.sparkSession, TEXTS_PER_BATCH)
+    schema = to_arrow_schema(T._parse_datatype_string(SHARD))
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(shard: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([shard], schema=schema)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, waiting, tokens, block = encoder(vocabulary), [], 0, 0
         task = TaskContext.get().partitionId()
         for batch in batches:
-            for number, words in zip(batch["doc_id"], batch["text"]):
-                ids = np.concatenate([np.frombuffer(own.encode(words), "<u4"), tail])
-                for k, (start, n) in enumerate(pieces_of(ids, capacity)):
-                    if tokens + n > rows_per_shard * capacity:
-                        yield pd.DataFrame([write_shard((task << 24) + block, waiting, capacity, dtype, pad)])
-                        waiting, tokens, block = [], 0, block + 1
-                    waiting.append((None if number is None or number is pd.NA or number != number else int(number), k, start, ids[start:start + n].astype(dtype)))
-                    tokens += n
+            ids, offsets = with_separator(*own.encode(batch.column(1)), separator)
+            ids = ids.astype(dtype)
+            numbers = batch.column(0).to_pylist()
+            for document, piece, start, n in zip(*(x.tolist() for x in cut(np.diff(offsets), capacity))):
+                if tokens + n > rows_per_shard * capacity:
+                    yield batch_of(write_shard((task << 24) + block, waiting, capacity, dtype, pad))
+                    waiting, tokens, block = [], 0, block + 1
+                begin = offsets[document] + start
+                waiting.append((numbers[document], piece, start, ids[begin:begin + n]))
+                tokens += n
         if waiting:
-            yield pd.DataFrame([write_shard((task << 24) + block, waiting, capacity, dtype, pad)])
-
-    from pyspark.sql import functions as F
+            yield batch_of(write_shard((task << 24) + block, waiting, capacity, dtype, pad))
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInPandas(packed, SHARD)
+    return slim.mapInArrow(packed, SHARD)
 
 
 SEGMENT = "shard bigint, row int, segment int, doc_id bigint, piece int, start bigint, length bigint, offset int, ids_crc32 bigint, resets int"

@@ -25,42 +25,55 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.llm.common import free_name, short_batches, stored
-from platewise.llm.tokens import encoder
+from platewise.llm.tokens import TEXTS_PER_BATCH, encoder
 
 CAPACITY = 2048
-ROUNDS = 150
+ROUNDS = 50
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
+def cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of documents with these lengths: (document's position, piece, start, length). The first piece takes the odd rest."""
+    pieces = -(-lengths // capacity)
+    first = lengths - (pieces - 1) * capacity
+    document = np.repeat(np.arange(len(lengths)), pieces)
+    piece = np.arange(len(document)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = np.where(piece > 0, first[document] + (piece - 1) * capacity, 0)
+    return document, piece, start, np.where(piece > 0, capacity, first[document])
+
+
+def with_separator(ids: np.ndarray, offsets: np.ndarray, separator: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a column with the separator after each text."""
+    if separator is None:
+        return ids, offsets
+    return np.insert(ids, offsets[1:], separator), offsets + np.arange(len(offsets))
+
+
 def tokenize_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, separator: int | None = 0) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids): each document's ids and the separator, cut only if longer than ``capacity``.
 
     A cut document's first piece takes the odd rest, so that all other pieces are full. ``ids`` are little-endian unsigned 32-bit integers.
     """
-    short_batches(docs.sparkSession)
-    tail = b"" if separator is None else np.array([separator], "<u4").tobytes()
+    short_batches(docs.sparkSession, TEXTS_PER_BATCH)
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         for batch in batches:
-            rows = []
-            for number, words in zip(batch["doc_id"], batch["text"]):
-                ids = own.encode(words) + tail
-                n = len(ids) // 4
-                first = n if n <= capacity else n % capacity or capacity
-                starts = [0, *range(first, n, capacity)] if n else []
-                for k, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
-                    rows.append((number, k, a, b - a, ids[4 * a:4 * b]))
-            found = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-            found["doc_id"] = found["doc_id"].astype("Int64")
-            yield found
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(pieces, PIECE)
+            ids, offsets = with_separator(*own.encode(batch.column(1)), separator)
+            document, piece, start, length = cut(np.diff(offsets), capacity)
+            ends = np.concatenate([[0], np.cumsum(length)])
+            data = pa.Array.from_buffers(pa.large_binary(), len(document), [None, pa.py_buffer(ends * 4), pa.py_buffer(ids.astype("<u4"))])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(document)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), data.cast(pa.binary()),
+            ], names=["doc_id", "piece", "start", "length", "ids"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(pieces, PIECE)
 
 
 def knapsack(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import binary, chat, mixing, packing, quality, tokens, urls
+from platewise.llm import binary, chat, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
 from platewise.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,23 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = stored(binary.pack_shards(table(spark, sf_dir, "documents"), vocabulary()), "token-shards")
     return binary.read_segments(shards)
+
+
+@query("op3_minhash_neardup")
+def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query("op5_embedding_neardup")
+def op5_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_on(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))

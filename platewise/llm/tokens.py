@@ -1,9 +1,8 @@
 """Token ids of texts, and exact token counts for every context limit.
 
-``TextEncoder`` encodes with a byte-level BPE vocabulary file of the ``tokenizers`` library. A text is cut where white space
-follows something else: no token of such a vocabulary crosses that place. The pieces repeat far more often than texts do, so
-each is encoded once and looked up afterwards; the memory for that is bounded by ``CACHED`` pieces of two generations and has
-no influence on the ids.
+``TextEncoder`` encodes columns of whole texts with a byte-level BPE vocabulary file of the ``tokenizers`` library. The work is done by
+``tiktoken`` with the ranks taken from that file: the same ids (the tests compare them with ``tokenizers``) in a fifth of the time. A
+file whose ids do not follow its merges, for which this would not hold, is refused.
 
 ``length_histogram`` counts documents by encoded length, one row per group and length; ``context_table`` turns it by suffix sums
 into the answers for every context limit at which they change: documents and tokens in total, documents that are longer, tokens
@@ -16,22 +15,22 @@ count each time. An empty table gives an empty histogram. Input columns with oth
 from __future__ import annotations
 
 import json
-import os
-import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from types import ModuleType
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from platewise.llm.common import short_batches
+from platewise.llm.common import free_name, short_batches
 
-CACHED = 400_000
-#: White space other than space and line feed as the vocabulary's pattern sees it, and that pattern (fixed values).
-RARE_SPACE = "\t\v\f\r\x85\xa0  -     　"
-SPACE = f" \n{RARE_SPACE}"
+TEXTS_PER_BATCH = 1024
+#: White space as the vocabulary's pattern sees it, and that pattern (fixed values).
+SPACE = " \n\t\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 
@@ -42,82 +41,59 @@ def byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    """Ids of pieces as little-endian bytes; a missing piece is encoded. Holds two generations of ``CACHED`` pieces at most."""
-
-    def __init__(self, encode, limit: int):
-        super().__init__()
-        self.encode, self.limit, self.older = encode, limit, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        if len(self) >= self.limit:
-            self.older = dict(self)
-            self.clear()
-        self[piece] = ids
-        return ids
-
-
 class TextEncoder:
     """Ids of whole texts with a byte-level BPE vocabulary file; special tokens' strings are ordinary text."""
 
-    def __init__(self, path: str, cached: int = CACHED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        import tiktoken
 
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
         before = described.get("pre_tokenizer") or {}
         if described.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
             raise ValueError(f"{path} is not a plain byte-level vocabulary")
-        self.model = Tokenizer.from_file(path).model
-        self.words = regex.compile(PATTERN)
-        self.symbols = {ord(chr(b)): c for b, c in byte_symbols().items()}
-        self.spaced = _Pieces(lambda piece: self._encode(piece if piece[:1] == "\n" else " " + piece), cached)
-        self.general = _Pieces(self._encode, cached)
-        self.unusual = re.compile(f"[{RARE_SPACE}]")
-        self.cut = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-
-    def _encode(self, piece: str) -> bytes:
-        ids = [t.id for word in self.words.findall(piece) for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.symbols))]
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if self.unusual.search(text) or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1] in " \n" or text[0] in " \n":
-            return b"".join(map(self.general.__getitem__, self.cut.findall(text)))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self.general[first] + b"".join(map(self.spaced.__getitem__, rest))
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
-    """One encoder per worker process and file; it survives from task to task."""
-    return TextEncoder(path)
+        vocabulary = described["model"]["vocab"]
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in described["model"]["merges"]]
+        ids = [vocabulary[m] for m in merges]
+        if ids != sorted(set(ids)):
+            raise ValueError(f"the ids of {path} are not in the order of its merges")
+        special = {t["content"] for t in described.get("added_tokens", ())}
+        symbols = {c: b for b, c in byte_symbols().items()}
+        ranks = {bytes(symbols[c] for c in token): k for token, k in vocabulary.items() if token not in special}
+        self.one = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column one after the other, and where each text's begin (one more entry than texts)."""
+        found = [array("I", self.one(t)) if t else array("I") for t in texts.to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in found], dtype=np.int64)]).astype(np.int64)
+        return np.frombuffer(b"".join(found), np.uint32), offsets
 
 
-def encoded_length(text: Column, vocabulary: str, separator: bool = True) -> Column:
-    """Column of token counts of whole texts, with one more for a separator if asked for."""
-    @F.pandas_udf("long")
-    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = encoder(vocabulary)
-        for texts in batches:
-            yield pd.Series([len(own.encode(t)) // 4 + separator for t in texts], dtype="int64")
-
-    return count(text)
+def encoder(path: str) -> TextEncoder:
+    """One encoder per worker process and file. The code comes anew with each task, so it is kept where the process keeps modules."""
+    kept = vars(sys.modules.setdefault("platewise_encoders", ModuleType("platewise_encoders")))
+    if path not in kept:
+        kept[path] = TextEncoder(path)
+    return kept[path]
 
 
 def length_histogram(docs: DataFrame, vocabulary: str, by: Iterable[str] = (), text: str = "text", separator: bool = True) -> DataFrame:
-    """Rows (group columns, length, n): exact number of documents per encoded length."""
-    short_batches(docs.sparkSession)
+    """Rows (group columns, length, n): exact number of documents per encoded length, one more for a separator if asked for."""
+    short_batches(docs.sparkSession, TEXTS_PER_BATCH)
     by = list(by)
-    lengths = docs.select(*(F.col(f"`{c}`") for c in by), encoded_length(F.col(text), vocabulary, separator).alias("length"))
-    return lengths.groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n"))
+    groups = docs.select(*(F.col(f"`{c}`") for c in by)).schema
+    schema = T.StructType([*groups.fields, T.StructField("length", T.LongType())])
+    place, name = len(by), free_name(by, "text")
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(vocabulary)
+        for batch in batches:
+            _, offsets = own.encode(batch.column(place))
+            columns = [*(batch.column(k) for k in range(place)), pa.array(np.diff(offsets) + separator)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*by, "length"])
+
+    found = docs.select(*(F.col(f"`{c}`") for c in by), F.col(f"`{text}`").alias(name)).mapInArrow(lengths, schema)
+    return found.groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n"))
 
 
 def context_table(histogram: DataFrame, by: Iterable[str] = (), cell: int = 1024) -> DataFrame:
