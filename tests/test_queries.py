@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest driver tables."""
+"""Every query of the catalog against its SQL on the smallest driver tables."""
 
 import os
 
@@ -6,6 +6,7 @@ import pytest
 from oracle import connect, differences
 
 import __spark_entry__ as entry_module
+from platewise import catalog
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
@@ -19,7 +20,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
     df = entry_module.queries()[name](spark, SF_DIR)
     sql = entry_module.oracle_sql().get(name)
