@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sorted_groups(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Groups of rows with equal keys from batches sorted by them. One group is held from batch to batch, no more."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for x in values:
+            change |= x[1:] != x[:-1]
+        bounds = [0, *(np.nonzero(change)[0] + 1).tolist(), batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            key = tuple(x[a] for x in values)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value`` with ``value`` computed once, also where ``body`` uses it per array element."""
     return F.transform(F.array(value), body)[0]

@@ -96,7 +96,7 @@ def length_histogram(docs: DataFrame, vocabulary: str, by: Iterable[str] = (), t
     return found.groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n"))
 
 
-def context_table(histogram: DataFrame, by: Iterable[str] = (), cell: int = 1024) -> DataFrame:
+def context_table(histogram: DataFrame, by: Iterable[str] = (), cell: int = 64) -> DataFrame:
     """For every length that occurs, taken as the context limit: the totals and what a limit there does.
 
     Sums over all greater lengths are taken in two steps, inside cells of ``cell`` lengths and over the cells, so that no
