@@ -9,7 +9,8 @@ lengths, one number per length, is what is solved, whatever the size of the corp
    parts; the prices of what they cover fall. One pass of the knapsack gives the best configuration through every
    length, so a round uses many configurations at once. The best prices seen are also a lower bound for the number of sequences.
 2. Rounding. Each configuration is used as often as the whole part of its share says, never beyond what is left of a length. The rest,
-   at most one sequence per configuration in use, goes by best-fit decreasing, which is done on the histogram too.
+   at most one sequence per configuration in use, goes by best-fit decreasing or by filling sequence after sequence as full as
+   possible, whichever needs fewer; both work on the histogram too.
 3. Assignment. Pieces of a length are numbered: they are dealt to buckets by a hash, numbered in each bucket, and the sizes of
    the buckets before it are added. A length with a third of all pieces has as many buckets as it needs. A number then names a sequence
    and a place by a lookup in the plan, whose size is bounded by the configurations in use, not by the pieces.
@@ -180,6 +181,45 @@ def _with(configuration: tuple, length: int) -> tuple:
     return tuple(sorted(found.items(), reverse=True))
 
 
+def full_sequences(histogram: np.ndarray) -> dict:
+    """Fill sequence after sequence: the longest piece left, then those of the others that leave the least room, longer ones first.
+
+    What the others can add up to is a set of sums kept as the bits of one number; a filled configuration is repeated as often as
+    its lengths last.
+    """
+    capacity = len(histogram) - 1
+    left = {int(l): int(histogram[l]) for l in np.nonzero(histogram)[0][::-1]}
+    found: dict = {}
+    while left:
+        longest = next(iter(left))
+        room = capacity - longest
+        sums, mask, steps = 1, (1 << (room + 1)) - 1, []
+        for length, n in left.items():
+            if length > room:
+                continue
+            for _ in range(min(n - (length == longest), room // length)):
+                steps.append((length, sums))
+                grown = (sums | sums << length) & mask
+                if grown == sums:
+                    break
+                sums = grown
+            if sums >> room & 1:
+                break
+        chosen, at = {longest: 1}, sums.bit_length() - 1
+        for length, before in reversed(steps):
+            if not before >> at & 1:
+                chosen[length] = chosen.get(length, 0) + 1
+                at -= length
+        configuration = tuple(sorted(chosen.items(), reverse=True))
+        m = min(left[l] // n for l, n in configuration)
+        found[configuration] = found.get(configuration, 0) + m
+        for l, n in configuration:
+            left[l] -= m * n
+            if not left[l]:
+                del left[l]
+    return found
+
+
 def round_shares(histogram: np.ndarray, solution: Solution) -> dict:
     """Whole numbers of sequences per configuration that hold the histogram exactly."""
     left = histogram.astype(np.int64).copy()
@@ -190,17 +230,17 @@ def round_shares(histogram: np.ndarray, solution: Solution) -> dict:
             plan[configuration] = plan.get(configuration, 0) + m
             for l, n in configuration:
                 left[l] -= m * n
-    for configuration, n in best_fit(left).items():
+    for configuration, n in min((best_fit(left), full_sequences(left)), key=lambda p: sum(p.values())).items():
         plan[configuration] = plan.get(configuration, 0) + n
     return plan
 
 
 def plan_packing(histogram: np.ndarray, rounds: int = ROUNDS) -> tuple[dict, float]:
-    """Sequences per configuration, and the lower bound. Of the rounded program and plain best fit the better one is taken."""
+    """Sequences per configuration, and the lower bound. Of the rounded program and both plain ways the best one is taken."""
     if not histogram.any():
         return {}, 0.0
     solution = solve_configurations(histogram, rounds)
-    plans = [round_shares(histogram, solution), best_fit(histogram)]
+    plans = [round_shares(histogram, solution), best_fit(histogram), full_sequences(histogram)]
     return min(plans, key=lambda p: sum(p.values())), solution.bound
 
 

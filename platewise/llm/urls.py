@@ -8,7 +8,7 @@ coefficients are one array of ``FEATURES`` numbers, so scoring is an expression
 Rules fit their host and all its subdomains, if the path starts with the rule's path; the longest rule wins. They are a
 short list given by the caller, at most ``MAX_RULES``, looked up per suffix of the host in one constant map.
 
-Nulls and urls without ``://`` have an empty host and path; with no n-grams their score is that of the intercept alone. Repeated
+Nulls and urls without ``://`` have an empty host and path; nothing speaks against them, their score is 0. Repeated
 rows get the same verdict, an empty table stays empty, input columns are kept and never overwritten.
 """
 
@@ -82,7 +82,7 @@ class UrlModel:
         table = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
         found = buckets(url_host, url_path, len(self.weights))
         margin = let(found, lambda b: F.when(F.size(b) > 0, F.aggregate(b, F.lit(0.0), lambda a, k: a + F.get(table, k)) / _norm(b)).otherwise(F.lit(0.0)))
-        return 1 / (1 + F.exp(-(margin + self.intercept)))
+        return F.when(F.size(found) > 0, 1 / (1 + F.exp(-(margin + self.intercept)))).otherwise(F.lit(0.0))
 
 
 def train(labelled: DataFrame, features: int = FEATURES, penalty: float = 0.0002) -> UrlModel:
