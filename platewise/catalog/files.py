@@ -94,7 +94,7 @@ fit AS (
 SELECT run_id, '2025-01-15 14:23:10' AS timestamp, tool, execution_mode, n_ran, CAST(printf('%.3f', mean_memory_gb) AS DOUBLE) AS mean_memory_gb,
   CAST(printf('%.3f', max_memory_gb) AS DOUBLE) AS max_memory_gb, CAST(printf('%.1f', mean_cpu_cores) AS DOUBLE) AS mean_cpu_cores,
   CAST(printf('%.1f', max_cpu_cores) AS DOUBLE) AS max_cpu_cores, CAST(printf('%.1f', runtime_seconds) AS DOUBLE) AS runtime_seconds,
-  CAST(CASE tool WHEN 'click' THEN 10 WHEN 'view' THEN 4 END AS INTEGER) AS parallel, least(mr, cr) AS suggested_threads, mr AS memory_t_recommended, ml AS memory_t_limit,
+  CAST(CASE tool WHEN 'click' THEN 10 WHEN 'view' THEN 4 ELSE 1 END AS INTEGER) AS parallel, least(mr, cr) AS suggested_threads, mr AS memory_t_recommended, ml AS memory_t_limit,
   cr AS cpu_t_recommended, cl AS cpu_t_limit, CASE WHEN mr < cr THEN 'memory' WHEN memory IS NOT NULL THEN 'cpu' END AS bottleneck,
   CAST(printf('%.1f', least(mr, cr) * max_memory_gb / memory * 100) AS DOUBLE) AS mem_total_percent,
   CAST(printf('%.1f', least(mr, cr) * max_cpu_cores / cores * 100) AS DOUBLE) AS cpu_total_percent FROM fit""")

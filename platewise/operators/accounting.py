@@ -127,7 +127,7 @@ def existing_outputs(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 
 def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Missing inputs: one row per (run, tool, sample) and required path without an artifact."""
+    """Missing inputs: one row per (run, tool, sample) and required path, or glob, that no artifact fits."""
     needing = tools.where(F.size(F.coalesce("required", F.array().cast("array<string>"))) > 0)
     rows = (
         samples.withColumn("t", F.explode(_tool_array(needing, "required")))
@@ -148,7 +148,7 @@ def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artif
     )
     out = ["run_id", "tool", "sample_ord", "sample_id", "path"]
     wanted = rows.select(*out).unionByName(batch.select(*out))
-    return wanted.join(artifacts.select("path"), "path", "left_anti").select(*out)
+    return wanted.join(_present_paths(wanted, artifacts), "path", "left_anti").select(*out)
 
 
 def missing_preview(

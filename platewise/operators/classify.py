@@ -47,13 +47,21 @@ def _common_prefix(low: Column, high: Column) -> Column:
     return F.slice(low, F.lit(1), F.coalesce(F.get(differing, F.lit(0)), F.size(pairs)))
 
 
+def with_path(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """``rows`` with the path of their taxid; a taxid that the taxonomy does not have is an error that names it."""
+    unknown = F.raise_error(F.concat(F.lit("taxid not in the taxonomy: "), F.coalesce(F.col("taxid").cast("string"), F.lit("null"))))
+    joined = rows.join(taxonomy.select("taxid", F.col("path").alias("_path")), "taxid", "left")
+    path = F.when(F.col("_path").isNull(), unknown.cast(dict(taxonomy.dtypes)["path"])).otherwise(F.col("_path"))
+    return joined.withColumn("path", path).drop("_path")
+
+
 def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     """k-mer to the lowest common ancestor of all references that contain it.
 
     The common start of any set of paths is the common start of its smallest and its largest path, so a
     k-mer shared by every reference needs two values, combined before the shuffle, and no list.
     """
-    placed = references.select("taxid", "seq").join(taxonomy.select("taxid", "path"), "taxid")
+    placed = with_path(references.select("taxid", "seq"), taxonomy)
     bounds = kmers(placed, "seq", k).groupBy("kmer").agg(F.min("path").alias("low"), F.max("path").alias("high"))
     shared = _common_prefix(F.col("low"), F.col("high"))
     return bounds.select("kmer", F.element_at(shared, -1).alias("taxid"))
@@ -107,9 +115,8 @@ def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None
     read, are stored: both sides of the ancestor join need them, and k-mers should be matched once.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
-    paths = taxonomy.select("taxid", "path")
     stored = checkpointed(hits)
-    ancestors = stored.join(paths, "taxid").select(
+    ancestors = with_path(stored, taxonomy).select(
         *keys, "taxid", F.col("hits").alias("own"), F.explode("path").alias("ancestor")
     )
     weights = stored.select(*keys, F.col("taxid").alias("ancestor"), "hits")
@@ -133,7 +140,7 @@ def taxon_report(calls: DataFrame, taxonomy: DataFrame, digits: int = 2) -> Data
     total = counts.groupBy(*SAMPLE_KEY).agg(F.sum("direct").alias("total"))
     classified = counts.where(F.col("taxid").isNotNull())
     clades = (
-        classified.join(taxonomy.select("taxid", "path"), "taxid")
+        with_path(classified, taxonomy)
         .select(*SAMPLE_KEY, F.explode("path").alias("node"), "taxid", "direct")
         .groupBy(*SAMPLE_KEY, F.col("node").alias("taxid"))
         .agg(

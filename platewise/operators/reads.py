@@ -26,7 +26,7 @@ def union_lanes(lanes: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, lanes)
 
 
-def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: list[str]) -> DataFrame:
+def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: dict[int, list[str]]) -> DataFrame:
     """Steps in order: low-quality start, low-quality end, sliding window, minimum length, adapter."""
     lead = sq.leading_low(F.col(qual), p["leading"])
     step = reads.withColumn("_lead", lead)
@@ -39,7 +39,7 @@ def _trim_mate(reads: DataFrame, seq: str, qual: str, p: dict, seeds: list[str])
     step = step.withColumn(seq, F.substr(seq, F.col("_lead") + 1, F.col("_keep")))
     step = step.withColumn(qual, F.substr(qual, F.col("_lead") + 1, F.col("_keep")))
     if seeds:
-        step = step.withColumn("_adapter", sq.adapter_start(F.col(seq), seeds, p["mismatches"]))
+        step = step.withColumn("_adapter", F.array_min(F.array(*(sq.adapter_start(F.col(seq), own, m) for m, own in seeds.items()))))
         keep = F.coalesce("_adapter", F.length(seq))
         step = step.withColumn(qual, F.substr(qual, F.lit(1), keep)).withColumn(seq, F.substr(seq, F.lit(1), keep))
         step = step.drop("_adapter")
@@ -55,19 +55,25 @@ def trim_reads(
     required: int = ref.WINDOW_QUALITY,
     min_length: int = ref.MIN_LENGTH,
     mismatches: int = ref.SEED_MISMATCHES,
+    seed_length: int = SEED_LENGTH,
 ) -> DataFrame:
     """Trim both mates; a mate that does not survive becomes ''.
 
     The window step keeps the bases before the start of the first failing window. The adapter step comes
-    last, as listed by the stage: a read is cut where the first 16 bases of an adapter match with at most
-    ``mismatches`` differences. The length limit is not applied again afterwards. Adapters are a short
-    list of sequences; shorter ones than 16 bases are not used.
+    last, as listed by the stage: a read is cut where the first ``seed_length`` bases of an adapter match with
+    at most ``mismatches`` differences; a shorter adapter must match as a whole, with a share of the differences
+    in proportion to its length. The length limit is not applied again afterwards. Adapters are a short list
+    of sequences; an empty one is an error.
     """
     p = dict(
         leading=leading, trailing=trailing, window=window, required=required,
         min_length=min_length, mismatches=mismatches,
     )
-    seeds = sorted({a[:SEED_LENGTH] for a in adapters if len(a) >= SEED_LENGTH})
+    seeds: dict[int, list[str]] = {}
+    for seed in sorted({a[:seed_length] for a in adapters}):
+        if not seed:
+            raise ValueError("an adapter may not be empty")
+        seeds.setdefault(mismatches * len(seed) // seed_length, []).append(seed)
     out = _trim_mate(reads, "seq1", "qual1", p, seeds)
     return _trim_mate(out, "seq2", "qual2", p, seeds).withColumn(
         "survivor", split_survivors(F.length("seq1"), F.length("seq2"))

@@ -31,12 +31,13 @@ def write_top_hits(hits: DataFrame, path: str) -> None:
 
 
 def resource_rows(plan: DataFrame, tools: DataFrame, timestamp: str) -> DataFrame:
-    """Rows of the resource log from a capacity plan: the log's columns, rounding and order."""
+    """Rows of the resource log from a capacity plan: the log's columns, rounding and order; ``parallel`` is 1 if not given."""
     parallel = tools.select("tool", "parallel")
     digits = {
         "mean_memory_gb": 3, "max_memory_gb": 3, "mean_cpu_cores": 1, "max_cpu_cores": 1, "runtime_seconds": 1,
     }
     rows = plan.join(parallel, "tool", "left").withColumn("timestamp", F.lit(timestamp))
+    rows = rows.withColumn("parallel", F.coalesce("parallel", F.lit(1)))
     rows = rows.withColumns({name: round_binary_half_even(name, n) for name, n in digits.items()})
     return rows.select(
         "run_id", *[F.col(f.name).cast(f.dataType) for f in schemas.RESOURCE_USAGE.fields]

@@ -24,8 +24,12 @@ def line_position() -> Column:
 
     It is the start of the row's file block plus the row's number within its task. Blocks start at
     multiples of the split size, and a task reads at most that many bytes, so its rows number fewer; a
-    file that cannot be split is one block. Must be selected directly on the scan.
+    file that cannot be split is one block. Must be selected directly on the scan. With a setting that packs
+    several splits into a task this does not hold, so it is refused.
     """
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.files.maxPartitionNum", None):
+        raise ValueError("lines cannot be put in order while spark.sql.files.maxPartitionNum is set")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**_ROW_BITS - 1).cast("bigint"))
     return F.col("_metadata.file_block_start") + row
 

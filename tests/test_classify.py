@@ -105,3 +105,12 @@ def test_match_without_broadcast(spark, taxonomy, genomes, rows, hot_count):
     df = spark.createDataFrame(data, "run_id string, sample_id string, read_id string, seq string")
     shuffled = cl.kmer_match(df, index, K, max_broadcast=0, salts=7, sample=1.0, hot_limit=3, hot_count=hot_count)
     assert rows(shuffled) == rows(cl.kmer_match(df, index, K))
+
+
+def test_unknown_taxids_are_named(spark):
+    taxonomy = spark.createDataFrame([(1, [1])], "taxid bigint, path array<bigint>")
+    with pytest.raises(Exception, match="taxid not in the taxonomy: 99"):
+        cl.kmer_index(spark.createDataFrame([(99, "ACGTACGT")], "taxid bigint, seq string"), taxonomy, 5).collect()
+    hits = spark.createDataFrame([("r", "s", "x", 99, 3)], "run_id string, sample_id string, read_id string, taxid bigint, hits bigint")
+    with pytest.raises(Exception, match="taxid not in the taxonomy: 99"):
+        cl.classify_reads(hits, taxonomy).collect()

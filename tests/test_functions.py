@@ -29,18 +29,13 @@ def test_rounding_keeps_missing_and_special(spark):
         round_binary_half_even("v", 4)
 
 
-def _reference_runtime(s):
-    if s < 60:
-        return f"{s:.1f} seconds"
-    if s < 3600:
-        return f"{int(s // 60)}m {s % 60:.1f}s"
-    return f"{int(s // 3600)}h {int(s % 3600 // 60)}m {s % 60:.1f}s"
-
-
 def test_format_runtime(spark):
-    values = [0.0, 3.25, 29.3, 59.94, 59.96, 60.0, 61.25, 3599.99, 3600.0, 3661.5, 7325.75, 100000.05]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert [r[0] for r in df.select(format_runtime("v")).collect()] == [_reference_runtime(v) for v in values]
+    wanted = {
+        0.0: "0.0 seconds", 3.25: "3.2 seconds", 29.3: "29.3 seconds", 59.94: "59.9 seconds", 59.96: "60.0 seconds", 60.0: "1m 0.0s",
+        61.25: "1m 1.2s", 3599.99: "59m 60.0s", 3600.0: "1h 0m 0.0s", 3661.5: "1h 1m 1.5s", 7325.75: "2h 2m 5.8s", 100000.05: "27h 46m 40.1s",
+    }
+    df = spark.createDataFrame([(v,) for v in wanted], "v double")
+    assert [r[0] for r in df.select(format_runtime("v")).collect()] == list(wanted.values())
 
 
 def test_elapsed(spark):
