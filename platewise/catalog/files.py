@@ -13,7 +13,7 @@ from platewise.operators.accounting import is_empty_or_header_only, sub_tool_ver
 from platewise.operators.taxa import top_hits, union_species
 from platewise.plans.run_accounting import resource_log
 from platewise.session import shared_path
-from platewise.sources.artifacts import concat_lanes, list_artifacts
+from platewise.sources.artifacts import concat_lanes, discover_samples, list_artifacts
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.sinks import append_resource_usage, append_versions, versions_as_text, write_qc_summary
 from platewise.sources.text import (
@@ -62,6 +62,19 @@ def q39(spark, sf_dir):
     return back.select("sample_id", "read_id", *digests)
 
 
+@query("q48_discovered_lanes", f"""WITH {st.READS}, s AS (SELECT sample_id, count(*) AS n_pairs FROM reads GROUP BY 1)
+SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 AS sample_ord, n_pairs FROM s""")
+def q48(spark, sf_dir):
+    """Files of two lanes per sample; the sheet is what their names say."""
+    path = shared_path(spark, "lanes")
+    reads = st.reads(spark, sf_dir).withColumn("seq1", F.lit("ACGT")).withColumn("qual1", F.lit("IIII")).withColumn("seq2", F.lit("AC")).withColumn("qual2", F.lit("II"))
+    write_fastq_pairs(reads.repartition(2, "read_id"), path)
+    sheet = discover_samples(list_artifacts(spark, path), run_id="r1")
+    back = concat_lanes(read_fastq_pairs(spark, path, run_id="r1"), sheet)
+    counts = back.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_pairs"))
+    return sheet.join(counts, "sample_id").select("sample_id", "sample_ord", "n_pairs")
+
+
 @query("q40_species_files", """SELECT 'run' || (c_custkey % 8) AS run_id, CAST(c_custkey AS VARCHAR) AS sample_id, c_mktsegment AS top_species,
   CAST(c_nationkey AS VARCHAR) AS taxid, 'NA' AS expected_genome_size FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)""")
 def q40(spark, sf_dir):

@@ -7,13 +7,13 @@ from fnmatch import fnmatchcase
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.text import base_name, parent_dir
 from platewise.session import broadcast_if_small
 
-READ_FILE = r"^(.+?)(?:_(L\d{3,}))?_(R[12])\.fastq(?:\.gz)?$"
+READ_FILE = r"^(.+?)(?:_(L\d{3,}))?_(R[12])\.(?:fastq|fq)(?:\.gz)?$"
 
 
 def open_root(root: str) -> tuple[fs.FileSystem, str]:
@@ -49,13 +49,16 @@ def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None
     return top.unionByName(deep).where("is_file").select("path", "length")
 
 
-def discover_samples(artifacts: DataFrame) -> DataFrame:
-    """Sample ids from first-mate file names: the name without ``_R1.fastq.gz``, one row per directory."""
-    name = base_name(F.col("path"))
-    first_mates = artifacts.where(name.endswith("_R1.fastq.gz"))
-    return first_mates.select(
-        parent_dir(F.col("path")).alias("dir"), F.regexp_extract(name, r"(?s)^(.*)_R1\.fastq\.gz$", 1).alias("sample_id")
-    ).distinct()
+def discover_samples(artifacts: DataFrame, run_id: str = "", run_pattern: str | None = None) -> DataFrame:
+    """The samples that first-mate file names announce, as a sheet: ``run_id, sample_ord, sample_id``.
+
+    Ids follow the rule of ``lane_files``, which ``read_fastq_pairs`` keeps too: all lanes and folders of an id are one sample.
+    The run is ``run_id``, or group 1 of ``run_pattern`` in the path. Samples of a run are numbered from 0 by their ids.
+    """
+    run = F.regexp_extract("path", run_pattern, 1) if run_pattern else F.lit(run_id)
+    ids = lane_files(artifacts).where(F.col("mate") == "R1").select(run.alias("run_id"), "sample_id").distinct()
+    place = F.row_number().over(Window.partitionBy("run_id").orderBy("sample_id")) - 1
+    return ids.select("run_id", place.cast("long").alias("sample_ord"), "sample_id")
 
 
 def lane_files(artifacts: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ _BATCH_ROWS = 8192
 
 @dataclass
 class FilePair(InputPartition):
+    run_id: str
     sample_id: str
     lane: str
     path1: str
@@ -50,6 +51,7 @@ class FastqPairReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root = options["path"]
         self.run_id = options.get("run_id", "")
+        self.run_pattern = options.get("run_pattern")
         self.recursive = options.get("recursive", "true").lower() == "true"
 
     def partitions(self) -> list[FilePair]:
@@ -61,18 +63,27 @@ class FastqPairReader(DataSourceReader):
             if info.is_file and match:
                 sample_id, lane, mate = match.groups()
                 folder = info.path[: -len(info.base_name)]
-                found.setdefault((folder, sample_id, lane or ""), {})[mate] = info.path
+                ending = info.base_name[match.end(3):]
+                found.setdefault((folder, sample_id, lane or "", ending), {})[mate] = info.path
         pairs = []
-        for (_, sample_id, lane), mates in sorted(found.items()):
+        for (_, sample_id, lane, _), mates in sorted(found.items()):
             if set(mates) != {"R1", "R2"}:
                 raise FileNotFoundError(f"mate file missing for {next(iter(mates.values()))}")
-            pairs.append(FilePair(sample_id, lane, mates["R1"], mates["R2"]))
+            pairs.append(FilePair(self._run_of(mates["R1"]), sample_id, lane, mates["R1"], mates["R2"]))
         return pairs
 
+    def _run_of(self, path: str) -> str:
+        if not self.run_pattern:
+            return self.run_id
+        match = re.search(self.run_pattern, path)
+        if not match:
+            raise ValueError(f"no run in path {path}")
+        return match.group(1)
+
     def read(self, partition: FilePair) -> Iterator[pa.RecordBatch]:
         filesystem, _ = open_root(self.root)
         schema = pa.schema([(name, pa.string()) for name in schemas.READS.names])
-        fixed = [self.run_id, partition.sample_id, partition.lane]
+        fixed = [partition.run_id, partition.sample_id, partition.lane]
         rows: list[tuple] = []
 
         def as_batch() -> pa.RecordBatch:
@@ -166,10 +177,15 @@ class FastqPairs(DataSource):
         return FastqPairWriter(self.options)
 
 
-def read_fastq_pairs(spark: SparkSession, path: str, run_id: str = "", spread: int | None = None) -> DataFrame:
-    """Read pairs below a directory. ``spread`` redistributes rows of few large files by read id."""
+def read_fastq_pairs(spark: SparkSession, path: str, run_id: str = "", spread: int | None = None, run_pattern: str | None = None) -> DataFrame:
+    """Read pairs below a directory, of ``.fastq`` and ``.fq`` files, plain or gz.
+
+    All belong to ``run_id``, or each file to group 1 of ``run_pattern`` in its path; a path without it is an error.
+    ``spread`` redistributes rows of few large files by read id.
+    """
     spark.dataSource.register(FastqPairs)
-    reads = spark.read.format("fastq_pairs").option("run_id", run_id).load(path)
+    source = spark.read.format("fastq_pairs").option("run_id", run_id)
+    reads = (source.option("run_pattern", run_pattern) if run_pattern else source).load(path)
     return reads.repartition(spread, "sample_id", "read_id") if spread else reads
 
 

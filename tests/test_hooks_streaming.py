@@ -38,7 +38,8 @@ def test_progress_counts_each_row_once(spark, tmp_path, rows):
     progress = stream_progress(arriving, ["id"])
     expected = {}
     for step in range(3):
-        new = [(i, "r", "trim", "completed" if i % 4 else "failed", t0 + dt.timedelta(minutes=i)) for i in range(step * 10, step * 10 + 10)]
+        # each step is three hours older than the one before
+        new = [(i, "r", "trim", "completed" if i % 4 else "failed", t0 + dt.timedelta(minutes=i, hours=-3 * step)) for i in range(step * 10, step * 10 + 10)]
         again = new[:3]
         spark.createDataFrame(new + again, schema).write.mode("append").parquet(f"{tmp_path}/in")
         for _, run, tool, status, _ in new:

@@ -117,7 +117,7 @@ def test_artifacts_and_discovery(spark, tmp_path, write, rows):
     write(f"{tmp_path}/in/head.tsv", "only\n")
     found = art.list_artifacts(spark, str(tmp_path))
     assert found.columns == ["path", "length"] and found.count() == 6
-    assert rows(art.discover_samples(found), "sample_id") == [("S 2+",), ("S1",), ("S10_L001",)]
+    assert rows(art.discover_samples(found), "sample_id") == [("S 2+",), ("S1",), ("S10",)]
     assert rows(art.lane_files(found), "sample_id", "lane", "mate") == [
         ("S 2+", "", "R1"), ("S1", "", "R1"), ("S1", "", "R2"), ("S10", "L001", "R1")
     ]
@@ -175,6 +175,25 @@ def test_fastq_pairs(spark, tmp_path, rows):
     assert reads.rdd.getNumPartitions() == 3
 
 
+def test_discovered_samples_keep_their_lanes(spark, tmp_path, rows):
+    for run, name, read in (("a", "S1_L001_{}.fastq.gz", "x1"), ("a", "S1_L002_{}.fastq.gz", "x2"), ("b", "S1_{}.fq.gz", "y1"), ("b", "S0_{}.fq.gz", "y2")):
+        (tmp_path / f"run={run}").mkdir(exist_ok=True)
+        for mate in ("R1", "R2"):
+            _fastq(f"{tmp_path}/run={run}/{name.format(mate)}", [(read, "ACGT", "IIII")])
+    pattern = "run=([^/]+)/"
+    sheet = art.discover_samples(art.list_artifacts(spark, str(tmp_path)), run_pattern=pattern)
+    assert rows(sheet) == [("a", 0, "S1"), ("b", 0, "S0"), ("b", 1, "S1")]
+    reads = read_fastq_pairs(spark, str(tmp_path), run_pattern=pattern)
+    for prefix in (False, True):
+        assert rows(art.concat_lanes(reads, sheet, prefix=prefix), "run_id", "sample_id", "lane", "read_id") == [
+            ("a", "S1", "L001", "x1"), ("a", "S1", "L002", "x2"), ("b", "S0", "", "y2"), ("b", "S1", "", "y1")
+        ]
+    one = str(tmp_path / "run=a")
+    assert art.concat_lanes(read_fastq_pairs(spark, one), art.discover_samples(art.list_artifacts(spark, one))).count() == 2
+    with pytest.raises(Exception, match="no run in path"):
+        read_fastq_pairs(spark, one, run_pattern="sheet=([^/]+)/").collect()
+
+
 @pytest.mark.parametrize("second,message", [
     (None, "mate file missing"), ([("x", "A", "I")], "mates out of step"), ([], "mates out of step"),
     ([("r1", "AC", "I")], "broken read record"),
