@@ -72,9 +72,10 @@ def top_species(lines: DataFrame, order: str = "report") -> DataFrame:
 
 
 def first_or_last_wins(rows: DataFrame, key: str, value: str, keep: str, order: str = "line_no") -> DataFrame:
-    """One row per key, taken from its first or its last line."""
+    """One row per key, taken from its first or its last line. Rows with a ``path`` are ordered by it first."""
     pick = {"first": F.min_by, "last": F.max_by}[keep]
-    return rows.groupBy(key).agg(pick(value, order).alias(value))
+    at = F.struct("path", order) if "path" in rows.columns else F.col(order)
+    return rows.groupBy(key).agg(pick(value, at).alias(value))
 
 
 def apply_rename(calls: DataFrame, lookup: DataFrame, column: str = "species") -> DataFrame:

@@ -105,17 +105,17 @@ def read_report_lines(
 def _lookup_table(spark: SparkSession, path: str, columns: list[str], **options: object) -> DataFrame:
     schema = schemas.table(**{c: schemas.STR for c in columns})
     rows = spark.read.options(sep="\t", header=True, **options).schema(schema).csv(path)
-    return rows.select(line_position().alias("line_no"), *columns)
+    return rows.select(file_path().alias("path"), line_position().alias("line_no"), *columns)
 
 
 def read_genome_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Genome sizes (TSV, header); rows with fewer than three fields are ignored."""
+    """Genome sizes (TSV, header), ordered by file and line; rows with fewer than three fields are ignored."""
     rows = _lookup_table(spark, path, ["species", "taxid", "genome_size"], quote="")
     return rows.where(F.col("genome_size").isNotNull())
 
 
 def read_renames(spark: SparkSession, path: str | None) -> DataFrame:
-    """Species renames (TSV, header); without the file there are none."""
+    """Species renames (TSV, header), ordered by file and line; without the file there are none."""
     if path:
         try:
             rows = _lookup_table(spark, path, ["old_name", "new_name"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from platewise.operators.accounting import is_empty_or_header_only
 from platewise.sources import artifacts as art
 from platewise.sources import text
+from platewise.operators.taxa import first_or_last_wins
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.multiqc import read_multiqc_json
 from platewise.sources.sinks import write_top_hits
@@ -70,6 +71,11 @@ def test_lookup_tables(spark, tmp_path, write, rows):
     assert rows(text.read_renames(spark, renames), "old_name", "new_name") == [("a", "b")]
     assert text.read_renames(spark, f"{tmp_path}/none.tsv").count() == 0
     assert text.read_renames(spark, None).count() == 0
+    # the first line of either file has the same number: the files' paths decide
+    two = [write(f"{tmp_path}/sizes_{k}.tsv", f"species\ttaxid\tgenome_size\nA\t1\t{k}\n") for k in (9, 3, 5)]
+    several = text.read_genome_sizes(spark, two)
+    for keep, size in (("first", "3"), ("last", "9")):
+        assert rows(first_or_last_wins(several, "species", "genome_size", keep)) == [("A", size)]
 
 
 def test_species_files_are_merged(spark, tmp_path, write, rows):
