@@ -37,12 +37,29 @@ def q07b(spark, sf_dir):
     return _manifest(spark, sf_dir)
 
 
+@query("q49_template_values", f"""WITH {st.MANIFEST}
+SELECT m.run_id, tool, sample_id, CASE WHEN path IS NOT NULL AND sample_id IS NULL AND tool = 'report' THEN '/data/' || m.run_id || '/report.html'
+  WHEN sample_id IS NULL THEN '/data/' || m.run_id || '/F/summary.tsv'
+  ELSE '/data/' || m.run_id || '/out/' || tool || '/' || sample_id || '.v' || right(m.run_id, 1) || '.x' END AS path
+FROM manifest m""")
+def q49(spark, sf_dir):
+    text = "map<string,string>"
+    values = F.create_map(F.lit("sample_output_dir"), F.lit("{rundir}/{folder}/{tool}"), F.lit("tool"), F.lit("not used"))
+    tools = st.tools(spark).withColumn("tool_values", F.when(F.col("sample_output_pattern").isNotNull(), values).cast(text)).withColumn(
+        "sample_output_pattern", F.when(F.col("sample_output_pattern").isNotNull(), F.lit("{sample_output_dir}/{sample_id}.v{version}.x"))
+    )
+    settings = F.create_map(F.lit("folder"), F.lit("out"), F.lit("version"), F.right("run_id", F.lit(1)))
+    runs = st.runs(spark, sf_dir).withColumn("settings", settings.cast(text))
+    return acc.expected_manifest(st.samples(spark, sf_dir), tools, runs).select("run_id", "tool", "sample_id", "path")
+
+
 @query("q09_glob_match", r"""WITH files AS (
   SELECT regexp_extract(url, '(?s)^(.*)/[^/]*$', 1) AS dir, regexp_extract(url, '[^/]*$') AS name FROM pages),
 patterns AS (
   SELECT dir, substr(name, 1, 1) || '*' AS name FROM files
   UNION SELECT dir, '*' || right(name, 1) FROM files UNION SELECT dir, '??' FROM files
-  UNION SELECT dir, substr(name, 1, 1) || '*[0-4]' FROM files)
+  UNION SELECT dir, substr(name, 1, 1) || '*[0-4]' FROM files
+  UNION SELECT dir, '*' || substr(name, 2, 3) || '?*' FROM files UNION SELECT dir, '*a?*' || substr(name, 3, 2) || '*' FROM files)
 SELECT dir || '/' || name AS pattern FROM patterns p
 WHERE EXISTS (SELECT 1 FROM files f WHERE f.dir = p.dir AND f.name GLOB p.name)""")
 def q09(spark, sf_dir):
@@ -50,7 +67,8 @@ def q09(spark, sf_dir):
     name, parent = base_name(url), parent_dir(url)
     first, last = F.substr(name, F.lit(1), F.lit(1)), F.right(name, F.lit(1))
     globs = F.array(
-        F.concat(first, F.lit("*")), F.concat(F.lit("*"), last), F.lit("??"), F.concat(first, F.lit("*[0-4]"))
+        F.concat(first, F.lit("*")), F.concat(F.lit("*"), last), F.lit("??"), F.concat(first, F.lit("*[0-4]")),
+        F.concat(F.lit("*"), F.substr(name, F.lit(2), F.lit(3)), F.lit("?*")), F.concat(F.lit("*a?*"), F.substr(name, F.lit(3), F.lit(2)), F.lit("*")),
     )
     pages = st.load(spark, sf_dir, "pages")
     patterns = pages.select(parent.alias("dir"), F.explode(globs).alias("name")).select(

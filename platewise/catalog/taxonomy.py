@@ -83,6 +83,18 @@ def q29_classify(spark, sf_dir):
     return cl.classify_reads(q29_match(spark, sf_dir), _taxonomy(spark, sf_dir), keys=["doc_id"])
 
 
+@query("q29d_pair_classify", f"""WITH {INDEX_SQL}, {st.READS},
+kmers AS (
+  SELECT read_id, substr(seq, CAST(i AS INTEGER), {K}) AS kmer
+  FROM (SELECT read_id, seq, unnest(range(1, length(seq) - {K} + 2)) AS i FROM mates WHERE length(seq) >= {K})),
+hits AS (SELECT read_id AS doc_id, taxid, count(*) AS hits FROM kmers JOIN idx USING (kmer) GROUP BY ALL),
+{CALLS_SQL.removeprefix(HITS_SQL).lstrip(", ")}
+SELECT run_id, sample_id, doc_id AS read_id, taxid, score FROM calls JOIN reads ON reads.read_id = doc_id""")
+def q29_pairs(spark, sf_dir):
+    hits = cl.kmer_match(st.reads(spark, sf_dir), _index(spark, sf_dir), K, seqs=("seq1", "seq2"))
+    return cl.classify_reads(hits, _taxonomy(spark, sf_dir))
+
+
 @query("q36_document_report", f"""WITH {CALLS_SQL},
 placed AS (
   SELECT 'run' || (d.doc_id % 8) AS run_id, source AS sample_id, taxid FROM documents d LEFT JOIN calls c ON c.doc_id = d.doc_id),

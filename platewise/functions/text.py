@@ -42,12 +42,20 @@ def expand_template(template: Column, values: dict[str, Column]) -> Column:
     """
     out = template
     for name, value in values.items():
-        token = "{" + name + "}"
-        text = value.cast("string")
-        out = F.when(text.isNull(), out).otherwise(F.replace(out, F.lit(token), text))
+        token = F.lit("{" + name + "}")
+        out = F.replace(out, token, F.coalesce(value.cast("string"), token))
     return out
 
 
+def expand_entries(template: Column, entries: Column) -> Column:
+    """Replace each ``{key}`` by its value, for (key, value) entries in the order of their keys; null values leave the name."""
+    known = F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull())
+    return F.aggregate(
+        F.array_sort(known), template,
+        lambda text, e: F.replace(text, F.concat(F.lit("{"), e["key"], F.lit("}")), e["value"]),
+    )
+
+
 def parent_dir(path: Column) -> Column:
     """Everything before the last slash, '' if there is none."""
     return F.regexp_extract(path, r"(?s)^(.*)/[^/]*$", 1)
@@ -81,6 +89,14 @@ def glob_suffix(pattern: Column) -> Column:
     return F.regexp_extract(pattern, r"(?s)[*?\[\]]([^*?\[\]]*)$", 1)
 
 
+def glob_pieces(pattern: Column) -> Column:
+    """Literal texts between the wildcards of a pattern, start and end left out; only '' where it has a character class."""
+    rest = F.length(pattern) - F.length(glob_prefix(pattern)) - F.length(glob_suffix(pattern))
+    middle = F.substr(pattern, F.length(glob_prefix(pattern)) + 1, F.greatest(rest, F.lit(0)))
+    found = F.filter(F.array_distinct(F.split(middle, "[*?]+")), lambda piece: piece != "")
+    return F.when(middle.contains("[") | (F.size(found) == 0), F.array(F.lit(""))).otherwise(found)
+
+
 def parse_elapsed(text: Column) -> Column:
     """Seconds from ``h:mm:ss`` or ``m:ss.ss``."""
     return F.aggregate(

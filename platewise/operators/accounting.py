@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from platewise import reference_values as ref
 from platewise.functions.numeric import round_binary_half_even
 from platewise.functions.text import (
-    base_name, expand_template, glob_prefix, glob_suffix, glob_to_regex, has_wildcard, parent_dir,
+    base_name, expand_entries, expand_template, glob_pieces, glob_prefix, glob_suffix, glob_to_regex, has_wildcard, parent_dir,
     parse_skip_list,
 )
 from platewise.session import checkpointed
@@ -35,15 +35,33 @@ def is_allowed_failure(rows: DataFrame, allowed: DataFrame) -> DataFrame:
 
 def _tool_array(tools: DataFrame, *columns: str) -> Column:
     """The tool definitions as one array value (a configuration, a few entries), ordered."""
-    rows = F.sort_array(F.collect_list(F.struct("tool_ord", "tool", "execution_mode", *columns)))
-    return tools.agg(rows.alias("tools")).scalar()
+    values = F.map_entries("tool_values") if "tool_values" in tools.columns else F.array().cast(_VALUES)
+    rows = tools.withColumn("tool_values", F.coalesce(values, F.array().cast(_VALUES)))
+    return rows.agg(F.sort_array(F.collect_list(F.struct("tool_ord", "tool", "execution_mode", *columns, "tool_values"))).alias("tools")).scalar()
+
+
+_VALUES = "array<struct<key:string,value:string>>"
+
+
+def _settings(runs: DataFrame) -> DataFrame:
+    """``runs`` with ``settings`` as entries, none where the runs have no settings."""
+    values = F.map_entries("settings") if "settings" in runs.columns else F.array().cast(_VALUES)
+    return runs.withColumn("settings", F.coalesce(values, F.array().cast(_VALUES)))
 
 
 def _path(pattern: Column, extra: dict[str, Column] | None = None) -> Column:
+    """The pattern with all its names replaced, in one pass of three steps, so that a value may hold names of a later step.
+
+    First the values of the tool, then the settings of the run, each in the order of their names, then the names that every path knows;
+    those are never taken from the values or settings.
+    """
     values = {
         "runid": F.col("run_id"), "rundir": F.col("rundir"), "script_dir": F.col("script_dir"),
         "input_dir": F.col("input_dir"), "tool": F.col("tool"), **(extra or {}),
     }
+    known = F.array(*[F.lit(name) for name in values])
+    for entries in (F.col("tool_values"), F.col("settings")):
+        pattern = expand_entries(pattern, F.filter(entries, lambda e: ~F.array_contains(known, e["key"])))
     return expand_template(pattern, values)
 
 
@@ -51,7 +69,8 @@ def expected_manifest(samples: DataFrame, tools: DataFrame, runs: DataFrame) ->
     """Every output the tools should leave: one row per sample and per-sample output, one per batch output.
 
     The tool definitions enter as one array that each row explodes, so the size is samples times tools
-    without a join; run settings come by run id.
+    without a join; run settings come by run id. ``runs`` may have a map ``settings`` and ``tools`` a map ``tool_values`` of names
+    that paths can use.
     """
     out = ["run_id", "tool_ord", "tool", "execution_mode", "sample_ord", "sample_id", "path"]
     per_sample = tools.where(F.col("sample_output_pattern").isNotNull())
@@ -59,12 +78,12 @@ def expected_manifest(samples: DataFrame, tools: DataFrame, runs: DataFrame) ->
     sample_rows = (
         samples.withColumn("t", F.explode(_tool_array(per_sample, "sample_output_pattern")))
         .select("run_id", "sample_ord", "sample_id", "t.*")
-        .join(runs, "run_id")
+        .join(_settings(runs), "run_id")
         .withColumn("path", _path(F.col("sample_output_pattern"), {"sample_id": F.col("sample_id")}))
     )
     batch_rows = (
-        runs.withColumn("t", F.explode(_tool_array(batch, "output_pattern")))
-        .select(*runs.columns, "t.*")
+        _settings(runs).withColumn("t", F.explode(_tool_array(batch, "output_pattern")))
+        .select(*_settings(runs).columns, "t.*")
         .withColumn("path", _path(F.col("output_pattern")))
         .withColumn("sample_ord", F.lit(None).cast("bigint"))
         .withColumn("sample_id", F.lit(None).cast("string"))
@@ -75,37 +94,42 @@ def expected_manifest(samples: DataFrame, tools: DataFrame, runs: DataFrame) ->
 def glob_match(patterns: DataFrame, artifacts: DataFrame) -> DataFrame:
     """The distinct ``pattern`` values that at least one artifact path matches.
 
-    Wildcards are honoured in the last path component only. The join key is the directory plus the
-    literal start and end of the pattern: each directory lists the (start, end) lengths its patterns use,
-    and every file in it offers its own start and end at those lengths. A file therefore only meets
-    patterns that agree with it there, also in a directory that holds most of the files.
+    Wildcards are honoured in the last path component only. The join key is the directory, the literal start and end of the
+    pattern, and one literal piece between its wildcards, the one that fewest patterns share. Each directory lists the lengths
+    its patterns use, and every file in it offers its own start, end and inner pieces at those lengths. A file therefore only meets
+    patterns that agree with it there, also in a directory that holds most of the files and if patterns start with a wildcard.
     """
+    name = base_name(F.col("pattern"))
     wanted = patterns.select("pattern").distinct().select(
-        "pattern",
-        parent_dir(F.col("pattern")).alias("dir"),
-        glob_prefix(base_name(F.col("pattern"))).alias("prefix"),
-        glob_suffix(base_name(F.col("pattern"))).alias("suffix"),
-        glob_to_regex(base_name(F.col("pattern"))).alias("regex"),
+        "pattern", parent_dir(F.col("pattern")).alias("dir"), glob_prefix(name).alias("prefix"), glob_suffix(name).alias("suffix"),
+        glob_to_regex(name).alias("regex"), F.explode(glob_pieces(name)).alias("piece"),
     )
+    anchors = ["dir", "prefix", "suffix", "piece"]
+    shared = wanted.groupBy(*anchors).agg(F.count("*").alias("sharing"))
+    rarest = F.min_by("piece", F.struct("sharing", -F.length("piece")))
+    wanted = wanted.join(shared, anchors).groupBy("pattern", "dir", "prefix", "suffix", "regex").agg(rarest.alias("piece"))
     lengths = wanted.groupBy("dir").agg(
-        F.collect_set(F.struct(F.length("prefix").alias("p"), F.length("suffix").alias("s"))).alias("cuts")
+        F.collect_set(F.struct(*[F.length(c).alias(c) for c in anchors[1:]])).alias("cuts")
     )
     name = base_name(F.col("path"))
     files = artifacts.select(parent_dir(F.col("path")).alias("dir"), name.alias("name"))
+    start, end, inner = F.col("cut.prefix"), F.col("cut.suffix"), F.col("cut.piece")
+    places = F.sequence(start + 1, F.length("name") - end - inner + 1)
+    pieces = F.when(inner == 0, F.array(F.lit(""))).otherwise(
+        F.array_distinct(F.transform(places, lambda at: F.substr(F.col("name"), at, inner)))
+    )
     offered = (
         files.join(lengths, "dir")
         .select("dir", "name", F.explode("cuts").alias("cut"))
-        .where(F.length("name") >= F.col("cut.p") + F.col("cut.s"))
+        .where(F.length("name") >= start + end + inner)
         .select(
-            "dir", "name",
-            F.substr("name", F.lit(1), F.col("cut.p")).alias("prefix"),
-            F.substr("name", F.length("name") - F.col("cut.s") + 1, F.col("cut.s")).alias("suffix"),
+            "dir", "name", F.substr("name", F.lit(1), start).alias("prefix"),
+            F.substr("name", F.length("name") - end + 1, end).alias("suffix"), F.explode(pieces).alias("piece"),
         )
     )
-    same = (
-        (wanted.dir == offered.dir) & (wanted.prefix == offered.prefix)
-        & (wanted.suffix == offered.suffix) & F.rlike(offered.name, wanted.regex)
-    )
+    same = F.rlike(offered.name, wanted.regex)
+    for column in anchors:
+        same &= offered[column] == wanted[column]
     # an inner join, whose file side can be split if one folder and prefix holds most files
     return offered.join(wanted, same).select("pattern").distinct()
 
@@ -132,14 +156,14 @@ def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artif
     rows = (
         samples.withColumn("t", F.explode(_tool_array(needing, "required")))
         .select("run_id", "sample_ord", "sample_id", "t.*")
-        .join(runs, "run_id")
+        .join(_settings(runs), "run_id")
         .withColumn("pattern", F.explode("required"))
         .withColumn("path", _path(F.col("pattern"), {"sample_id": F.col("sample_id")}))
         .where((F.col("execution_mode") != "batch") | F.col("pattern").contains("{sample_id}"))
     )
     batch = (
-        runs.withColumn("t", F.explode(_tool_array(needing.where("execution_mode = 'batch'"), "required")))
-        .select(*runs.columns, "t.*")
+        _settings(runs).withColumn("t", F.explode(_tool_array(needing.where("execution_mode = 'batch'"), "required")))
+        .select(*_settings(runs).columns, "t.*")
         .withColumn("pattern", F.explode("required"))
         .where(~F.col("pattern").contains("{sample_id}"))
         .withColumn("path", _path(F.col("pattern")))

@@ -6,6 +6,8 @@ itself. References and taxonomy come from the user. The algorithm is this librar
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,9 +69,14 @@ def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     return bounds.select("kmer", F.element_at(shared, -1).alias("taxid"))
 
 
-def _hot_kmers(reads: DataFrame, k: int, fraction: float, limit: int, at_least: int) -> DataFrame:
+def _read_kmers(reads: DataFrame, seqs: Sequence[str], keys: Sequence[str], k: int) -> DataFrame:
+    """k-mers of all sequences of a read, each sequence for itself: none spans two mates."""
+    return kmers(reads.select(*keys, F.explode(F.array(*seqs)).alias("seq")), "seq", k)
+
+
+def _hot_kmers(reads: DataFrame, seqs: Sequence[str], k: int, fraction: float, limit: int, at_least: int) -> DataFrame:
     """The most frequent k-mers of a sample of the reads. They decide what is salted, not what is counted."""
-    counts = kmers(reads.select("seq").sample(fraction, seed=1), "seq", k).groupBy("kmer").agg(F.count("*").alias("n"))
+    counts = _read_kmers(reads.sample(fraction, seed=1), seqs, [], k).groupBy("kmer").agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "kmer").limit(limit).where(F.col("n") >= at_least)
     return broadcast_if_small(top.select("kmer", F.lit(True).alias("hot")), limit)
 
@@ -89,21 +96,23 @@ def _salted_join(read_kmers: DataFrame, index: DataFrame, hot: DataFrame, keys:
 
 def kmer_match(
     reads: DataFrame, index: DataFrame, k: int, keys: list[str] | None = None, max_broadcast: int = 1_000_000,
-    salts: int = 64, sample: float = 0.001, hot_limit: int = 1000, hot_count: int = 50,
+    salts: int = 64, sample: float = 0.001, hot_limit: int = 1000, hot_count: int = 50, seqs: Sequence[str] = ("seq",),
 ) -> DataFrame:
-    """k-mer hits per (read, taxon): ``reads`` has its key columns and ``seq``.
+    """k-mer hits per (read, taxon): ``reads`` has its key columns and ``seqs``, ``("seq1", "seq2")`` for pairs.
+
+    The hits of all sequences of a row are summed, so a pair is classified as one read; a missing mate adds none.
 
     A k-mer occurs once in the index, so a read k-mer meets at most one row. The index is stored; one of at
     most ``max_broadcast`` rows is broadcast and reads are not shuffled before their hits are counted.
     Beyond it both sides are shuffled by k-mer, with the hottest k-mers salted.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
-    read_kmers = kmers(reads.select(*keys, "seq"), "seq", k)
+    read_kmers = _read_kmers(reads, seqs, keys, k)
     stored = checkpointed(index.select("kmer", "taxid"))
     if has_at_most(stored, max_broadcast):
         matched = read_kmers.join(F.broadcast(stored), "kmer")
     else:
-        hot = _hot_kmers(reads, k, sample, hot_limit, hot_count)
+        hot = _hot_kmers(reads, seqs, k, sample, hot_limit, hot_count)
         matched = _salted_join(read_kmers, stored, hot, keys, salts)
     return matched.groupBy(*keys, "taxid").agg(F.count("*").alias("hits"))
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import fnmatch
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,15 @@ def test_glob_match_in_one_crowded_folder(spark, rows):
     assert set(rows(got, "pattern")) == {("/x/S1_*.html",), ("/x/S1*",), ("/x/S?_L1.*",), ("/x/S[0-2]_L?.html",), ("/y/*",)}
 
 
+def test_glob_match_on_pieces_between_wildcards(spark, rows):
+    names = [f"{'xyz'[i % 3]}_S{i}_{'ab'[i % 2]}.out" for i in range(400)] + ["a]b", "[x.t", "aXbXa"]
+    globs = [f"*_S{i}_*.out" for i in range(390, 410)] + ["*_S7_?.out", "?_S8*b*", "*[0-3]_a*t", "*S1*S1*", "a]?", "[x*", "*X*X*", "*a*a", "**", "?", "*aXbXaX*"]
+    patterns = spark.createDataFrame([(f"/d/{g}",) for g in globs], "pattern string")
+    got = acc.glob_match(patterns, spark.createDataFrame([(f"/d/{n}", 1) for n in names], schemas.ARTIFACTS))
+    # an unclosed bracket is a literal for both
+    assert set(rows(got)) == {(f"/d/{g}",) for g in globs if any(fnmatch.fnmatchcase(n, g) for n in names)}
+
+
 @pytest.mark.parametrize("n,ellipsis,expected", [(3, True, "c, a, b..."), (3, False, "c, a, b"), (9, True, "c, a, b, e, d")])
 def test_missing_preview(spark, n, ellipsis, expected):
     data = [("k", order, name) for order, name in enumerate("cabed")]

@@ -114,3 +114,17 @@ def test_unknown_taxids_are_named(spark):
     hits = spark.createDataFrame([("r", "s", "x", 99, 3)], "run_id string, sample_id string, read_id string, taxid bigint, hits bigint")
     with pytest.raises(Exception, match="taxid not in the taxonomy: 99"):
         cl.classify_reads(hits, taxonomy).collect()
+
+
+@pytest.mark.parametrize("bound", [0, 1_000_000])
+def test_both_mates_count_for_the_pair(spark, taxonomy, genomes, rows, bound):
+    index = cl.kmer_index(spark.createDataFrame(list(genomes.items()), "taxid bigint, seq string"), taxonomy, 15)
+    texts = list(genomes.values())
+    pairs = spark.createDataFrame(
+        [("r", "s", str(i), a, b) for i, (a, b) in enumerate([(texts[0], texts[1]), (texts[0], None), (None, texts[1]), (None, None)])],
+        "run_id string, sample_id string, read_id string, seq1 string, seq2 string",
+    )
+    hits = {(r, t): n for r, t, n in rows(cl.kmer_match(pairs, index, 15, max_broadcast=bound, seqs=("seq1", "seq2")), "read_id", "taxid", "hits")}
+    taxa = {t for _, t in hits}
+    assert {r for r, _ in hits} == {"0", "1", "2"}
+    assert all(hits.get(("0", t), 0) == hits.get(("1", t), 0) + hits.get(("2", t), 0) for t in taxa)
