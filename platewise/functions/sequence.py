@@ -120,8 +120,12 @@ def adapter_start(seq: Column, seeds: list[str], mismatches: int) -> Column:
 def count_cells(seqs: pd.Series, quals: pd.Series, groups: np.ndarray, bin_width: int) -> Iterator[tuple]:
     """(group, cells, counts) of a batch of reads; a cell is position bin, base class and score in one number."""
     symbols, starts = _joined(seqs)
-    scores, _ = _joined(quals)
+    scores, ends = _joined(quals)
     lengths = np.diff(starts)
+    if not np.array_equal(starts, ends):
+        raise ValueError("a read's sequence and quality differ in length")
+    if len(scores) and not PHRED_OFFSET <= scores.min() <= scores.max() < PHRED_OFFSET + SCORES:
+        raise ValueError(f"a quality symbol is outside the {SCORES} scores from {PHRED_OFFSET}")
     classes = np.full(128, len(BASE_CLASSES) - 1, dtype=np.int64)
     for code, letter in enumerate(BASE_CLASSES[:-1]):
         classes[[ord(letter), ord(letter.lower())]] = code
@@ -129,7 +133,14 @@ def count_cells(seqs: pd.Series, quals: pd.Series, groups: np.ndarray, bin_width
     base = classes[np.minimum(symbols, 127)]
     cell = (bins * len(BASE_CLASSES) + base) * SCORES + (scores.astype(np.int64) - PHRED_OFFSET)
     size = int(cell.max(initial=0)) + 1
-    found, n = np.unique(np.repeat(groups, lengths) * size + cell, return_counts=True)
+    numbers = np.repeat(groups, lengths) * size + cell
+    if (int(groups.max(initial=0)) + 1) * size <= 4 * len(numbers):
+        # few enough cells to count in one pass without sorting
+        counts = np.bincount(numbers)
+        found = np.flatnonzero(counts)
+        n = counts[found]
+    else:
+        found, n = np.unique(numbers, return_counts=True)
     group, cells = np.divmod(found, size)
     for start, end in zip(edges := np.flatnonzero(np.diff(group, prepend=-1)), [*edges[1:], len(group)]):
         yield int(group[start]), cells[start:end], n[start:end]

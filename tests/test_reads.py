@@ -1,10 +1,14 @@
 import hashlib
 import random
+from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from platewise import schemas
+from platewise.functions import sequence
 from platewise.operators import reads as rd
 
 ADAPTER = "AGATCGGAAGAGCACACGTC"
@@ -177,3 +181,19 @@ def test_lanes_and_matrix(spark, reads, rows):
     assert rd.union_lanes(halves).exceptAll(reads).isEmpty()
     long = spark.createDataFrame([("r", "a", "x", 1.0), ("r", "a", "y", 2.0), ("r", "b", "x", 3.0)], "run_id string, sample_id string, metric string, value double")
     assert rows(rd.metric_matrix(long, ["x", "y"])) == [("r", "a", 1.0, 2.0), ("r", "b", 3.0, None)]
+
+
+@pytest.mark.parametrize("seq,qual", [("ACG", "II"), ("ACG", "I I"), ("AC", "I\x7f"), ("A", None)])
+def test_bad_qualities_are_errors(seq, qual):
+    with pytest.raises(ValueError):
+        list(sequence.count_cells(pd.Series(["A", seq]), pd.Series(["I", qual]), np.array([0, 0]), 1))
+
+
+@pytest.mark.parametrize("copies", [1, 400])
+def test_cells_counted_or_sorted_are_the_same(copies):
+    seqs, quals, groups = ["ACGTN", "ac", "", "TT"] * copies, ["IIJ!~", "#I", "", "II"] * copies, np.array([0, 1, 0, 1] * copies)
+    got = {(g, int(c)): int(n) for g, cells, counts in sequence.count_cells(pd.Series(seqs), pd.Series(quals), groups, 1) for c, n in zip(cells, counts)}
+    wanted = Counter()
+    for s, q, g in zip(seqs, quals, groups.tolist()):
+        wanted.update((g, (i * 5 + "ACGTN".index(b.upper())) * 94 + ord(c) - 33) for i, (b, c) in enumerate(zip(s, q)))
+    assert got == wanted
