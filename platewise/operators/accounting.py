@@ -135,8 +135,10 @@ def glob_match(patterns: DataFrame, artifacts: DataFrame) -> DataFrame:
 
 
 def _present_paths(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """Paths of artifacts, and the patterns that one fits. The latter are stored: the planner pushes the join with them through
+    the manifest's union and would match them once per branch."""
     patterns = manifest.where(has_wildcard(F.col("path"))).select(F.col("path").alias("pattern"))
-    matched = glob_match(patterns, artifacts).select(F.col("pattern").alias("path"))
+    matched = checkpointed(glob_match(patterns, artifacts).select(F.col("pattern").alias("path")))
     return artifacts.select("path").unionByName(matched)
 
 
