@@ -8,7 +8,8 @@ in clean documents rather than in toxic ones are exceptions: a term inside an ex
 
 All terms and phrases form one automaton; a text is read once, whole. A word counts with the greatest weight of the terms
 that match it; a repeated word adds with the logarithm of its number. The sum of weights and its density per word (the normalisation by length) go into a logistic function, whose three
-numbers are fitted on labelled rows that were not used for the lexicon.
+numbers are fitted on labelled rows that were not used for the lexicon. The sample is drawn for each label by itself, so its rows are
+weighted by how many labelled rows each stands for: scores and the threshold mean the same whatever part of the labels was drawn.
 
 Nulls: a null text is an empty one, it scores like any text without matches; rows without a label, id or label row are not learned
 from, but scored. Repeated rows score alike. Without toxic or without clean rows to learn from, every score is the share of toxic
@@ -132,12 +133,18 @@ class ToxicityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = MAX_LABELLED) -> DataFrame:
-    """Rows (half, toxic, text): labelled documents, half of the bound for each label, chosen by a hash of the id."""
+    """Rows (half, toxic, text, stands_for): labelled documents, at most half of the bound for each label, chosen by a hash of the id.
+
+    ``stands_for`` is the number of usable labels of that kind in the whole table for each one that was drawn.
+    """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).alias("toxic")).filter(F.col("id").isNotNull() & F.col("toxic").isin(0, 1)).distinct()
+    there = {int(r["toxic"]): r["count"] for r in known.groupBy("toxic").count().collect()}
+    stands_for = {k: max(1.0, there.get(k, 0) / (rows // 2)) for k in (0, 1)}
     order = [F.xxhash64("id", F.lit(5)), "id"]
     chosen = known.filter("toxic = 1").orderBy(*order).limit(rows // 2).unionByName(known.filter("toxic = 0").orderBy(*order).limit(rows // 2))
     joined = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(F.broadcast(stored(chosen, "toxicity-labels")), F.col("doc") == F.col("id"))
-    return joined.select((F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2)) == 0).alias("half"), "toxic", "text")
+    weight = F.when(F.col("toxic") == 1, stands_for[1]).otherwise(stands_for[0])
+    return joined.select((F.pmod(F.xxhash64("id", F.lit(9)), F.lit(2)) == 0).alias("half"), "toxic", "text", weight.alias("stands_for"))
 
 
 def _counted(rows: DataFrame, keys) -> DataFrame:
@@ -157,12 +164,13 @@ def _counted(rows: DataFrame, keys) -> DataFrame:
 
 
 def train(sample: DataFrame) -> ToxicityModel:
-    """Learn lexicon, exceptions and logistic function from a stored sample (half, toxic, text)."""
+    """Learn lexicon, exceptions and logistic function from a stored sample (half, toxic, text, stands_for)."""
     short_batches(sample.sparkSession)
-    sizes = {(r["half"], r["toxic"]): r["count"] for r in sample.groupBy("half", "toxic").count().collect()}
+    counted = sample.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n"), F.first("stands_for").alias("each")).collect()
+    sizes = {(r["half"], r["toxic"]): r["n"] for r in counted}
     positive, negative = sizes.get((True, 1), 0), sizes.get((True, 0), 0)
-    everything = max(1, sum(sizes.values()))
-    share = sum(n for (_, t), n in sizes.items() if t) / everything if sizes else 0.5
+    everything = sum(r["n"] * r["each"] for r in counted)
+    share = sum(r["n"] * r["each"] for r in counted if r["toxic"]) / everything if counted else 0.5
     prior = ToxicityModel({}, (), (math.log((share + 1e-3) / (1 - share + 1e-3)), 0.0, 0.0))
     if not positive or not negative or not sizes.get((False, 1)) or not sizes.get((False, 0)):
         return prior
@@ -185,23 +193,23 @@ def train(sample: DataFrame) -> ToxicityModel:
         automaton = model.automaton()
         for batch in batches:
             values = np.array([model.features(automaton, t) for t in batch.column(1).to_pylist()]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values[:, 0]), pa.array(values[:, 1])], names=["toxic", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values[:, 0]), pa.array(values[:, 1]), batch.column(2)], names=["toxic", "x", "y", "stands_for"])
 
-    rows = sample.filter("not half").select(F.col("toxic").cast("int"), "text").mapInArrow(features, "toxic int, x double, y double")
-    points = np.array([tuple(r) for r in rows.collect()], float)  # at most MAX_LABELLED rows of three numbers
+    rows = sample.filter("not half").select(F.col("toxic").cast("int"), "text", "stands_for").mapInArrow(features, "toxic int, x double, y double, stands_for double")
+    points = np.array([tuple(r) for r in rows.collect()], float)  # at most MAX_LABELLED rows of four numbers
     order = np.lexsort(points.T)
-    return ToxicityModel(model.terms, model.exceptions, fit_logistic(points[order, 1:], points[order, 0]))
+    return ToxicityModel(model.terms, model.exceptions, fit_logistic(points[order, 1:3], points[order, 0], points[order, 3]))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> tuple[float, float, float]:
-    """Logistic regression with an intercept by Newton steps; columns are scaled to unit spread, the penalty leaves out the intercept."""
-    spread = np.maximum(x.std(0), 1e-9)
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2, steps: int = 50) -> tuple[float, float, float]:
+    """Logistic regression of weighted rows with an intercept by Newton steps; columns are scaled to unit spread, the penalty leaves out the intercept."""
+    spread = np.maximum(np.sqrt(np.average((x - np.average(x, 0, weight)) ** 2, 0, weight)), 1e-9)
     a = np.column_stack([np.ones(len(x)), x / spread])
     ridge = np.diag([0.0] + [penalty * 1.0] * x.shape[1])
     w = np.zeros(a.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a.T * (p * (1 - p) + 1e-9)) @ a + ridge, a.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((a.T * (weight * (p * (1 - p) + 1e-9))) @ a + ridge, a.T @ (weight * (y - p)) - ridge @ w)
         w += step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
@@ -213,10 +221,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
-    """The model learned from the labelled rows of ``docs`` that are not held out."""
+def train_on(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = MAX_LABELLED) -> ToxicityModel:
+    """The model learned from the labelled rows of ``docs`` that are not held out, at most ``rows`` of them."""
     usable = labels.filter(~held_out(F.col(doc_id)))
-    return train(stored(labelled_sample(docs, usable, doc_id, text, label), "toxicity-sample"))
+    return train(stored(labelled_sample(docs, usable, doc_id, text, label, rows), "toxicity-sample"))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

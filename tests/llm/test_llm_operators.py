@@ -392,6 +392,30 @@ def test_toxicity(spark):
     assert docs.select(empty.score(F.col("text")).alias("s")).distinct().count() == 1
 
 
+def test_toxicity_scores_do_not_depend_on_the_bound(spark):
+    rng = random.Random(3)
+    texts, labels = [], []
+    for k in range(6000):
+        toxic = k % 10 == 0
+        words = [f"w{rng.randrange(20)}" for _ in range(30)]
+        if rng.random() < (0.6 if toxic else 0.03):
+            words[rng.randrange(30)] = "zorg"
+        texts.append(" ".join(words))
+        labels.append((k, int(toxic)))
+    docs, known = docs_of(spark, texts), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    probes = docs_of(spark, ["w1 " * 30, "w1 " * 15 + "zorg " + "w2 " * 14])
+    scores = []
+    for rows in (20_000, 800):
+        model = toxicity.train_on(docs, known, rows=rows)
+        scores.append([r["s"] for r in probes.select("doc_id", model.score(F.col("text")).alias("s")).orderBy("doc_id").collect()])
+    natural = (0.1 * 0.4 / (0.1 * 0.4 + 0.9 * 0.97), 0.1 * 0.6 / (0.1 * 0.6 + 0.9 * 0.03))
+    assert scores[0] == pytest.approx(natural, abs=0.06) and scores[1] == pytest.approx(scores[0], abs=0.1)
+    # Without a fit the score is the share of all usable labels, not that of the drawn ones.
+    few = known.filter("toxic = 0 or doc_id < 300")
+    alone = toxicity.train(toxicity.labelled_sample(docs, few, rows=40).filter("half"))
+    assert probes.select(alone.score(F.col("text")).alias("s")).first()["s"] < 0.05
+
+
 def test_folding_and_exceptions():
     assert toxicity.fold("Y0u 1D10T!! mоrоn $tup1d") == " you idiot moron stupid " and toxicity.fold(None) == toxicity.fold("!!") == " "
     model = toxicity.ToxicityModel({" trash ": 2.0, " tras": 1.0}, ("trash can",), (0.0, 1.0, 0.0))
