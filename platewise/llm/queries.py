@@ -179,10 +179,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     histogram = stored(tokens.length_histogram(table(spark, sf_dir, "documents"), vocabulary(), by=["source"]), "token-lengths")
-    by_source = tokens.context_table(histogram, by=["source"]).withColumn("scope", F.lit("source"))
     whole = histogram.groupBy("length").agg(F.sum("n").alias("n"))
-    corpus = tokens.context_table(whole).withColumn("scope", F.lit("corpus")).withColumn("source", F.lit(None).cast("string"))
-    return corpus.unionByName(by_source)
+
+    def answers(rows: DataFrame, by: list[str]) -> DataFrame:
+        # A standard limit that some document has as its length is in the context table already.
+        others = tokens.limit_table(rows, tokens.LIMITS, by).filter("n_documents = 0")
+        return tokens.with_quantiles(tokens.context_table(rows, by).unionByName(others), tokens.SHARES)
+
+    corpus = answers(whole, []).withColumn("scope", F.lit("corpus")).withColumn("source", F.lit(None).cast("string"))
+    return corpus.unionByName(answers(histogram, ["source"]).withColumn("scope", F.lit("source")))
 
 
 @query("op9_token_binary")

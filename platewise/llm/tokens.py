@@ -5,8 +5,10 @@
 file whose ids do not follow its merges, for which this would not hold, is refused.
 
 ``length_histogram`` counts documents by encoded length, one row per group and length; ``context_table`` turns it by suffix sums
-into the answers for every context limit at which they change: documents and tokens in total, documents that are longer, tokens
-that are left if longer documents are cut there, and the share of documents that fit (the quantiles).
+into the answers for every length that occurs, taken as the context limit: documents and tokens in total, documents that are longer,
+tokens that are left if longer documents are cut there, and the share of documents that fit. Between two of these limits the number
+of longer documents stays and the tokens left grow by that number with each unit; ``limit_table`` answers any limits that are asked for.
+``with_quantiles`` marks the lengths that are quantiles.
 
 Nulls: a null text has no tokens of its own, only the separator if one is asked for; a null group is a group. Repeated rows
 count each time. An empty table gives an empty histogram. Input columns with other names are not looked at.
@@ -29,6 +31,9 @@ from pyspark.sql import types as T
 from platewise.llm.common import free_name, short_batches
 
 TEXTS_PER_BATCH = 1024
+#: Context limits that are answered even if no document has that length, and the quantiles that are marked.
+LIMITS = (128, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768)
+SHARES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0)
 #: White space as the vocabulary's pattern sees it, and that pattern (fixed values).
 SPACE = " \n\t\v\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -130,6 +135,26 @@ def context_table(histogram: DataFrame, by: Iterable[str] = (), cell: int = 64)
     )
 
 
+def limit_table(histogram: DataFrame, limits: Iterable[int], by: Iterable[str] = ()) -> DataFrame:
+    """The columns of ``context_table`` for every group and each of ``limits``, whether or not a document has that length."""
+    by, asked = list(by), sorted({int(x) for x in limits})
+    if asked and asked[0] < 0:
+        raise ValueError("a context limit is not negative")
+    rows = histogram.withColumn("context_limit", F.explode(F.array(*(F.lit(x) for x in asked)).cast("array<bigint>")))
+    n, length, limit = F.col("n"), F.col("length"), F.col("context_limit")
+    return rows.groupBy(*by, "context_limit").agg(
+        F.sum(F.when(length == limit, n).otherwise(0)).alias("n_documents"), F.sum("n").alias("documents"), F.sum(length * n).alias("total_tokens"),
+        F.sum(F.when(length > limit, n).otherwise(0)).alias("n_longer"), F.sum(F.least(length, limit) * n).alias("truncated_tokens"),
+    ).withColumn("fitting_share", (F.col("documents") - F.col("n_longer")) / F.col("documents"))
+
+
+def with_quantiles(table: DataFrame, shares: Iterable[float]) -> DataFrame:
+    """A context table with one more column, the ``shares`` above 0 whose quantile (see ``quantile_lengths``) the row's limit is."""
+    shorter = (F.col("documents") - F.col("n_longer") - F.col("n_documents")) / F.col("documents")
+    wanted = F.array(*(F.lit(float(s)) for s in shares)).cast("array<double>")
+    return table.withColumn("quantile_of", F.filter(wanted, lambda s: (s <= F.col("fitting_share")) & (s > shorter)))
+
+
 def quantile_lengths(table: DataFrame, shares: Iterable[float], by: Iterable[str] = ()) -> DataFrame:
     """From a context table: per group and share, the smallest length that so many documents do not exceed."""
     wanted = F.explode(F.array(*(F.lit(float(s)) for s in shares)))

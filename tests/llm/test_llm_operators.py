@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from platewise.llm import binary, chat, components, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
-from platewise.llm.queries import URL_RULES, vocabulary
+from platewise.llm.queries import QUERIES, URL_RULES, vocabulary
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ODD_TEXTS = [None, "", " ", "\n", "a", "x y", "  two  spaces ", "tab\there", "ünï 漢字 🙂", "<|endoftext|> is text", "it's we'll", "a\u00a0b\u3000c", "\r\n\r\n", "9" * 300, "end "]
@@ -65,6 +65,34 @@ def test_context_table(spark, reference):
     assert tokens.context_table(tokens.length_histogram(docs_of(spark, []), vocabulary())).count() == 0
 
 
+def test_any_limits_and_quantiles(spark):
+    lengths = {"a": [1, 1, 5, 9, 9, 300], None: [700], "b": [2] * 10 + [600]}
+    rows = [(s, n, x.count(n)) for s, x in lengths.items() for n in set(x)]
+    histogram = spark.createDataFrame(rows, "source string, length bigint, n bigint")
+    found = {(r["source"], r["context_limit"]): r for r in tokens.limit_table(histogram, [0, 1, 7, 512, 512, 4096], by=["source"]).collect()}
+    assert set(found) == {(s, limit) for s in lengths for limit in (0, 1, 7, 512, 4096)}
+    for (source, limit), r in found.items():
+        own = lengths[source]
+        assert (r["documents"], r["total_tokens"], r["n_documents"]) == (len(own), sum(own), own.count(limit))
+        assert (r["n_longer"], r["truncated_tokens"]) == (sum(x > limit for x in own), sum(min(x, limit) for x in own))
+        assert r["fitting_share"] == sum(x <= limit for x in own) / len(own)
+    shares = [0.1, 0.5, 0.9, 1.0]
+    table = tokens.context_table(histogram, by=["source"])
+    marked = {(r["source"], s): r["context_limit"] for r in tokens.with_quantiles(table, shares).collect() for s in r["quantile_of"]}
+    assert marked == {(r["source"], r["share"]): r["length"] for r in tokens.quantile_lengths(table, shares, by=["source"]).collect()}
+    assert marked == {(s, q): sorted(x)[max(0, -(-int(q * 10) * len(x) // 10) - 1)] for s, x in lengths.items() for q in shares}
+    assert tokens.limit_table(histogram.limit(0), [512], by=["source"]).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
+def test_token_counts_answer_the_standard_limits(spark):
+    rows = QUERIES["op4_token_counts"](spark, "/root/testdata/sf0.001").collect()
+    scopes = {(r["scope"], r["source"]) for r in rows}
+    keys = [(r["scope"], r["source"], r["context_limit"]) for r in rows]
+    assert len(keys) == len(set(keys)) and {(*s, limit) for s in scopes for limit in tokens.LIMITS} <= set(keys)
+    assert sorted((r["scope"], str(r["source"]), q) for r in rows for q in r["quantile_of"]) == sorted((a, str(b), q) for a, b in scopes for q in tokens.SHARES)
+
+
 def test_knapsack_and_plan():
     rng = np.random.default_rng(1)
     prices = np.concatenate([[0], rng.random(12)])
