@@ -291,6 +291,28 @@ def test_samples_agree_as_often_as_sets_are_similar():
     assert (a == b).mean() == pytest.approx(other.sum() / weight.sum(), abs=0.03)
 
 
+def test_similar_pairs_share_a_band():
+    rng = np.random.default_rng(11)
+    sampler = neardup.Sampler()
+    assert set(np.concatenate(sampler.bands).tolist()) == set(range(neardup.SAMPLES))
+    for similarity, most in ((0.80, 0.004), (0.82, 0.002), (0.85, 0.0006)):
+        agree = rng.random((200_000, neardup.SAMPLES)) < similarity
+        missed = ~np.any([agree[:, band].all(1) for band in sampler.bands], axis=0)
+        assert missed.mean() <= most, similarity
+    # Planted pairs of sets through the sampler itself, between 0.80 and 0.85.
+    missed, pairs = 0, 1500
+    for _ in range(pairs):
+        own = int(rng.integers(150, 201))
+        found = rng.integers(0, 1 << 62, 1000).astype(np.uint64)
+        both, a, b = found[:own * 4], found[own * 4:own * 4 + own // 2], found[own * 4 + own // 2:own * 5 - own // 16]
+        sets = [np.concatenate([both, x]) for x in (a, b)]
+        assert 0.8 <= len(both) / (len(both) + len(a) + len(b)) <= 0.85
+        bounds = np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])])
+        keys = sampler.band_keys(sampler.samples(np.concatenate(sets), np.ones(bounds[-1]), bounds))
+        missed += not (keys[0] == keys[1]).any()
+    assert missed <= 0.006 * pairs
+
+
 def test_lattice_decoding_is_nearest():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(200, 8)) * 2
