@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import binary, chat, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
+from platewise.llm import binary, chat, divergence, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
 from platewise.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,3 +214,34 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train_on(docs, table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+found AS (
+  SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+langs AS (SELECT lang, CAST(sum(lang_n) AS HUGEINT) AS total, CAST(count(*) AS HUGEINT) AS v FROM kept GROUP BY lang),
+used AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT lang, source, CAST(coalesce(any_value(t.total), 0) AS HUGEINT) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM used GROUP BY ALL) t USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n, 1 + (1000000000 * CAST(coalesce(u.n, 0) + 5 AS HUGEINT)) // (g.total + 5 * l.v) AS p,
+         1 + (1000000000 * CAST(k.lang_n + 5 AS HUGEINT)) // (l.total + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN used u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN apart a ON a.lang = g.lang AND a.source = g.source AND a.item = h.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)) WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
