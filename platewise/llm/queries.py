@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import binary, chat, divergence, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
+from platewise.llm import binary, chat, collocations, divergence, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
 from platewise.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,37 @@ SELECT * FROM (
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+COLLOCATION_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+worded AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT lang, w, m, unnest(range(1, CAST(len(w) AS BIGINT) - m + 2)) AS i FROM worded, (VALUES (1), (2), (3)) AS x(m))),
+f AS (SELECT lang, m, g, CAST(count(*) AS HUGEINT) AS n FROM grams GROUP BY ALL),
+total AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, g, n AS a, string_split(g, ' ') AS w FROM f WHERE m > 1 AND n >= 10),
+cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:m], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand) c),
+scored AS (
+  SELECT cuts.lang, cuts.m, cuts.g, a, k, x.n AS l, y.n AS r, (1000000 * a * a) // (x.n * y.n) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = first JOIN f y ON y.lang = cuts.lang AND y.g = rest),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, s AS g, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS s FROM cand WHERE m = 3) GROUP BY ALL),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.g) AS rank
+  FROM worst w LEFT JOIN inside i ON i.lang = w.lang AND i.g = w.g WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, g AS phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, total.n AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
