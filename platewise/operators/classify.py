@@ -2,19 +2,30 @@
 
 ``taxonomy`` has ``taxid, rank_code, name, path``; ``path`` lists the taxids from the root to the taxon
 itself. References and taxonomy come from the user. The algorithm is this library's own contract.
+
+Taxa are numbered depth first (``nested_sets``): a taxon's descendants are the numbers from its own to its last one. Ancestor tests are then
+comparisons and sums over clades are running sums of what begins and ends along the numbers. k-mers travel as super-k-mers, runs of
+neighbours that share their minimizer, which is also what they are shuffled by.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from platewise.session import broadcast_if_small, checkpointed, has_at_most
 
 SAMPLE_KEY = ["run_id", "sample_id"]
 STRIDES = (16_384, 1_024, 64)
+#: Bases of a minimizer, k-mers of a run at most, and characters that are cut at once.
+MINIMIZER, RUN_KMERS, AT_ONCE = 10, 64, 1 << 20
+#: Taxa whose numbers may be broadcast, three numbers each.
+MAX_TAXA = 2_000_000
 
 
 def _chunks(rows: DataFrame, column: str, k: int, stride: int) -> DataFrame:
@@ -49,24 +60,140 @@ def _common_prefix(low: Column, high: Column) -> Column:
     return F.slice(low, F.lit(1), F.coalesce(F.get(differing, F.lit(0)), F.size(pairs)))
 
 
-def with_path(rows: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """``rows`` with the path of their taxid; a taxid that the taxonomy does not have is an error that names it."""
+def running(rows: DataFrame, order: list[str], value: str) -> DataFrame:
+    """``rows`` with ``before``, the sum of ``value`` over all rows that come earlier in ``order``, whatever their number.
+
+    The rows are dealt to sorted ranges and stored; sums inside a range and over the ranges before it are added.
+    """
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = checkpointed(sorted_rows.withColumn("_range", F.spark_partition_id()))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range
+    sums = dealt.groupBy("_range").agg(F.sum(value).alias("_sum")).select("_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).join(F.broadcast(sums), "_range")
+    return placed.withColumn("before", F.col("_base") + F.col("_inside")).drop("_range", "_base", "_inside")
+
+
+def nested_sets(taxonomy: DataFrame) -> DataFrame:
+    """``taxonomy`` with ``enter`` and ``leave``: its number in depth-first order and the last number among its descendants.
+
+    Sorted paths are in depth-first order, so a taxon's number is the count of smaller paths. Its descendants end before the path that
+    has its last step raised by one, so that path's place among the others is one past ``leave``.
+    """
+    last = F.element_at("path", -1)
+    beyond = F.concat(F.slice("path", F.lit(1), F.size("path") - 1), F.array(last + 1))
+    marks = taxonomy.select("taxid", F.explode(F.array(
+        F.struct(F.col("path").alias("key"), F.lit(1).alias("real")), F.struct(beyond.alias("key"), F.lit(0).alias("real")))).alias("m"))
+    placed = running(marks.select("taxid", "m.key", "m.real"), ["key", "real", "taxid"], "real")
+    numbers = placed.groupBy("taxid").agg(
+        F.max(F.when(F.col("real") == 1, F.col("before"))).alias("enter"), (F.max(F.when(F.col("real") == 0, F.col("before"))) - 1).alias("leave"))
+    return checkpointed(taxonomy.join(numbers, "taxid"))
+
+
+def numbered(rows: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with ``columns`` of their taxid; a taxid that the taxonomy does not have is an error that names it."""
     unknown = F.raise_error(F.concat(F.lit("taxid not in the taxonomy: "), F.coalesce(F.col("taxid").cast("string"), F.lit("null"))))
-    joined = rows.join(taxonomy.select("taxid", F.col("path").alias("_path")), "taxid", "left")
-    path = F.when(F.col("_path").isNull(), unknown.cast(dict(taxonomy.dtypes)["path"])).otherwise(F.col("_path"))
-    return joined.withColumn("path", path).drop("_path")
+    joined = rows.join(broadcast_if_small(sets.select("taxid", *columns), MAX_TAXA), "taxid", "left")
+    first = F.when(F.col(columns[0]).isNull(), unknown.cast(sets.schema[columns[0]].dataType)).otherwise(F.col(columns[0]))
+    return joined.withColumn(columns[0], first)
+
+
+def super_kmers(rows: DataFrame, column: str, k: int, m: int = MINIMIZER) -> DataFrame:
+    """The other columns of ``rows`` with ``minimizer, run``: runs that together hold every k-mer of ``column`` exactly once.
+
+    The minimizer of a k-mer is the smallest hash of its stretches of ``m`` characters. Neighbours mostly share it, so a run of them takes little
+    more than one k-mer, and equal k-mers have equal minimizers wherever they are. Runs have at most ``RUN_KMERS`` k-mers.
+    """
+    m = min(m, k)
+    keys = [c for c in rows.columns if c != column]
+    schema = T.StructType([*rows.select(*keys).schema, T.StructField("minimizer", T.LongType()), T.StructField("run", T.StringType())])
+    at_once, longest = AT_ONCE, RUN_KMERS
+
+    def parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+        """Row numbers and texts of about ``at_once`` characters; long texts come in pieces that overlap by k - 1."""
+        owners, pieces, size = [], [], 0
+        for owner, text in enumerate(texts):
+            if not text or len(text) < k:
+                continue
+            for start in range(0, len(text) - k + 1, at_once):
+                piece = text[start:start + at_once + k - 1]
+                owners.append(owner)
+                pieces.append(piece)
+                size += len(piece)
+                if size >= at_once:
+                    yield owners, pieces
+                    owners, pieces, size = [], [], 0
+        if pieces:
+            yield owners, pieces
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owners, pieces in parts(batch.column(len(keys)).to_pylist()):
+                whole = "".join(pieces)
+                codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+                piece = np.repeat(np.arange(len(pieces)), [len(x) for x in pieces])
+                hashes = np.zeros(len(codes) - m + 1, np.uint64)
+                for j in range(m):
+                    hashes *= np.uint64(0x9E3779B97F4A7C15)
+                    hashes += codes[j:len(codes) - m + 1 + j]
+                hashes ^= hashes >> np.uint64(31)
+                hashes *= np.uint64(0xBF58476D1CE4E5B9)
+                hashes ^= hashes >> np.uint64(29)
+                size = 1
+                while 2 * size <= k - m + 1:
+                    hashes = np.minimum(hashes[:-size], hashes[size:])
+                    size *= 2
+                rest = k - m + 1 - size
+                least = np.minimum(hashes[:-rest], hashes[rest:]) if rest else hashes
+                there = piece[:len(least)] == piece[k - 1:]
+                new = np.ones(len(least), bool)
+                new[1:] = (least[1:] != least[:-1]) | (piece[1:len(least)] != piece[:len(least) - 1]) | ~there[:-1]
+                begin = np.maximum.accumulate(np.where(new, np.arange(len(least)), 0))
+                starts = np.flatnonzero(there & (new | ((np.arange(len(least)) - begin) % longest == 0)))
+                # A run ends at the next one or where its piece ends.
+                ends = np.append(starts[1:], len(least))
+                last = np.cumsum([len(x) for x in pieces])[piece[starts]] - (k - 1)
+                ends = np.minimum(ends, last) + k - 1
+                width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+                byte = np.concatenate([[0], np.cumsum(width)])
+                a, b = byte[starts], byte[ends]
+                offsets = np.concatenate([[0], np.cumsum(b - a)])
+                data = np.frombuffer(whole.encode(), np.uint8)[np.arange(offsets[-1]) + np.repeat(a - offsets[:-1], b - a)]
+                runs = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
+                at = pa.array(np.array(owners)[piece[starts]])
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(at) for c in range(len(keys))), pa.array(least[starts].view(np.int64)), runs], names=[*keys, "minimizer", "run"])
+
+    return rows.select(*keys, column).mapInArrow(cut, schema)
+
+
+def _of_runs(rows: DataFrame, k: int) -> DataFrame:
+    """One row per k-mer of ``run``."""
+    at = F.explode(F.sequence(F.lit(1), F.length("run") - (k - 1)))
+    return rows.withColumn("_at", at).withColumn("kmer", F.substr("run", F.col("_at"), F.lit(k))).drop("run", "_at")
 
 
 def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     """k-mer to the lowest common ancestor of all references that contain it.
 
-    The common start of any set of paths is the common start of its smallest and its largest path, so a
-    k-mer shared by every reference needs two values, combined before the shuffle, and no list.
+    The lowest common ancestor of any set of taxa is that of the first and the last of them in depth-first order, so a
+    k-mer needs two numbers and no list. Equal runs are combined before they are shuffled, then distinct runs are
+    dealt by minimizer; k-mers are cut out of them where they meet and are not shuffled. Every pair of numbers is resolved once.
     """
-    placed = with_path(references.select("taxid", "seq"), taxonomy)
-    bounds = kmers(placed, "seq", k).groupBy("kmer").agg(F.min("path").alias("low"), F.max("path").alias("high"))
-    shared = _common_prefix(F.col("low"), F.col("high"))
-    return bounds.select("kmer", F.element_at(shared, -1).alias("taxid"))
+    sets = nested_sets(taxonomy)
+    placed = numbered(references.select("taxid", "seq"), sets, "enter").select("enter", "seq")
+    runs = super_kmers(placed, "seq", k).groupBy("minimizer", "run").agg(F.min("enter").alias("low"), F.max("enter").alias("high"))
+    bounds = _of_runs(runs.repartition("minimizer"), k).groupBy("minimizer", "kmer").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    bounds = checkpointed(bounds.select("kmer", "low", "high"))
+    paths = sets.select("enter", "path")
+    pairs = (
+        bounds.select("low", "high").distinct()
+        .join(paths.select(F.col("enter").alias("low"), F.col("path").alias("a")), "low")
+        .join(paths.select(F.col("enter").alias("high"), F.col("path").alias("b")), "high")
+        .select("low", "high", F.element_at(_common_prefix(F.col("a"), F.col("b")), -1).alias("taxid"))
+    )
+    return bounds.join(broadcast_if_small(pairs, MAX_TAXA), ["low", "high"]).select("kmer", "taxid")
 
 
 def _read_kmers(reads: DataFrame, seqs: Sequence[str], keys: Sequence[str], k: int) -> DataFrame:
@@ -74,24 +201,31 @@ def _read_kmers(reads: DataFrame, seqs: Sequence[str], keys: Sequence[str], k: i
     return kmers(reads.select(*keys, F.explode(F.array(*seqs)).alias("seq")), "seq", k)
 
 
-def _hot_kmers(reads: DataFrame, seqs: Sequence[str], k: int, fraction: float, limit: int, at_least: int) -> DataFrame:
-    """The most frequent k-mers of a sample of the reads. They decide what is salted, not what is counted."""
-    counts = _read_kmers(reads.sample(fraction, seed=1), seqs, [], k).groupBy("kmer").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "kmer").limit(limit).where(F.col("n") >= at_least)
-    return broadcast_if_small(top.select("kmer", F.lit(True).alias("hot")), limit)
+def _hot_minimizers(read_runs: DataFrame, fraction: float, limit: int, at_least: int) -> DataFrame:
+    """The minimizers with most k-mers in a sample of the runs. They decide what is salted, not what is counted."""
+    counts = read_runs.sample(fraction, seed=1).groupBy("minimizer").agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "minimizer").limit(limit).where(F.col("n") >= at_least)
+    return broadcast_if_small(top.select("minimizer", F.lit(True).alias("hot")), limit)
 
 
-def _salted_join(read_kmers: DataFrame, index: DataFrame, hot: DataFrame, keys: list[str], salts: int) -> DataFrame:
-    """Join on the k-mer, with the rows of hot k-mers spread over ``salts`` copies of their index row.
+def _met(read_runs: DataFrame, index: DataFrame, hot: DataFrame, keys: list[str], k: int, salts: int) -> DataFrame:
+    """Read k-mers (keys, taxid) that the index has, met by minimizer.
 
-    Equal k-mers compress to next to nothing, so adaptive execution, which goes by bytes, would not see
-    a partition that holds a third of all rows.
+    Runs of both sides go to the same partitions by minimizer; their k-mers are cut there, and a k-mer's taxon is handed to all its rows
+    inside the partition. Rows of hot minimizers are spread over ``salts`` copies of their part of the index.
     """
-    spread = F.pmod(F.xxhash64(*keys, "at"), F.lit(salts)).cast("int")
-    left = read_kmers.join(hot, "kmer", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+    of_index = super_kmers(index, "kmer", k)
     copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = index.join(hot, "kmer", "left").withColumn("salt", F.explode(copies)).drop("hot")
-    return left.drop("hot").join(right, ["kmer", "salt"])
+    right = of_index.join(hot, "minimizer", "left").withColumn("salt", F.explode(copies))
+    spread = F.pmod(F.xxhash64(*keys, "run", F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    left = read_runs.join(hot, "minimizer", "left").withColumn("salt", F.when(F.col("hot"), spread).otherwise(0))
+    who = F.struct(*keys)
+    kind = read_runs.select(who.alias("who")).schema["who"].dataType
+    both = left.select("minimizer", "salt", "run", who.alias("who"), F.lit(None).cast("bigint").alias("own")).unionByName(
+        right.select("minimizer", "salt", "run", F.lit(None).cast(kind).alias("who"), F.col("taxid").cast("bigint").alias("own")))
+    rows = _of_runs(both.repartition("minimizer", "salt"), k)
+    taxid = F.max("own").over(Window.partitionBy("minimizer", "salt", "kmer"))
+    return rows.withColumn("taxid", taxid).where(F.col("who").isNotNull() & F.col("taxid").isNotNull()).select("who.*", "taxid")
 
 
 def kmer_match(
@@ -104,82 +238,102 @@ def kmer_match(
 
     A k-mer occurs once in the index, so a read k-mer meets at most one row. The index is stored; one of at
     most ``max_broadcast`` rows is broadcast and reads are not shuffled before their hits are counted.
-    Beyond it both sides are shuffled by k-mer, with the hottest k-mers salted.
+    Beyond it both sides are shuffled by minimizer as runs of k-mers, with the hottest minimizers salted.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
-    read_kmers = _read_kmers(reads, seqs, keys, k)
     stored = checkpointed(index.select("kmer", "taxid"))
     if has_at_most(stored, max_broadcast):
-        matched = read_kmers.join(F.broadcast(stored), "kmer")
+        matched = _read_kmers(reads, seqs, keys, k).join(F.broadcast(stored), "kmer")
     else:
-        hot = _hot_kmers(reads, seqs, k, sample, hot_limit, hot_count)
-        matched = _salted_join(read_kmers, stored, hot, keys, salts)
+        runs = super_kmers(reads.select(*keys, F.explode(F.array(*seqs)).alias("seq")), "seq", k)
+        matched = _met(runs, stored, _hot_minimizers(runs, sample, hot_limit, hot_count), keys, k, salts)
     return matched.groupBy(*keys, "taxid").agg(F.count("*").alias("hits"))
 
 
 def classify_reads(hits: DataFrame, taxonomy: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The taxon whose path from the root collects most k-mer hits; reads without hits have no row.
 
-    Ties go to the taxon with more hits of its own, then to the smaller taxid. The hits, a few rows per
-    read, are stored: both sides of the ancestor join need them, and k-mers should be matched once.
+    Ties go to the taxon with more hits of its own, then to the smaller taxid. A taxon's hits begin to count for its
+    descendants at its number and end behind its last one, so along the numbers of a read a running sum of what began and ended is
+    the score of each taxon: one sort of the read's few taxa, no path, no join of the hits with themselves.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
-    stored = checkpointed(hits)
-    ancestors = with_path(stored, taxonomy).select(
-        *keys, "taxid", F.col("hits").alias("own"), F.explode("path").alias("ancestor")
-    )
-    weights = stored.select(*keys, F.col("taxid").alias("ancestor"), "hits")
-    scored = (
-        ancestors.join(weights, [*keys, "ancestor"])
-        .groupBy(*keys, "taxid", "own")
-        .agg(F.sum("hits").alias("score"))
-    )
+    placed = numbered(hits, nested_sets(taxonomy), "enter", "leave")
+    none = F.lit(None).cast("bigint")
+    steps = placed.select(*keys, F.explode(F.array(
+        F.struct(F.col("enter").alias("at"), F.col("hits").alias("step"), F.col("taxid").cast("bigint").alias("taxid"), F.col("hits").alias("own")),
+        F.struct((F.col("leave") + 1).alias("at"), (-F.col("hits")).alias("step"), none.alias("taxid"), none.alias("own")))).alias("s"))
+    # all rows of the same place count, those that end there too
+    score = F.sum("step").over(Window.partitionBy(*keys).orderBy("at"))
+    scored = steps.select(*keys, "s.*").withColumn("score", score).where(F.col("taxid").isNotNull())
     best = F.max_by(F.struct("taxid", "score"), F.struct(F.col("score"), F.col("own"), -F.col("taxid")))
     return scored.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.taxid", "_b.score")
 
 
+def _report_nodes(counts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every sample's taxa with calls and all their ancestors, once each: ``enter`` of the taxon on its path at ``depth``.
+
+    In depth-first order a taxon brings in the part of its path that the taxon before it does not have.
+    """
+    placed = numbered(counts, sets, "enter", "path")
+    before = F.lag("path").over(Window.partitionBy(*SAMPLE_KEY).orderBy("enter"))
+    known = F.coalesce(F.size(_common_prefix(F.col("_before"), F.col("path"))), F.lit(0))
+    fresh = F.slice("path", F.col("_known") + 1, F.size("path") - F.col("_known"))
+    return (
+        placed.withColumn("_before", before).withColumn("_known", F.when(F.col("_before").isNull(), 0).otherwise(known))
+        .select(*SAMPLE_KEY, F.explode(fresh).alias("taxid"))
+    )
+
+
+def _within(nodes: DataFrame, amounts: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with the sum of a sample's ``amounts`` (enter, amount) that lie between ``enter`` and ``leave``: the difference of two running sums."""
+    none = F.lit(None).cast("bigint")
+    marks = nodes.select(*SAMPLE_KEY, F.explode(F.array(
+        F.struct((F.col("enter") - 1).alias("at"), F.col("enter").alias("node"), F.lit(-1).alias("sign")),
+        F.struct(F.col("leave").alias("at"), F.col("enter").alias("node"), F.lit(1).alias("sign")))).alias("m"))
+    rows = marks.select(*SAMPLE_KEY, "m.*", F.lit(0).cast("bigint").alias("amount")).unionByName(
+        amounts.select(*SAMPLE_KEY, F.col("enter").alias("at"), none.alias("node"), F.lit(None).cast("int").alias("sign"), F.col("amount").cast("bigint").alias("amount")))
+    so_far = F.sum("amount").over(Window.partitionBy(*SAMPLE_KEY).orderBy("at"))
+    sums = rows.withColumn("so_far", so_far).where(F.col("node").isNotNull()).groupBy(*SAMPLE_KEY, F.col("node").alias("enter")).agg(
+        F.sum(F.col("so_far") * F.col("sign")).alias(name))
+    return nodes.join(sums, [*SAMPLE_KEY, "enter"])
+
+
 def taxon_report(calls: DataFrame, taxonomy: DataFrame, digits: int = 2) -> DataFrame:
     """Classification report per sample from ``run_id, sample_id, taxid`` (null taxid: unclassified).
 
     Clade counts include descendants. Lines come in depth-first order, siblings by clade count, with the
     unclassified line first and names indented by depth. Calls are counted per taxon before anything
-    is joined, so all later steps have the size of samples times taxa.
+    is joined, so all later steps have the size of samples times taxa, and every one is a sum along the depth-first numbers:
+    a clade's count, its number of lines, and a line's place, which is what its ancestors and it itself have before them among their siblings.
     """
-    counts = calls.groupBy(*SAMPLE_KEY, "taxid").agg(F.count("*").alias("direct"))
+    sets = nested_sets(taxonomy)
+    counts = checkpointed(calls.groupBy(*SAMPLE_KEY, "taxid").agg(F.count("*").alias("direct")))
     total = counts.groupBy(*SAMPLE_KEY).agg(F.sum("direct").alias("total"))
     classified = counts.where(F.col("taxid").isNotNull())
-    clades = (
-        with_path(classified, taxonomy)
-        .select(*SAMPLE_KEY, F.explode("path").alias("node"), "taxid", "direct")
-        .groupBy(*SAMPLE_KEY, F.col("node").alias("taxid"))
-        .agg(
-            F.sum("direct").alias("clade"),
-            F.sum(F.when(F.col("node") == F.col("taxid"), F.col("direct")).otherwise(0)).alias("direct"),
-        )
-    )
-    # position among siblings at every level of the path decides the depth-first order
-    steps = (
-        clades.select(*SAMPLE_KEY, "taxid")
-        .join(taxonomy.select("taxid", "path"), "taxid")
-        .select(*SAMPLE_KEY, "taxid", F.posexplode("path").alias("level", "node"))
-        .join(clades.select(*SAMPLE_KEY, F.col("taxid").alias("node"), F.col("clade").alias("node_clade")), [*SAMPLE_KEY, "node"])
-        .groupBy(*SAMPLE_KEY, "taxid")
-        .agg(F.array_sort(F.collect_list(F.struct("level", -F.col("node_clade"), "node"))).alias("route"))
-    )
-    named = (
-        clades.join(steps, [*SAMPLE_KEY, "taxid"])
-        .join(taxonomy.select("taxid", "rank_code", "name"), "taxid")
-        .select(
-            *SAMPLE_KEY, "taxid", "rank_code", "clade", "direct", "route",
-            F.concat(F.repeat(F.lit("  "), F.size("route")), "name").alias("name"),
-        )
-    )
+    parent = F.when(F.size("path") > 1, F.element_at("path", -2))
+    described = sets.select("taxid", "enter", "leave", "rank_code", "name", parent.alias("parent"), F.size("path").alias("depth"))
+    nodes = _report_nodes(classified, sets).join(broadcast_if_small(described, MAX_TAXA), "taxid")
+    nodes = checkpointed(nodes.join(classified, [*SAMPLE_KEY, "taxid"], "left").withColumn("direct", F.coalesce("direct", F.lit(0))))
+    clades = _within(nodes, nodes.select(*SAMPLE_KEY, "enter", F.col("direct").alias("amount")), "clade")
+    clades = _within(clades, nodes.select(*SAMPLE_KEY, "enter", F.lit(1).alias("amount")), "n_lines")
+
+    siblings = Window.partitionBy(*SAMPLE_KEY, "parent").orderBy(F.desc("clade"), "taxid").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.lit(1) + F.coalesce(F.sum("n_lines").over(siblings), F.lit(0))
+    placed = checkpointed(clades.withColumn("ahead", ahead))
+    none = F.lit(None).cast("bigint")
+    steps = placed.select(*SAMPLE_KEY, F.explode(F.array(
+        F.struct(F.col("enter").alias("at"), F.col("ahead").alias("step"), F.col("enter").alias("enter")),
+        F.struct((F.col("leave") + 1).alias("at"), (-F.col("ahead")).alias("step"), none.alias("enter")))).alias("s"))
+    place = F.sum("step").over(Window.partitionBy(*SAMPLE_KEY).orderBy("at"))
+    lines = steps.select(*SAMPLE_KEY, "s.*").withColumn("place", place).where(F.col("enter").isNotNull()).select(*SAMPLE_KEY, "enter", "place")
+
+    names = F.concat(F.repeat(F.lit("  "), F.col("depth")), "name")
+    named = placed.join(lines, [*SAMPLE_KEY, "enter"]).select(*SAMPLE_KEY, "place", "clade", "direct", "rank_code", "taxid", names.alias("name"))
     unclassified = counts.where(F.col("taxid").isNull()).select(
-        *SAMPLE_KEY, F.lit(0).cast("bigint").alias("taxid"), F.lit("U").alias("rank_code"),
-        F.col("direct").alias("clade"), "direct", F.lit(None).cast(named.schema["route"].dataType).alias("route"),
-        F.lit("unclassified").alias("name"),
-    )
-    order = Window.partitionBy(*SAMPLE_KEY).orderBy(F.col("route").asc_nulls_first())
+        *SAMPLE_KEY, F.lit(0).cast("bigint").alias("place"), F.col("direct").alias("clade"), "direct", F.lit("U").alias("rank_code"),
+        F.lit(0).cast("bigint").alias("taxid"), F.lit("unclassified").alias("name"))
+    order = Window.partitionBy(*SAMPLE_KEY).orderBy("place")
     return (
         unclassified.unionByName(named)
         .join(total, SAMPLE_KEY)

@@ -128,3 +128,75 @@ def test_both_mates_count_for_the_pair(spark, taxonomy, genomes, rows, bound):
     taxa = {t for _, t in hits}
     assert {r for r, _ in hits} == {"0", "1", "2"}
     assert all(hits.get(("0", t), 0) == hits.get(("1", t), 0) + hits.get(("2", t), 0) for t in taxa)
+
+
+def nodes(seed, n):
+    """A random tree as paths."""
+    draw = random.Random(seed)
+    paths = {1: [1]}
+    for taxid in draw.sample(range(2, 10 * n), n):
+        paths[taxid] = [*paths[draw.choice(list(paths))], taxid]
+    return paths
+
+
+@pytest.mark.parametrize("seed,n", [(1, 1), (2, 40), (3, 400)])
+def test_nested_sets(spark, seed, n):
+    paths = nodes(seed, n)
+    sets = cl.nested_sets(spark.createDataFrame(list(paths.items()), "taxid bigint, path array<bigint>").repartition(3))
+    got = {r.taxid: (r.enter, r.leave) for r in sets.collect()}
+    assert sorted(e for e, _ in got.values()) == list(range(len(paths)))
+    for taxid, (enter, leave) in got.items():
+        below = [got[t][0] for t, p in paths.items() if taxid in p]
+        assert (min(below), max(below), len(below)) == (enter, leave, leave - enter + 1)
+
+
+def test_report_on_a_deep_tree(spark):
+    """Every line of the report against sums over paths, with several samples."""
+    paths = nodes(4, 120)
+    draw = random.Random(5)
+    calls = [("r", s, draw.choice([None, *paths])) for s in ("a", "b", "b", "c") for _ in range(draw.randrange(1, 60))]
+    taxonomy = spark.createDataFrame([(t, "S", f"n{t}", p) for t, p in paths.items()], schemas.TAXONOMY)
+    report = cl.taxon_report(spark.createDataFrame(calls, "run_id string, sample_id string, taxid bigint"), taxonomy)
+    got = {}
+    for r in report.orderBy("sample_id", "line_no").collect():
+        got.setdefault(r.sample_id, []).append((r.taxid, r.count_clade, r.count_taxon, r.name))
+    for sample in {s for _, s, _ in calls}:
+        direct = Counter(t for _, s, t in calls if s == sample)
+        clade = Counter()
+        for t, n in direct.items():
+            for a in paths[t] if t else ():
+                clade[a] += n
+        wanted = [(0, direct[None], direct[None], "unclassified")] if direct[None] else []
+        wanted += [(t, clade[t], direct[t], "  " * len(paths[t]) + f"n{t}") for t in sorted(clade, key=lambda t: [(-clade[a], a) for a in paths[t]])]
+        assert got[sample] == wanted
+
+
+def test_classification_on_a_deep_tree(spark):
+    paths = nodes(6, 80)
+    draw = random.Random(7)
+    hits = [("x%d" % r, t, draw.randrange(1, 5)) for r in range(30) for t in draw.sample(list(paths), draw.randrange(1, 25))]
+    taxonomy = spark.createDataFrame(list(paths.items()), "taxid bigint, path array<bigint>")
+    calls = cl.classify_reads(spark.createDataFrame(hits, "read_id string, taxid bigint, hits bigint"), taxonomy, keys=["read_id"])
+    for r in calls.collect():
+        found = {t: n for x, t, n in hits if x == r.read_id}
+        scores = {t: sum(found.get(a, 0) for a in paths[t]) for t in found}
+        best = max(scores, key=lambda t: (scores[t], found[t], -t))
+        assert (r.taxid, r.score) == (best, scores[best])
+
+
+@pytest.mark.parametrize("k,m,at_once,longest", [(8, 3, 1 << 20, 64), (8, 10, 50, 3), (5, 1, 7, 64), (1, 1, 3, 2), (21, 10, 1 << 20, 64)])
+def test_runs_hold_every_kmer_once(spark, monkeypatch, k, m, at_once, longest):
+    monkeypatch.setattr(cl, "AT_ONCE", at_once)
+    monkeypatch.setattr(cl, "RUN_KMERS", longest)
+    draw = random.Random(8)
+    texts = [None, "", "ACGT", "A" * 200, "é日🙂" * 20, "ACGTACGTA", *("".join(draw.choices("ACGTNé", k=draw.randrange(90))) for _ in range(40))]
+    df = spark.createDataFrame([(n, f"t{n}", t) for n, t in enumerate(texts)], "id int, tag string, seq string").repartition(2)
+    runs = cl.super_kmers(df, "seq", k, m).collect()
+    got, minimizers = Counter(), {}
+    for r in runs:
+        assert r.tag == f"t{r.id}" and k <= len(r.run) <= longest + k - 1
+        for i in range(len(r.run) - k + 1):
+            got[r.id, r.run[i:i + k]] += 1
+            minimizers.setdefault(r.run[i:i + k], set()).add(r.minimizer)
+    assert got == Counter((n, t[i:i + k]) for n, t in enumerate(texts) for i in range(len(t or "") - k + 1))
+    assert all(len(x) == 1 for x in minimizers.values())
