@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import binary, chat, collocations, divergence, lattice, mixing, neardup, packing, quality, tokens, toxicity, urls
+from platewise.llm import binary, chat, collocations, divergence, lattice, mixing, neardup, packing, private, quality, tokens, toxicity, urls
 from platewise.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,3 +279,13 @@ FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 @query("op13_collocations", COLLOCATION_SQL)
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_personal_data")
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, name = private.find_private(docs, private.train(docs))
+    base = F.filter(name, lambda s: s["base"])
+    counts = [F.size(private.of_kind(base, kind)).cast("long").alias(f"n_{kind}") for kind in private.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(private.joined(base).cast("binary"), 256).alias("base_sha256"), private.joined(F.col(name)).alias("spans"))
