@@ -14,7 +14,7 @@ from platewise.operators import accounting as acc
 from platewise.operators import hooks
 from platewise.operators.reads import metric_matrix
 from platewise.session import checkpointed, shared_path, spread_if_few
-from platewise.sources.text import parse_resource_reports, parse_status_log
+from platewise.sources.text import parse_resource_reports, read_status_log
 from platewise.streaming.progress import read_progress, stream_progress, write_progress
 
 
@@ -300,8 +300,8 @@ def q31(spark, sf_dir):
 
 
 @query("q32_status_log_parse", f"""WITH e AS (
-  SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'failed_' ELSE 's' END || user_id AS sample_id, event_id % 7 AS form, {st.EVENT_K} AS k, value FROM events)
-SELECT event_id, sample_id,
+  SELECT event_id, 'run' || (user_id % 8) AS run_id, 2 * (row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) - 1) AS line_no, CASE event_id % 4 WHEN 0 THEN 'failed_' ELSE 's' END || user_id AS sample_id, event_id % 7 AS form, {st.EVENT_K} AS k, value FROM events)
+SELECT run_id, line_no, sample_id,
   ['skipped', 'missing_input', 'allowed_failure', 'failed', 'exception', 'completed', 'starting'][form + 1] AS event,
   ['skipped', 'skipped_missing_input', 'allowed_failure', 'failed', 'failed', 'completed', 'starting'][form + 1] AS status,
   CASE form WHEN 0 THEN '/out/' || event_id WHEN 1 THEN '/in/' || event_id WHEN 2 THEN CAST(k AS VARCHAR) WHEN 3 THEN CAST(k AS VARCHAR)
@@ -324,8 +324,12 @@ def q32(spark, sf_dir):
     ]
     line = F.get(F.array(*messages), form)
     noise = F.concat(F.lit("=== Running "), "event_type")
-    lines = st.load(spark, sf_dir, "events").select("event_id", F.explode(F.array(line, noise)).alias("value"))
-    return parse_status_log(lines)
+    # one log per run, in the order of the events
+    path = shared_path(spark, "logs")
+    lines = st.load(spark, sf_dir, "events").select(st.run_of("user_id").alias("run_id"), "event_id", F.posexplode(F.array(line, noise)).alias("at", "value"))
+    logs = lines.repartition("run_id").sortWithinPartitions("run_id", "event_id", "at").select("run_id", "value")
+    logs.write.partitionBy("run_id").text(path)
+    return read_status_log(spark, f"{path}/*/*.txt", run_pattern="run_id=([^/]+)/")
 
 
 def _user_partial(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

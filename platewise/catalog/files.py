@@ -17,35 +17,42 @@ from platewise.sources.artifacts import concat_lanes, discover_samples, list_art
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.sinks import append_resource_usage, append_versions, versions_as_text, write_qc_summary
 from platewise.sources.text import (
-    merge_species_calls, ordered_lines, read_genome_sizes, read_renames, read_samples, split_report_lines,
+    merge_species_calls, ordered_lines, read_genome_sizes, read_renames, read_report_lines, read_samples,
 )
 
 RUN_DIR = r"run_id=([^/]+)/"
 
 
-@query("q37_sheet_files", f"WITH {st.SAMPLES} SELECT run_id, sample_id FROM samples")
+@query("q37_sheet_files", f"""WITH {st.SAMPLES}
+SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY sample_ord) - 1 AS sample_ord, sample_id FROM samples""")
 def q37(spark, sf_dir):
     path = shared_path(spark, "sheets")
     rows = st.load(spark, sf_dir, "customer").select(
-        st.run_of("c_custkey").alias("run_id"), "c_name", F.col("c_custkey").cast("string").alias("SAMPLE_ID"), "c_mktsegment"
+        st.run_of("c_custkey").alias("run_id"), "c_custkey", "c_name", F.col("c_custkey").cast("string").alias("SAMPLE_ID"), "c_mktsegment"
     )
-    rows.write.partitionBy("run_id").options(sep="\t", header=True).csv(path)
-    return read_samples(spark, f"{path}/*/*.csv", run_pattern=RUN_DIR).select("run_id", "sample_id")
+    sheets = rows.repartition("run_id").sortWithinPartitions("run_id", "c_custkey").drop("c_custkey")
+    sheets.write.partitionBy("run_id").options(sep="\t", header=True).csv(path)
+    return read_samples(spark, f"{path}/*/*.csv", run_pattern=RUN_DIR)
 
 
-@query("q38_report_lines", f"""WITH {st.REPORT_LINES}, r AS (
-  SELECT *, row_number() OVER (PARTITION BY run_id, sample_id, rank_code ORDER BY line_no) AS rn FROM report_lines WHERE CAST(percentage AS DOUBLE) >= 20000)
-SELECT run_id, sample_id, CAST(CASE rank_code WHEN 'G' THEN 0 WHEN 'S' THEN 3 ELSE 6 END + rn AS INTEGER) AS hit_ord, percentage AS "Percentage",
-  count_clade AS "Count_Clade", count_taxon AS "Count_Taxon",
-  CASE rank_code WHEN 'G' THEN 'Genus' WHEN 'S' THEN 'Species' ELSE 'Unclassified' END AS "TaxRank", taxid AS "TaxID", name AS "Organism"
-FROM r WHERE rn <= CASE rank_code WHEN 'U' THEN 1 ELSE 3 END""")
+@query("q38_report_lines", f"""WITH {st.REPORT_LINES}, n AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, rank_code ORDER BY line_no) - 1 AS n FROM report_lines),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, rank_code ORDER BY n) AS rn FROM n WHERE CAST(percentage AS DOUBLE) >= 20000)
+SELECT run_id, rank_code || ' 1+' AS sample_id, n AS line_no, percentage, count_clade, count_taxon, rank_code, taxid, name,
+  rn <= CASE rank_code WHEN 'U' THEN 1 ELSE 3 END AS top FROM r""")
 def q38(spark, sf_dir):
-    """Orders as the text lines of reports; lines of cheap orders are a field short and must be dropped."""
+    """Orders as report files, one for each run and status; lines of cheap orders are a field short and must be dropped, but keep their numbers."""
+    path = shared_path(spark, "reports")
     lines = st.report_lines(spark, sf_dir)
     fields = ["percentage", "count_clade", "count_taxon", "rank_code", "taxid"]
     name = F.when(F.col("percentage").cast("double") >= 20000, F.col("name"))
-    text = lines.select("run_id", "sample_id", "line_no", F.concat(F.lit("  "), F.concat_ws("\t", *fields, name), F.lit("\r")).alias("value"))
-    return top_hits(split_report_lines(text))
+    text = lines.select("run_id", F.concat("rank_code", F.lit(" 1+")).alias("sample_id"), "line_no", F.concat(F.lit("  "), F.concat_ws("\t", *fields, name), F.lit("\r")).alias("value"))
+    files = text.repartition("run_id", "sample_id").sortWithinPartitions("run_id", "sample_id", "line_no").drop("line_no")
+    files.write.partitionBy("run_id", "sample_id").text(path)
+    back = read_report_lines(spark, f"{path}/*/*/*.txt", key_pattern=r"run_id=([^/]+)/sample_id=([^/]+)/").withColumn("sample_id", F.url_decode(F.replace("sample_id", F.lit("+"), F.lit("%2B"))))
+    top = top_hits(back).select("run_id", "sample_id", F.col("Count_Clade").alias("count_clade"), F.lit(True).alias("top"))
+    return back.join(top, ["run_id", "sample_id", "count_clade"], "left").withColumns({"top": F.coalesce("top", F.lit(False)), "name": F.ltrim("name")})
 
 
 @query("q39_fastq_files", f"""WITH {st.READS}

@@ -11,7 +11,8 @@ from platewise.operators import taxa
 from platewise.operators.summary import fastqc_fails
 from platewise.plans.qc_summary import qc_summary
 from platewise.plans.species_calls import species_calls
-from platewise.sources.multiqc import parse_metrics
+from platewise.session import shared_path
+from platewise.sources.multiqc import read_multiqc_json
 from platewise.sources.text import samples_from_table
 
 
@@ -168,27 +169,32 @@ def q06(spark, sf_dir):
     return fastqc_fails(st.fastqc_status(spark, sf_dir))
 
 
+#: What one event adds to the sections of its run's report.
+JSON_PARTS = {
+    "general": '"%1$s_processed_R1": {"total_sequences": %2$s, "percent_gc": %3$s.5}',
+    "kraken": '"%1$s.kraken": [{"rank_code": "G", "percent": %3$s, "classif": "%4$s"}, {"rank_code": "S", "percent": 1, "classif": "x"}], "%1$s": []',
+    "trim": '"%1$s": {"surviving_pct": %3$s}', "fastqc": '"%1$s_processed_R2": {"%4$s": "fail", "basic_statistics": "pass"}',
+}
 JSON_DOC = (
-    '{"report_general_stats_data": [{}, {}, {"%s_processed_R1": {"total_sequences": %s, "percent_gc": %s.5}}],'
-    ' "report_saved_raw_data": {"multiqc_kraken": {"%s.kraken": [{"rank_code": "G", "percent": %s, "classif": "%s"},'
-    ' {"rank_code": "S", "percent": 1, "classif": "x"}], "%s": []},'
-    ' "multiqc_trimmomatic": {"%s": {"surviving_pct": %s}},'
-    ' "multiqc_fastqc": {"%s_processed_R2": {"%s": "fail", "basic_statistics": "pass"}}}}'
+    '{"report_general_stats_data": [{}, {}, {%s}],\n "report_saved_raw_data": {"multiqc_kraken": {%s},\n'
+    ' "multiqc_trimmomatic": {%s}, "multiqc_fastqc": {%s}}}'
 )
 
 
 def _json_tables(spark, sf_dir):
-    user, event = F.col("user_id").cast("string"), F.col("event_id").cast("string")
-    k = F.get_json_object("props", "$.k")
-    doc = F.format_string(
-        JSON_DOC, user, event, k, user, k, F.col("event_type"), user, user, k, user, F.col("event_type")
-    )
-    docs = st.load(spark, sf_dir, "events").select(F.concat(F.lit("e"), event).alias("run_id"), doc.alias("value"))
-    return parse_metrics(docs)
+    """One report file per run, read back."""
+    path = shared_path(spark, "metrics")
+    event, k = F.col("event_id").cast("string"), F.get_json_object("props", "$.k")
+    values = [F.concat(F.lit("e"), event), event, k, F.col("event_type")]
+    parts = st.load(spark, sf_dir, "events").select(
+        st.run_of("user_id").alias("run_id"), *(F.format_string(form, *values).alias(name) for name, form in JSON_PARTS.items()))
+    joined = parts.groupBy("run_id").agg(*(F.array_join(F.collect_list(name), ", ").alias(name) for name in JSON_PARTS))
+    joined.select("run_id", F.format_string(JSON_DOC, *JSON_PARTS).alias("value")).write.partitionBy("run_id").text(path)
+    return read_multiqc_json(spark, f"{path}/*/*.txt", run_pattern="run_id=([^/]+)/")
 
 
 @query("q34_json_sections", f"""WITH e AS (
-  SELECT 'e' || event_id AS run_id, event_id, CAST(user_id AS VARCHAR) AS u, event_type, {st.EVENT_K} AS k FROM events)
+  SELECT 'run' || (user_id % 8) AS run_id, event_id, 'e' || event_id AS u, event_type, {st.EVENT_K} AS k FROM events)
 SELECT run_id, u || '_processed_R1' AS metric_key, 'general' AS section, 'total_sequences' AS name, CAST(event_id AS DOUBLE) AS value FROM e
 UNION ALL SELECT run_id, u || '_processed_R1', 'general', 'percent_gc', k + 0.5 FROM e
 UNION ALL SELECT run_id, u || '.kraken', 'kraken', 'G:0:' || event_type, k FROM e

@@ -6,47 +6,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise import reference_values as ref
-from platewise import schemas
+from platewise.session import checkpointed
 from platewise.sources.text import file_path
 
 
-def _section(value: Column, name: str) -> Column:
-    return F.when(
-        value.isNull(), F.raise_error(f"required section missing in metrics report: {name}").cast("void")
-    ).otherwise(value)
-
-
 def parse_metrics(docs: DataFrame) -> dict[str, DataFrame]:
     """The tables ``fastqc_general``, ``kraken_hits``, ``trim_stats`` and ``fastqc_status``.
 
-    ``docs`` has ``run_id`` and the JSON text in ``value``. A missing section is an error when its table
-    is read. Each table parses its own section only.
+    ``docs`` has ``run_id`` and the JSON text in ``value``. Every document is parsed once, to a variant that is stored; the tables take their
+    sections from it. A missing section is an error when its table is read; text that is no JSON is an error at once.
     """
-    parsed = F.from_json("value", schemas.MULTIQC_JSON, {"mode": "FAILFAST"})
-    doc = docs.select("run_id", parsed.alias("doc"))
-    general = F.get("doc.report_general_stats_data", F.lit(ref.GENERAL_STATS_INDEX))
-    raw = "doc.report_saved_raw_data."
+    spark = docs.sparkSession
+    doc = checkpointed(docs.select("run_id", F.parse_json("value").alias("doc")))
+
+    def section(path: str) -> Column:
+        value = F.try_variant_get("doc", path, "variant")
+        missing = F.raise_error(f"required section missing in metrics report: {path.split('.')[-1].split('[')[0]}").cast("variant")
+        return F.when(value.isNull() | F.is_variant_null(value), missing).otherwise(value)
 
-    def entries(value: Column, name: str) -> DataFrame:
-        return doc.select("run_id", F.explode(_section(value, name)).alias("metric_key", "m"))
+    def entries(path: str) -> DataFrame:
+        """One row per key of a section: ``metric_key`` and its value ``m``."""
+        found = doc.select("run_id", section(path).alias("section")).lateralJoin(spark.tvf.variant_explode(F.col("section").outer()))
+        return found.select("run_id", F.col("key").alias("metric_key"), F.col("value").alias("m"))
+
+    def field(column: str, name: str, kind: str) -> Column:
+        return F.try_variant_get(column, f"$.{name}", kind).alias(name)
 
     def number(name: str) -> Column:
-        return F.try_element_at("m", F.lit(name)).try_cast("double").alias(name)
+        return F.try_variant_get("m", f"$.{name}", "string").try_cast("double").alias(name)
 
-    kraken = entries(F.col(raw + "multiqc_kraken"), "multiqc_kraken").select(
-        "run_id", "metric_key", F.posexplode_outer("m").alias("pos", "hit")
-    )
+    general = entries(f"$.report_general_stats_data[{ref.GENERAL_STATS_INDEX}]")
+    raw = "$.report_saved_raw_data."
+    hits = entries(raw + "multiqc_kraken").lateralJoin(spark.tvf.variant_explode_outer(F.col("m").outer()))
+    modules = entries(raw + "multiqc_fastqc").lateralJoin(spark.tvf.variant_explode(F.col("m").outer()))
     return {
-        "fastqc_general": entries(general, "report_general_stats_data").select(
-            "run_id", "metric_key", number("total_sequences"), number("percent_gc"), number("avg_sequence_length")
-        ),
-        "kraken_hits": kraken.select("run_id", "metric_key", "pos", "hit.*"),
-        "trim_stats": entries(F.col(raw + "multiqc_trimmomatic"), "multiqc_trimmomatic").select(
-            "run_id", "metric_key", "m.surviving_pct"
-        ),
-        "fastqc_status": entries(F.col(raw + "multiqc_fastqc"), "multiqc_fastqc").select(
-            "run_id", "metric_key", F.explode("m").alias("module", "status")
-        ),
+        "fastqc_general": general.select("run_id", "metric_key", number("total_sequences"), number("percent_gc"), number("avg_sequence_length")),
+        "kraken_hits": hits.select(
+            "run_id", "metric_key", "pos", field("value", "rank_code", "string"), field("value", "percent", "double"), field("value", "classif", "string")),
+        "trim_stats": entries(raw + "multiqc_trimmomatic").select("run_id", "metric_key", field("m", "surviving_pct", "double")),
+        "fastqc_status": modules.select("run_id", "metric_key", F.col("key").alias("module"), F.try_variant_get("value", "$", "string").alias("status")),
     }
 
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platewise import schemas
 from platewise.functions.text import BLANKS, parse_elapsed
+from platewise.session import broadcast_if_small, checkpointed
 
-_ROW_BITS = 33
 _ID_COLUMN = "SAMPLE_ID"
 
 
@@ -19,29 +19,33 @@ def file_path() -> Column:
     return F.regexp_replace(decoded, "^file:/+", "/")
 
 
-def line_position() -> Column:
-    """A number that grows along the lines of one file; not dense, and without any shuffle.
+def numbered(scan: DataFrame, name: str, *columns: Column) -> DataFrame:
+    """``columns`` of a scan of text files with ``path`` and a dense number, from 0, for the rows of each file.
 
-    It is the start of the row's file block plus the row's number within its task. Blocks start at
-    multiples of the split size, and a task reads at most that many bytes, so its rows number fewer; a
-    file that cannot be split is one block. Must be selected directly on the scan. With a setting that packs
-    several splits into a task this does not hold, so it is refused.
+    Two passes: the first counts the rows of every file block, and sums of the counts say how many rows of the file lie before it; the second adds a row's
+    place in its block, which the task that reads the block knows. Nothing is sorted and rows are not shuffled, whatever the
+    size of the splits and however many of them one task reads. If the two passes cut the files differently, because a setting was
+    changed or a file was rewritten in between, that is an error. Must be given the plain scan; rows that are dropped later keep their numbers.
     """
-    session = SparkSession.getActiveSession()
-    if session is not None and session.conf.get("spark.sql.files.maxPartitionNum", None):
-        raise ValueError("lines cannot be put in order while spark.sql.files.maxPartitionNum is set")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(2**_ROW_BITS - 1).cast("bigint"))
-    return F.col("_metadata.file_block_start") + row
+    row, block = F.monotonically_increasing_id().alias("_row"), F.col("_metadata.file_block_start").alias("_block")
+    rows = scan.select(file_path().alias("path"), block, row, *columns)
+    counts = rows.groupBy("path", "_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = checkpointed(counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
+    index = broadcast_if_small(blocks.select(F.col("path").alias("_path"), F.col("_block").alias("_at"), "_n", "_first", "_before"))
+    joined = rows.join(index, (F.col("path") == F.col("_path")) & (F.col("_block") == F.col("_at")), "left")
+    place = F.col("_row") - F.col("_first")
+    changed = F.raise_error(F.concat(F.lit("files or splits changed while lines were numbered: "), F.col("path"))).cast("bigint")
+    number = F.when(place.isNull() | (place < 0) | (place >= F.col("_n")), changed).otherwise(F.col("_before") + place)
+    return joined.select("path", number.alias(name), *(F.col(f"`{c}`") for c in rows.columns[3:]))
 
 
 def ordered_lines(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    """Text lines as ``path, line_no, value``, where ``line_no`` orders the lines of one file.
+    """Text lines as ``path, line_no, value``, numbered from 0 in each file.
 
-    Files are split and read in parallel as usual; see :func:`line_position`.
+    Files are split and read in parallel as usual; see :func:`numbered`.
     """
-    return spark.read.options(**options).text(path).select(
-        file_path().alias("path"), line_position().alias("line_no"), "value"
-    )
+    return numbered(spark.read.options(**options).text(path), "line_no", F.col("value"))
 
 
 def read_samples(
@@ -51,18 +55,18 @@ def read_samples(
     """Sample sheets (TSV with header) as ``run_id, sample_ord, sample_id`` in sheet order.
 
     Ids stay text: '007' and 'NA' are ids, only an empty cell is none. Duplicates are kept. The run id is
-    the first group of ``run_pattern`` in the file's path. All sheets must share one header.
+    the first group of ``run_pattern`` in the file's path. All sheets must share one header. ``sample_ord`` is the number of the row
+    in its file, from 0, rows without an id counted too.
     """
     sheet = spark.read.options(sep="\t", header=True, enforceSchema=False, inferSchema=False).csv(path)
     if id_column not in sheet.columns:
         raise ValueError(
             f"Column '{id_column}' not found in {path}. Available columns: {', '.join(sheet.columns)}"
         )
-    ids = sheet.select(
-        F.regexp_extract(file_path(), run_pattern, 1).alias("run_id"),
-        line_position().alias("sample_ord"),
-        F.col(f"`{id_column}`").alias("sample_id"),
-    ).where(F.col("sample_id").isNotNull() & (F.col("sample_id") != ""))
+    rows = numbered(sheet, "sample_ord", F.col(f"`{id_column}`").alias("sample_id"))
+    ids = rows.select(F.regexp_extract("path", run_pattern, 1).alias("run_id"), "sample_ord", "sample_id").where(
+        F.col("sample_id").isNotNull() & (F.col("sample_id") != "")
+    )
     if ids.isEmpty():
         raise ValueError(f"No sample IDs found in column '{id_column}' of {path}")
     return ids
@@ -105,7 +109,7 @@ def read_report_lines(
 def _lookup_table(spark: SparkSession, path: str, columns: list[str], **options: object) -> DataFrame:
     schema = schemas.table(**{c: schemas.STR for c in columns})
     rows = spark.read.options(sep="\t", header=True, **options).schema(schema).csv(path)
-    return rows.select(file_path().alias("path"), line_position().alias("line_no"), *columns)
+    return numbered(rows, "line_no", *(F.col(c) for c in columns))
 
 
 def read_genome_sizes(spark: SparkSession, path: str) -> DataFrame:

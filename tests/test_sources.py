@@ -1,4 +1,5 @@
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,57 @@ def test_lines_keep_file_order_across_splits(spark, tmp_path, write):
         assert len({n for n, _ in mine}) == 5000
 
 
+@pytest.fixture
+def settings(spark):
+    """Set session settings for one test."""
+    kept = {}
+
+    def put(**values):
+        for key, value in values.items():
+            key = f"spark.sql.files.{key}"
+            kept.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield put
+    for key, value in kept.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("chosen", [
+    {"maxPartitionBytes": "100"}, {"maxPartitionBytes": "1000", "openCostInBytes": "0"}, {"maxPartitionBytes": "300", "maxPartitionNum": "2"},
+    {"maxPartitionBytes": "10000000", "openCostInBytes": "0", "maxPartitionNum": "1"},
+])
+def test_line_numbers_are_dense(spark, tmp_path, write, settings, chosen):
+    """Numbers from 0 without gaps, whatever the splits are and however many of them a task reads."""
+    draw = random.Random(1)
+    files = {f"{k}.txt": [("x" * draw.randrange(80)) + str(i) for i in range(draw.choice([0, 1, 40, 300]))] for k in range(9)}
+    for name, lines in files.items():
+        write(f"{tmp_path}/{name}", "".join(f"{line}{draw.choice(['', chr(13)])}\n" for line in lines)[:None if lines else 0])
+    settings(**chosen)
+    lines = text.ordered_lines(spark, str(tmp_path))
+    got = {}
+    for r in lines.collect():
+        got.setdefault(r.path.rsplit("/")[-1], []).append((r.line_no, r.value.rstrip("\r")))
+    assert {k: sorted(v) for k, v in got.items()} == {k: list(enumerate(v)) for k, v in files.items() if v}
+
+
+def test_settings_changed_between_the_passes(spark, tmp_path, write, settings):
+    write(f"{tmp_path}/a.txt", "".join(f"{i}\n" for i in range(2000)))
+    settings(maxPartitionBytes="900")
+    lines = text.ordered_lines(spark, str(tmp_path))
+    settings(maxPartitionBytes="500")
+    with pytest.raises(Exception, match="changed while lines were numbered"):
+        lines.collect()
+
+
+def test_sheet_order_counts_every_row(spark, tmp_path, write, rows, settings):
+    write(f"{tmp_path}/run1/s.tsv", "path\tSAMPLE_ID\tsample_id2\n" + "".join(f"p\t{'' if i % 5 == 0 else i}\tx\n" for i in range(200)))
+    settings(maxPartitionBytes="64")
+    sheet = text.read_samples(spark, f"{tmp_path}/*/s.tsv")
+    assert sheet.columns == ["run_id", "sample_ord", "sample_id"]
+    assert rows(sheet, "sample_ord", "sample_id") == sorted((i, str(i)) for i in range(200) if i % 5)
+
+
 def test_sample_sheet_rules(spark, tmp_path, write):
     write(f"{tmp_path}/run1/samples.tsv", "other\tSAMPLE_ID\nx\t007\ny\tNA\nz\t\nw\tS1\nv\tS1\nu\tS10\n\nt\tfailed_ctrl\n")
     sheet = text.read_samples(spark, f"{tmp_path}/*/samples.tsv")
