@@ -79,24 +79,6 @@ def glob_to_regex(pattern: Column) -> Column:
     return F.concat(F.lit("(?s)^"), out, F.lit("$"))
 
 
-def glob_prefix(pattern: Column) -> Column:
-    """Literal text before the first special character."""
-    return F.regexp_extract(pattern, r"(?s)^([^*?\[]*)", 1)
-
-
-def glob_suffix(pattern: Column) -> Column:
-    """Literal text after the last special character, '' without one."""
-    return F.regexp_extract(pattern, r"(?s)[*?\[\]]([^*?\[\]]*)$", 1)
-
-
-def glob_pieces(pattern: Column) -> Column:
-    """Literal texts between the wildcards of a pattern, start and end left out; only '' where it has a character class."""
-    rest = F.length(pattern) - F.length(glob_prefix(pattern)) - F.length(glob_suffix(pattern))
-    middle = F.substr(pattern, F.length(glob_prefix(pattern)) + 1, F.greatest(rest, F.lit(0)))
-    found = F.filter(F.array_distinct(F.split(middle, "[*?]+")), lambda piece: piece != "")
-    return F.when(middle.contains("[") | (F.size(found) == 0), F.array(F.lit(""))).otherwise(found)
-
-
 def parse_elapsed(text: Column) -> Column:
     """Seconds from ``h:mm:ss`` or ``m:ss.ss``."""
     return F.aggregate(

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from platewise import reference_values as ref
 from platewise.functions.numeric import round_binary_half_even
 from platewise.functions.text import (
-    base_name, expand_entries, expand_template, glob_pieces, glob_prefix, glob_suffix, glob_to_regex, has_wildcard, parent_dir,
-    parse_skip_list,
+    base_name, expand_entries, expand_template, has_wildcard, parent_dir, parse_skip_list,
 )
-from platewise.session import checkpointed
+from platewise.operators.globs import glob_match
+from platewise.session import bucketed, checkpointed
 
 STATUSES = ["skipped", "skipped_missing_input", "completed", "allowed_failure", "failed"]
 
@@ -91,65 +91,30 @@ def expected_manifest(samples: DataFrame, tools: DataFrame, runs: DataFrame) ->
     return sample_rows.select(*out).unionByName(batch_rows.select(*out))
 
 
-def glob_match(patterns: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """The distinct ``pattern`` values that at least one artifact path matches.
+def with_presence(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """``manifest`` with the flag ``present``: an artifact has the row's path, or fits it if it is a glob.
 
-    Wildcards are honoured in the last path component only. The join key is the directory, the literal start and end of the
-    pattern, and one literal piece between its wildcards, the one that fewest patterns share. Each directory lists the lengths
-    its patterns use, and every file in it offers its own start, end and inner pieces at those lengths. A file therefore only meets
-    patterns that agree with it there, also in a directory that holds most of the files and if patterns start with a wildcard.
+    One left join with the distinct paths that are there, artifacts and matched globs together: each side is shuffled once, by path.
     """
-    name = base_name(F.col("pattern"))
-    wanted = patterns.select("pattern").distinct().select(
-        "pattern", parent_dir(F.col("pattern")).alias("dir"), glob_prefix(name).alias("prefix"), glob_suffix(name).alias("suffix"),
-        glob_to_regex(name).alias("regex"), F.explode(glob_pieces(name)).alias("piece"),
-    )
-    anchors = ["dir", "prefix", "suffix", "piece"]
-    shared = wanted.groupBy(*anchors).agg(F.count("*").alias("sharing"))
-    rarest = F.min_by("piece", F.struct("sharing", -F.length("piece")))
-    wanted = wanted.join(shared, anchors).groupBy("pattern", "dir", "prefix", "suffix", "regex").agg(rarest.alias("piece"))
-    lengths = wanted.groupBy("dir").agg(
-        F.collect_set(F.struct(*[F.length(c).alias(c) for c in anchors[1:]])).alias("cuts")
-    )
-    name = base_name(F.col("path"))
-    files = artifacts.select(parent_dir(F.col("path")).alias("dir"), name.alias("name"))
-    start, end, inner = F.col("cut.prefix"), F.col("cut.suffix"), F.col("cut.piece")
-    places = F.sequence(start + 1, F.length("name") - end - inner + 1)
-    pieces = F.when(inner == 0, F.array(F.lit(""))).otherwise(
-        F.array_distinct(F.transform(places, lambda at: F.substr(F.col("name"), at, inner)))
-    )
-    offered = (
-        files.join(lengths, "dir")
-        .select("dir", "name", F.explode("cuts").alias("cut"))
-        .where(F.length("name") >= start + end + inner)
-        .select(
-            "dir", "name", F.substr("name", F.lit(1), start).alias("prefix"),
-            F.substr("name", F.length("name") - end + 1, end).alias("suffix"), F.explode(pieces).alias("piece"),
-        )
-    )
-    same = F.rlike(offered.name, wanted.regex)
-    for column in anchors:
-        same &= offered[column] == wanted[column]
-    # an inner join, whose file side can be split if one folder and prefix holds most files
-    return offered.join(wanted, same).select("pattern").distinct()
+    globs = manifest.where(has_wildcard(F.col("path"))).select(F.col("path").alias("pattern"))
+    there = artifacts.select("path").unionByName(glob_match(globs, artifacts).select(F.col("pattern").alias("path"))).distinct()
+    flagged = manifest.join(there.withColumn("_there", F.lit(True)), "path", "left")
+    return flagged.select(*(F.col(f"`{c}`") for c in manifest.columns), F.coalesce("_there", F.lit(False)).alias("present"))
 
 
-def _present_paths(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Paths of artifacts, and the patterns that one fits. The latter are stored: the planner pushes the join with them through
-    the manifest's union and would match them once per branch."""
-    patterns = manifest.where(has_wildcard(F.col("path"))).select(F.col("path").alias("pattern"))
-    matched = checkpointed(glob_match(patterns, artifacts).select(F.col("pattern").alias("path")))
-    return artifacts.select("path").unionByName(matched)
+def presence_index(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
+    """:func:`with_presence`, kept as a table bucketed by path: whatever is joined with it by path later shuffles only its own side, or nothing if it is bucketed alike."""
+    return bucketed(with_presence(manifest, artifacts), "path")
 
 
 def pending_outputs(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Manifest rows whose output does not exist: the work still to do."""
-    return manifest.join(_present_paths(manifest, artifacts), "path", "left_anti").select(*manifest.columns)
+    return with_presence(manifest, artifacts).where(~F.col("present")).drop("present")
 
 
 def existing_outputs(manifest: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Manifest rows whose output exists: the work that can be skipped."""
-    return manifest.join(_present_paths(manifest, artifacts), "path", "left_semi").select(*manifest.columns)
+    return with_presence(manifest, artifacts).where("present").drop("present")
 
 
 def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artifacts: DataFrame) -> DataFrame:
@@ -174,7 +139,7 @@ def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artif
     )
     out = ["run_id", "tool", "sample_ord", "sample_id", "path"]
     wanted = rows.select(*out).unionByName(batch.select(*out))
-    return wanted.join(_present_paths(wanted, artifacts), "path", "left_anti").select(*out)
+    return pending_outputs(wanted, artifacts)
 
 
 def missing_preview(
@@ -209,15 +174,18 @@ def missing_preview(
 
 def stage_readiness(
     tool_deps: DataFrame, tools: DataFrame, runs: DataFrame, manifest: DataFrame,
-    artifacts: DataFrame, allowed: DataFrame,
+    artifacts: DataFrame | None, allowed: DataFrame,
 ) -> DataFrame:
     """Per (run, tool) with dependencies: may it start, and what is missing.
 
+    ``manifest`` may be a presence index already; artifacts are not looked at then.
+
     A dependency on an unknown tool is ignored; one that declares no output counts as satisfied;
     samples that may fail do not hold a stage up. Tools without dependencies have no row.
     """
     # stored: it is counted, previewed and searched for batch outputs
-    missing = checkpointed(pending_outputs(manifest, artifacts))
+    flagged = manifest if "present" in manifest.columns else with_presence(manifest, artifacts)
+    missing = checkpointed(flagged.where(~F.col("present")).drop("present"))
     of_samples = missing.where(F.col("sample_id").isNotNull()).join(
         allowed.select("run_id", "sample_id").distinct(), ["run_id", "sample_id"], "left_anti"
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from platewise.operators import accounting as acc
+from platewise.session import bucketed
 from platewise.sources.sinks import resource_rows
 
 
@@ -12,14 +14,18 @@ def work_plan(
     samples: DataFrame, tools: DataFrame, tool_deps: DataFrame, runs: DataFrame, artifacts: DataFrame,
     allowed: DataFrame,
 ) -> dict[str, DataFrame]:
-    """The manifest, its pending and existing part, missing inputs and the readiness of each stage."""
-    manifest = acc.expected_manifest(samples, tools, runs)
+    """The manifest, its pending and existing part, missing inputs and the readiness of each stage.
+
+    The manifest is compared with the artifacts once, as a presence index that the parts read; artifacts are kept by path for both comparisons.
+    """
+    there = bucketed(artifacts.select("path").distinct(), "path")
+    index = acc.presence_index(acc.expected_manifest(samples, tools, runs), there)
     return {
-        "manifest": manifest,
-        "pending": acc.pending_outputs(manifest, artifacts),
-        "existing": acc.existing_outputs(manifest, artifacts),
-        "missing_inputs": acc.required_inputs(samples, tools, runs, artifacts),
-        "readiness": acc.stage_readiness(tool_deps, tools, runs, manifest, artifacts, allowed),
+        "manifest": index.drop("present"),
+        "pending": index.where(~F.col("present")).drop("present"),
+        "existing": index.where("present").drop("present"),
+        "missing_inputs": acc.required_inputs(samples, tools, runs, there),
+        "readiness": acc.stage_readiness(tool_deps, tools, runs, index, None, allowed),
     }
 
 

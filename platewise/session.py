@@ -59,6 +59,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bucketed(df: DataFrame, *columns: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder as a table bucketed and sorted by ``columns``, and read it back.
+
+    A join or aggregation by these columns needs no shuffle of it, and none at all with another table of as many buckets.
+    There are as many buckets as shuffle partitions, each one file. The table is known to the session's catalog under a name of its own.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"platewise_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, *columns).write.format("parquet").bucketBy(buckets, *columns).sortBy(*columns)
+    writer.option("path", shared_path(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name)
+
+
 def has_at_most(df: DataFrame, rows: int) -> bool:
     """Whether a stored table has no more than ``rows`` rows."""
     return df.limit(rows + 1).count() <= rows
