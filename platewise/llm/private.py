@@ -8,7 +8,7 @@ character classes with CRF transitions over begin and inside tags of every kind,
    other separators) put into these windows and into filler text, beside numbers that are nothing (dates, versions, amounts, keys).
 2. Training: maximum likelihood of the tag sequences, by the forward-backward sums of the CRF and back-propagation through time, Adam steps, a fixed seed.
 3. Tagging. A text is cut into windows of ``WINDOW`` characters that overlap by ``OVERLAP``; all are run through the network, many at once, and decoded by
-   Viterbi. Windows in which no other path can beat "outside everywhere" (a bound on emissions and transitions shows it) need no decoding.
+   Viterbi. Windows in which no path can beat "outside everywhere" (a bound on emissions and transitions shows it) need no decoding.
 4. Reconciliation over the whole text: a character takes its tag from the window in which it lies further from the edge; runs of a kind are spans, also where they cross
    windows. A span that touches a base span yields to it. The rest are trimmed to their first and last letter or digit and must pass the exact check of
    their kind (``accepted``).
@@ -35,7 +35,7 @@ from platewise.llm.common import free_name, short_batches
 
 KINDS = ("email", "ip", "card", "phone")
 HIDDEN, TRAINED, WINDOWS, EPOCHS, BATCH = 10, 96, 2400, 16, 96
-WINDOW, OVERLAP, SECTION, TOGETHER = 256, 32, 1 << 20, 1024
+WINDOW, OVERLAP, SECTION, TOGETHER, TEXTS_AT_ONCE = 256, 32, 1 << 20, 1024, 1024
 SPAN = "array<struct<kind:string,start:long,end:long,base:boolean>>"
 Span = tuple[str, int, int]
 
@@ -217,10 +217,22 @@ class Tagger:
         """Best tags of the windows (columns of ``codes``) in which anything is tagged."""
         scores = self.emissions(codes)
         moves = np.where(FORBIDDEN, np.float32(-1e4), self.moves)
-        # Leaving "outside" for some characters changes at most two transitions for each: where no tag gains more than that costs, nothing is tagged.
-        gain = max(0.0, float((moves - moves[0, 0]).max()), float((self.first - self.first[0]).max()))
-        ahead = scores[:, 0] - scores[:, 1:].max(1)
-        some = np.nonzero((ahead < 2 * gain).any(0))[0]
+        # What a span gains over "outside" in its place: coming in, its characters, staying inside, going out. The running best of spans that end at each
+        # character, per kind, bounds it; where none can gain anything, "outside" everywhere is a best path.
+        begin, inner, plain = slice(1, None, 2), slice(2, None, 2), moves[0, 0]
+        come = (moves[:, begin].max(0) - plain)[:, None]
+        stay = (np.maximum(moves.diagonal()[inner], moves.diagonal(1)[begin]) - plain)[:, None]
+        go = max(float((moves[1:, 0] - plain).max()), 0.0)
+        first = (self.first[1:] - self.first[0])[:, None]
+        run = np.maximum(scores[0, begin] + first[0::2], scores[0, inner] + first[1::2]) - scores[0, 0]
+        best = run.copy()
+        for t in range(1, len(scores)):
+            run += stay
+            run += scores[t, inner]
+            np.maximum(run, scores[t, begin] + come, out=run)
+            run -= scores[t, 0]
+            np.maximum(best, run, out=best)
+        some = np.nonzero(best.max(0) + go > -1e-3)[0]
         if not len(some):
             return {}
         scores = scores[:, :, some]
@@ -435,7 +447,7 @@ def train(docs: DataFrame, text: str = "text", windows: int = WINDOWS, **options
 def tagged_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
     """Spans that the tagger sees in each text, reconciled over its windows, before any check."""
     step = WINDOW - OVERLAP
-    queue: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    queue: dict[int, list[tuple[int, int, int, int, np.ndarray]]] = {}
     seen: list[dict[int, int]] = [{} for _ in texts]
 
     def run(padded: int) -> None:
@@ -443,29 +455,28 @@ def tagged_spans(model: Tagger, texts: list[str]) -> list[list[Span]]:
         if not rows:
             return
         codes = np.zeros((padded, len(rows)), np.uint8)
-        for k, (_, _, own) in enumerate(rows):
+        for k, (*_, own) in enumerate(rows):
             codes[:len(own), k] = own
         for k, path in model.decode(codes).items():
-            number, at, own = rows[k]
-            # The outer half of an overlap belongs to the neighbour, if there is one.
-            a = OVERLAP // 2 if at else 0
-            b = len(own) if at + len(own) >= len(texts[number]) else len(own) - OVERLAP // 2
+            number, at, a, b, _ = rows[k]
             for t in (np.nonzero(path[a:b])[0] + a).tolist():
                 seen[number][at + t] = int(path[t])
 
     for number, text in enumerate(texts):
-        at, section, begin = 0, np.zeros(0, np.uint8), 0
-        while at < len(text):
+        # Whole windows; the last one lies back so far that it is whole too.
+        starts = [*range(0, len(text) - WINDOW, step), max(len(text) - WINDOW, 0)] if text else []
+        section, begin = np.zeros(0, np.uint8), 0
+        for k, at in enumerate(starts):
             if at + WINDOW > begin + len(section) and begin + len(section) < len(text):
-                begin, section = at, classes(text[at:at + SECTION])
+                begin, section = at, classes(text[at:at + max(SECTION, WINDOW)])
             own = section[at - begin:at - begin + WINDOW]
-            padded = -(-len(own) // 32) * 32
-            queue.setdefault(padded, []).append((number, at, own))
+            # Of an overlap each window has the half that is further from its edge.
+            a = (starts[k - 1] + WINDOW - at) // 2 if k else 0
+            b = (at + WINDOW + starts[k + 1]) // 2 - at if k + 1 < len(starts) else len(own)
+            padded = -(-len(own) // 64) * 64
+            queue.setdefault(padded, []).append((number, at, a, b, own))
             if len(queue[padded]) >= TOGETHER:
                 run(padded)
-            if at + WINDOW >= len(text):
-                break
-            at += step
     for padded in sorted(queue):
         run(padded)
     return [list(_runs(own)) for own in seen]
@@ -523,7 +534,7 @@ def spans_of(model: Tagger, text: Column) -> Column:
 
 def find_private(docs: DataFrame, model: Tagger, text: str = "text", name: str = "private") -> tuple[DataFrame, str]:
     """``docs`` with a column of all spans; its name is returned too."""
-    short_batches(docs.sparkSession)
+    short_batches(docs.sparkSession, TEXTS_AT_ONCE)
     name = free_name(docs.columns, name)
     return docs.withColumn(name, spans_of(model, F.coalesce(F.col(f"`{text}`"), F.lit("")))), name
 
