@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -355,6 +358,30 @@ def q33(spark, sf_dir):
     )
 
 
+def _user_median(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The middle of a sample's values, which come sorted, and the first and last event of the sample."""
+    cents, first, last = np.empty(0, np.int64), None, None
+    for rows in parts:
+        cents = np.append(cents, (rows["value"] * 100).round().astype("int64"))
+        first, last = rows["event_id"].iloc[0] if first is None else first, rows["event_id"].iloc[-1]
+    twice = int(cents[(len(cents) - 1) // 2] + cents[len(cents) // 2])
+    yield pd.DataFrame({"run_id": [key[0]], "sample_id": [key[1]], "n": [len(cents)], "twice_median": [twice], "least_event": [first], "most_event": [last]})
+
+
+@query("q33c_sample_median", """WITH e AS (
+  SELECT 'run' || (user_id % 8) AS run_id, CAST(user_id AS VARCHAR) AS sample_id, event_id, CAST(round(value * 100) AS BIGINT) AS cents, value FROM events),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, sample_id ORDER BY value, event_id) AS k, count(*) OVER (PARTITION BY run_id, sample_id) AS n FROM e)
+SELECT run_id, sample_id, n, CAST(sum(cents * (CASE WHEN k = (n + 1) // 2 THEN 1 ELSE 0 END + CASE WHEN k = n // 2 + 1 THEN 1 ELSE 0 END)) AS BIGINT) AS twice_median,
+  max(CASE WHEN k = 1 THEN event_id END) AS least_event, max(CASE WHEN k = n THEN event_id END) AS most_event FROM r GROUP BY ALL""")
+def q33c(spark, sf_dir):
+    """A function without a partial form: medians, from all rows of each sample in the order of their values."""
+    rows = st.load(spark, sf_dir, "events").select(
+        st.run_of("user_id").alias("run_id"), F.col("user_id").cast("string").alias("sample_id"), "event_id", "value")
+    schema = "run_id string, sample_id string, n bigint, twice_median bigint, least_event bigint, most_event bigint"
+    return hooks.each_sample(rows, _user_median, schema, order=["value", "event_id"])
+
+
 @query("q33b_batch_hook", "SELECT event_type AS tool, count(*) AS n, max(value) AS top_value FROM events GROUP BY 1")
 def q33b(spark, sf_dir):
     return hooks.batch(

@@ -15,7 +15,9 @@ from platewise.plans.run_accounting import resource_log
 from platewise.session import shared_path
 from platewise.sources.artifacts import concat_lanes, discover_samples, list_artifacts
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
-from platewise.sources.sinks import append_resource_usage, append_versions, versions_as_text, write_qc_summary
+from platewise.sources.sinks import (
+    append_resource_usage, append_versions, read_resource_usage, read_versions, versions_as_text, write_qc_summary, write_top_hits,
+)
 from platewise.sources.text import (
     merge_species_calls, ordered_lines, read_genome_sizes, read_renames, read_report_lines, read_samples,
 )
@@ -126,10 +128,11 @@ def q42(spark, sf_dir):
     )
     tools = spark.createDataFrame([("click", 10), ("view", 4)], "tool string, parallel int")
     rows = resource_log(st.task_runs(spark, sf_dir), hosts, tools, "2025-01-15 14:23:10")
-    # two appends, as two runs of the job would make them
-    append_resource_usage(rows.where("tool <= 'error'"), path)
-    append_resource_usage(rows.where("tool > 'error'"), path)
-    return spark.read.schema(schemas.table(run_id=schemas.STR, **{f.name: f.dataType for f in schemas.RESOURCE_USAGE})).parquet(path)
+    # two appends, as two runs of the job would make them; the second is repeated, as after a failure
+    append_resource_usage(rows.where("tool <= 'error'"), path, batch="first")
+    for _ in range(2):
+        append_resource_usage(rows.where("tool > 'error'"), path)
+    return read_resource_usage(spark, path)
 
 
 @query("q42b_version_log", """WITH e AS (SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS timestamp, user_id FROM events)
@@ -145,8 +148,9 @@ def q42b(spark, sf_dir):
     )
     subs = [("gzip", "1.13", "/bin/gzip", None), ("sed", "4.8", "/bin/sed", "regex")]
     tools = spark.createDataFrame([(1, "click", "per_sample", 1, None, None, None, subs)], schemas.TOOLS)
-    append_versions(sub_tool_versions(tools, captured), path)
-    return versions_as_text(spark.read.schema(schemas.VERSIONS).parquet(path))
+    for _ in range(2):  # a repeated append changes nothing
+        append_versions(sub_tool_versions(tools, captured), path)
+    return versions_as_text(read_versions(spark, path))
 
 
 @query("q45_lookup_files", """SELECT 'size' AS kind, p_name AS name, CAST(p_retailprice AS VARCHAR) AS value FROM part WHERE p_size >= 10
@@ -182,3 +186,16 @@ def q46(spark, sf_dir):
         F.sum("n_lines").alias("n_lines"), F.sum("length").alias("bytes"),
         (F.sum("n_lines") == 0).alias("empty"),
     )
+
+
+@query("q50_top_hit_files", f"""WITH {st.REPORT_LINES}, r AS (
+  SELECT *, row_number() OVER (PARTITION BY run_id, sample_id, rank_code ORDER BY line_no) AS rn FROM report_lines)
+SELECT run_id, sample_id, percentage AS "Percentage", count_clade AS "Count_Clade", count_taxon AS "Count_Taxon",
+  CASE rank_code WHEN 'G' THEN 'Genus' WHEN 'S' THEN 'Species' ELSE 'Unclassified' END AS "TaxRank", taxid AS "TaxID", trim(name) AS "Organism"
+FROM r WHERE rn <= CASE rank_code WHEN 'U' THEN 1 ELSE 3 END""")
+def q50(spark, sf_dir):
+    """Top hits written as the files of samples and read back."""
+    path = shared_path(spark, "top-hits")
+    write_top_hits(top_hits(st.report_lines(spark, sf_dir)), path)
+    schema = schemas.table(**{c: schemas.STR for c in schemas.TOP_HITS.names if c not in ("run_id", "sample_id", "hit_ord")}, run_id=schemas.STR, sample_id=schemas.STR)
+    return spark.read.options(header=True).schema(schema).csv(path)

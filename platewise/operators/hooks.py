@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def per_sample(
@@ -42,6 +46,46 @@ def per_sample(
     return combine(df.mapInPandas(run, schema))
 
 
+def each_sample(
+    df: DataFrame,
+    fn: Callable[[tuple, Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: str,
+    keys: list[str] | None = None,
+    order: list[str] | None = None,
+    bytes_at_once: int = 4 << 20,
+) -> DataFrame:
+    """Run a user function over all rows of every sample, in ``order``, for functions that have no partial form.
+
+    ``fn(key, parts)`` gets the sample's rows as an iterator of frames of about ``bytes_at_once`` and yields result frames (key columns included). Samples are
+    dealt to partitions by key and sorted there, so a task streams through one sample after the other: a sample that holds most of the data
+    is one task's work, but never in memory at once. Rows that ``fn`` does not ask for are passed over. A null is a key like any other.
+    """
+    keys = keys or ["run_id", "sample_id"]
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+        """Stretches of equal keys, cut to the size."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(batch.schema.get_field_index(k)).dictionary_encode() for k in keys]
+            codes = np.stack([c.indices.fill_null(-1).to_numpy(zero_copy_only=False) for c in columns])
+            edges = [0, *(np.flatnonzero((codes[:, 1:] != codes[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            most = max(1, int(batch.num_rows * bytes_at_once / max(batch.nbytes, 1)))
+            for a, b in zip(edges, edges[1:]):
+                key = tuple(batch.column(batch.schema.get_field_index(k))[a].as_py() for k in keys)
+                for start in range(a, b, most):
+                    yield key, batch.slice(start, min(most, b - start)).to_pandas()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, group in groupby(parts(batches), lambda part: part[0]):
+            for result in fn(key, (frame for _, frame in group)):
+                yield from pa.Table.from_pandas(result[names], types, preserve_index=False).to_batches()
+
+    empty = df.sparkSession.createDataFrame([], schema)
+    names, types = empty.columns, to_arrow_schema(empty.schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
+
+
 def batch(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run a user function once over the whole table."""
     return df.transform(fn)

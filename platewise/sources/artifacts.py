@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fnmatch import fnmatchcase
+from functools import reduce
 
 import pandas as pd
 from pyarrow import fs
@@ -11,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.text import base_name, parent_dir
-from platewise.session import broadcast_if_small
+from platewise.session import broadcast_if_small, checkpointed
 
+#: Entries of a batch, and tasks of a round.
+LISTED, MAX_TASKS = 10_000, 10_000
 READ_FILE = r"^(.+?)(?:_(L\d{3,}))?_(R[12])\.(?:fastq|fq)(?:\.gz)?$"
 
 
@@ -24,29 +27,32 @@ def open_root(root: str) -> tuple[fs.FileSystem, str]:
 def list_artifacts(spark: SparkSession, root: str | list[str], glob: str | None = None) -> DataFrame:
     """Files below ``root`` as ``path, length`` (paths without scheme), empty ones included; contents are not read.
 
-    Tasks do the listing: one per root, then one per folder directly below a root.
+    The tree is listed level by level: each round lists the folders that the round before found, spread over tasks, so a deep or
+    lopsided tree, all of it below one folder say, keeps many tasks busy. There are as many rounds as the tree is deep; a round's entries are
+    stored, and leave their task in batches of ``LISTED``.
     """
     level = "root string, path string, length bigint, is_file boolean"
+    at_once = LISTED
 
-    def entries(recursive: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for uri, path in zip(batch["root"], batch["path"]):
-                    found = open_root(uri)[0].get_file_info(fs.FileSelector(path, recursive=recursive))
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri, path in zip(batch["root"], batch["path"]):
+                found = open_root(uri)[0].get_file_info(fs.FileSelector(path, recursive=False))
+                for start in range(0, len(found), at_once):
                     rows = [
-                        (uri, i.path, i.size or 0, i.is_file) for i in found
+                        (uri, i.path, i.size or 0, i.is_file) for i in found[start:start + at_once]
                         if not i.is_file or glob is None or fnmatchcase(i.base_name, glob)
                     ]
                     yield pd.DataFrame(rows, columns=["root", "path", "length", "is_file"])
 
-        return run
-
     roots = [(uri, open_root(uri)[1]) for uri in ([root] if isinstance(root, str) else root)]
-    start = spark.createDataFrame(roots, "root string, path string")
-    top = start.repartition(len(roots), "path").mapInPandas(entries(recursive=False), level)
-    below = top.where(~F.col("is_file")).select("root", "path").repartition("path")
-    deep = below.mapInPandas(entries(recursive=True), level)
-    return top.unionByName(deep).where("is_file").select("path", "length")
+    frontier, tasks, levels = spark.createDataFrame(roots, "root string, path string"), len(roots), []
+    while tasks:
+        found = checkpointed(frontier.repartition(min(tasks, MAX_TASKS), "path").mapInPandas(entries, level))
+        levels.append(found.where("is_file").select("path", "length"))
+        frontier = found.where(~F.col("is_file")).select("root", "path")
+        tasks = frontier.count()
+    return reduce(DataFrame.unionByName, levels)
 
 
 def discover_samples(artifacts: DataFrame, run_id: str = "", run_pattern: str | None = None) -> DataFrame:

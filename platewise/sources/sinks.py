@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from platewise import schemas
 from platewise.functions.numeric import round_binary_half_even
@@ -44,14 +45,44 @@ def resource_rows(plan: DataFrame, tools: DataFrame, timestamp: str) -> DataFram
     )
 
 
-def append_resource_usage(rows: DataFrame, path: str) -> None:
-    """Append to the resource log; unknown limits are null."""
-    rows.write.mode("append").partitionBy("run_id").parquet(path)
+def _append(rows: DataFrame, path: str, batch: str | None) -> None:
+    """Add a batch of rows to a log, or put it in the place of the same batch.
 
+    A batch has a folder of its own in each run, and a write replaces the folders that it has rows for. Without a name a batch is called
+    after its rows (the sum of their hashes), so a job that is repeated with the same rows leaves no double either.
+    """
+    if batch is None:
+        hashes = F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)).cast("decimal(38,0)"))
+        n, total = rows.agg(F.count("*"), F.coalesce(hashes, F.lit(0))).first()
+        batch = f"{n}-{int(total) % (1 << 64):016x}"
+    named = rows.withColumn("batch", F.lit(batch))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch").parquet(path)
 
-def append_versions(rows: DataFrame, path: str) -> None:
-    """Append to the version log."""
-    rows.select(*schemas.VERSIONS.names).write.mode("append").partitionBy("run_id").parquet(path)
+
+def _read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    fields = [f for f in schema.fields if f.name not in ("run_id", "batch")]
+    typed = StructType([*fields, StructField("run_id", StringType()), StructField("batch", StringType())])
+    return spark.read.schema(typed).parquet(path).drop("batch")
+
+
+def append_resource_usage(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append to the resource log; unknown limits are null. A repeated ``batch`` replaces itself."""
+    _append(rows, path, batch)
+
+
+def read_resource_usage(spark: SparkSession, path: str) -> DataFrame:
+    """The resource log, all batches."""
+    return _read_log(spark, path, schemas.RESOURCE_USAGE)
+
+
+def append_versions(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append to the version log. A repeated ``batch`` replaces itself."""
+    _append(rows.select(*schemas.VERSIONS.names), path, batch)
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The version log, all batches."""
+    return _read_log(spark, path, schemas.VERSIONS).select(*schemas.VERSIONS.names)
 
 
 def versions_as_text(rows: DataFrame) -> DataFrame:

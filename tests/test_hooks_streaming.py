@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from platewise.operators import hooks
@@ -26,6 +27,40 @@ def test_per_sample_sees_every_row_once(spark, rows):
         assert rows(got) == sorted((*k, *v) for k, v in expected.items())
 
 
+@pytest.mark.parametrize("size", [1, 200, 4 << 20])
+def test_each_sample_streams_through_all_rows(spark, rows, size):
+    """Medians from rows in order, one sample with most of them, nulls as keys, frames of bounded size."""
+    data = [("r", None if i % 97 == 0 else "hot" if i % 3 else f"S{i % 5}", (i * 7919) % 1000, "x" * (i % 50)) for i in range(3000)]
+
+    def median(key, parts):
+        values, frames = [], 0
+        for part in parts:
+            assert len(part) == 1 or size > 1
+            values += part["v"].tolist()
+            frames += 1
+        assert values == sorted(values)
+        yield pd.DataFrame({"sample_id": [key[1]], "run_id": [key[0]], "n": [len(values)], "middle": [values[len(values) // 2]], "frames": [frames]})
+
+    df = spark.createDataFrame(data, "run_id string, sample_id string, v bigint, pad string").repartition(6)
+    got = hooks.each_sample(df, median, "run_id string, sample_id string, n bigint, middle bigint, frames bigint", order=["v"], bytes_at_once=size)
+    expected = {}
+    for run, sample, v, _ in data:
+        expected.setdefault((run, sample), []).append(v)
+    assert rows(got.drop("frames")) == rows(spark.createDataFrame([(*k, len(v), sorted(v)[len(v) // 2]) for k, v in expected.items()], "run_id string, sample_id string, n bigint, middle bigint"))
+    if size == 200:
+        assert max(r.frames for r in got.collect()) > 20
+
+
+def test_each_sample_may_stop_early(spark, rows):
+    def first(key, parts):
+        yield next(parts).head(1)[["run_id", "sample_id", "v"]]
+
+    df = spark.createDataFrame([("r", f"S{i % 3}", i) for i in range(3000)], "run_id string, sample_id string, v bigint").repartition(1)
+    got = hooks.each_sample(df, first, "run_id string, sample_id string, v bigint", order=["v"], bytes_at_once=500)
+    assert rows(got) == [("r", "S0", 0), ("r", "S1", 1), ("r", "S2", 2)]
+    assert hooks.each_sample(df.limit(0), first, "run_id string, sample_id string, v bigint").collect() == []
+
+
 def test_batch(spark):
     assert hooks.batch(spark.range(5), lambda df: df.agg(F.sum("id"))).first()[0] == 10
 

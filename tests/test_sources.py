@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import random
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from platewise.operators.accounting import is_empty_or_header_only
 from platewise.sources import artifacts as art
-from platewise.sources import text
+from platewise.sources import sinks, text
 from platewise.operators.taxa import first_or_last_wins
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.multiqc import read_multiqc_json
@@ -186,6 +187,35 @@ def test_artifacts_and_discovery(spark, tmp_path, write, rows):
     ]
 
 
+def test_listing_goes_down_level_by_level(spark, tmp_path, write, rows, monkeypatch):
+    """A lopsided tree, all of it below one folder, some levels with many entries, empty folders; batches are bounded."""
+    monkeypatch.setattr(art, "LISTED", 3)
+    wanted = []
+    folder = f"{tmp_path}/in/top"
+    for depth in range(5):
+        folder += f"/level{depth}"
+        for k in range(depth * 3):
+            wanted.append((write(f"{folder}/side{k}/f{k}.txt", "x" * k), k))
+            wanted.append((write(f"{folder}/g{k}.csv", ""), 0))
+    (tmp_path / "in" / "empty" / "deeper").mkdir(parents=True)
+    assert rows(art.list_artifacts(spark, f"{tmp_path}/in")) == sorted(wanted)
+    assert rows(art.list_artifacts(spark, [f"{tmp_path}/in/top", f"{tmp_path}/in/empty"], glob="*.csv")) == sorted(w for w in wanted if w[0].endswith("csv"))
+
+
+def test_appends_can_be_repeated(spark, tmp_path, rows):
+    """A batch that is written again replaces itself, with or without a name; other batches and runs stay."""
+    schema = "run_id string, ts timestamp, tool string, sub_tool string, version string, path string, database string"
+
+    def log(*tools):
+        return spark.createDataFrame([("r" + t[-1], dt.datetime(2025, 1, 1), t, None, "1", "/p", "db") for t in tools], schema)
+
+    path = f"{tmp_path}/log"
+    for table, batch in ((log("a1", "b2"), None), (log("a1", "b2").repartition(3), None), (log("c1"), None), (log("d1"), "x"), (log("e1"), "x"), (log("f2"), "x")):
+        sinks.append_versions(table, path, batch)
+    assert [r[0] for r in rows(sinks.read_versions(spark, path), "tool")] == ["a1", "b2", "c1", "e1", "f2"]
+    assert sinks.read_versions(spark, path).columns == schema.replace(" string", "").replace(" timestamp", "").split(", ")
+
+
 def test_metrics_report(spark, tmp_path, write, rows):
     doc = (
         '{"report_general_stats_data": [{}, {}, {"S1_processed_R1": {"total_sequences": 1234.0, "percent_gc": "52.25"}}],\n'
