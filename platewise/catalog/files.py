@@ -131,7 +131,7 @@ def q42(spark, sf_dir):
     # two appends, as two runs of the job would make them; the second is repeated, as after a failure
     append_resource_usage(rows.where("tool <= 'error'"), path, batch="first")
     for _ in range(2):
-        append_resource_usage(rows.where("tool > 'error'"), path)
+        append_resource_usage(rows.where("tool > 'error'"), path, batch="second")
     return read_resource_usage(spark, path)
 
 
@@ -149,7 +149,7 @@ def q42b(spark, sf_dir):
     subs = [("gzip", "1.13", "/bin/gzip", None), ("sed", "4.8", "/bin/sed", "regex")]
     tools = spark.createDataFrame([(1, "click", "per_sample", 1, None, None, None, subs)], schemas.TOOLS)
     for _ in range(2):  # a repeated append changes nothing
-        append_versions(sub_tool_versions(tools, captured), path)
+        append_versions(sub_tool_versions(tools, captured), path, batch="2025-01-15")
     return versions_as_text(read_versions(spark, path))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -48,13 +50,10 @@ def resource_rows(plan: DataFrame, tools: DataFrame, timestamp: str) -> DataFram
 def _append(rows: DataFrame, path: str, batch: str | None) -> None:
     """Add a batch of rows to a log, or put it in the place of the same batch.
 
-    A batch has a folder of its own in each run, and a write replaces the folders that it has rows for. Without a name a batch is called
-    after its rows (the sum of their hashes), so a job that is repeated with the same rows leaves no double either.
+    A batch has a folder of its own in each run, and a write replaces the folders that it has rows for: a job that gives its batch a name (its run's
+    time, say) may be repeated and leaves no double. Without a name every write is a new batch.
     """
-    if batch is None:
-        hashes = F.sum(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)).cast("decimal(38,0)"))
-        n, total = rows.agg(F.count("*"), F.coalesce(hashes, F.lit(0))).first()
-        batch = f"{n}-{int(total) % (1 << 64):016x}"
+    batch = batch or uuid.uuid4().hex
     named = rows.withColumn("batch", F.lit(batch))
     named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "batch").parquet(path)
 

@@ -203,16 +203,16 @@ def test_listing_goes_down_level_by_level(spark, tmp_path, write, rows, monkeypa
 
 
 def test_appends_can_be_repeated(spark, tmp_path, rows):
-    """A batch that is written again replaces itself, with or without a name; other batches and runs stay."""
+    """A batch that is written again under its name replaces itself; other batches and runs stay, and nameless ones add up."""
     schema = "run_id string, ts timestamp, tool string, sub_tool string, version string, path string, database string"
 
     def log(*tools):
         return spark.createDataFrame([("r" + t[-1], dt.datetime(2025, 1, 1), t, None, "1", "/p", "db") for t in tools], schema)
 
     path = f"{tmp_path}/log"
-    for table, batch in ((log("a1", "b2"), None), (log("a1", "b2").repartition(3), None), (log("c1"), None), (log("d1"), "x"), (log("e1"), "x"), (log("f2"), "x")):
+    for table, batch in ((log("a1", "b2"), "a"), (log("a1", "b2").repartition(3), "a"), (log("c1"), None), (log("c1"), None), (log("d1"), "x"), (log("e1"), "x"), (log("f2"), "x")):
         sinks.append_versions(table, path, batch)
-    assert [r[0] for r in rows(sinks.read_versions(spark, path), "tool")] == ["a1", "b2", "c1", "e1", "f2"]
+    assert [r[0] for r in rows(sinks.read_versions(spark, path), "tool")] == ["a1", "b2", "c1", "c1", "e1", "f2"]
     assert sinks.read_versions(spark, path).columns == schema.replace(" string", "").replace(" timestamp", "").split(", ")
 
 
