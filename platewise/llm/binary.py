@@ -115,7 +115,7 @@ def pack_shards(
     docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 2048, separator: int | None = 0,
     pad: int = 0, dtype: str = "<u2", rows_per_shard: int = ROWS_PER_SHARD,
 ) -> DataFrame:
-    """Packed shards (schema ``SHARD``) of whole texts. ``dtype`` must hold every id; ``separator`` ends each document."""
+    """Packed shards (schema ``SHARD``) of whole texts. ``dtype`` must hold every id, one that it cannot hold is an error; ``separator`` ends each document."""
     short_batches(docs.sparkSession, TEXTS_PER_BATCH)
     schema = to_arrow_schema(T._parse_datatype_string(SHARD))
 
@@ -127,6 +127,8 @@ def pack_shards(
         task = TaskContext.get().partitionId()
         for batch in batches:
             ids, offsets = with_separator(*own.encode(batch.column(1)), separator)
+            if len(ids) and int(ids.max()) > np.iinfo(dtype).max:
+                raise ValueError(f"token id {int(ids.max())} does not fit {dtype}")
             ids = ids.astype(dtype)
             numbers = batch.column(0).to_pylist()
             for document, piece, start, n in zip(*(x.tolist() for x in cut(np.diff(offsets), capacity))):

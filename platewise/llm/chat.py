@@ -55,6 +55,16 @@ class Turn:
     fields: tuple[str, ...]
 
 
+def as_text(value) -> str:
+    """A value as text: text itself, nothing as empty, anything else as JSON."""
+    return value if isinstance(value, str) else "" if value is None else json.dumps(value, ensure_ascii=False)
+
+
+def sound(text: str) -> str:
+    """Text without halves of surrogate pairs, which JSON may name and no encoding can hold; each becomes U+FFFD."""
+    return text if text.isascii() else text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
 @dataclass(frozen=True)
 class Layout:
     """How records of one shape become turns: fixed turns, or a list of messages, or one row that is one turn."""
@@ -79,15 +89,13 @@ class Layout:
 
     def apply(self, record: dict) -> list[tuple[int | None, str, str]]:
         if self.messages is None and self.turns:
-            texts = [(t.role, "\n\n".join(str(record[f]) for f in t.fields if record.get(f))) for t in self.turns]
+            texts = [(t.role, "\n\n".join(as_text(record[f]) for f in t.fields if record.get(f))) for t in self.turns]
             return [(k, role, text) for k, (role, text) in enumerate(texts) if text or role != "system"]
         items = record[self.messages] if self.messages else [record]
         found = []
         for k, item in enumerate(items):
-            role = item.get(self.role) or ""
-            text = item.get(self.text)
-            place = item.get(self.position) if self.position else k
-            found.append((place, self.roles.get(role, role), text if isinstance(text, str) else "" if text is None else json.dumps(text, ensure_ascii=False)))
+            role, place = as_text(item.get(self.role)), item.get(self.position) if self.position else k
+            found.append((place if type(place) is int and abs(place) < 1 << 63 else None, self.roles.get(role, role), as_text(item.get(self.text))))
         return found
 
 
@@ -125,11 +133,11 @@ def canonical_turns(records: DataFrame, record: str = "record", layouts: tuple[L
             for text in batch:
                 try:
                     value = json.loads(text) if text is not None else None
-                except ValueError:
-                    value = None
-                key = fingerprint(value) if isinstance(value, dict) else None
+                    key = fingerprint(value) if isinstance(value, dict) else None
+                except (ValueError, RecursionError):  # no JSON, or nested too deep to be any layout
+                    value = key = None
                 layout = known.get(key)
-                turns = [{"position": p, "role": r, "text": t} for p, r, t in layout.apply(value)] if layout else []
+                turns = [{"position": p, "role": sound(r), "text": sound(t)} for p, r, t in layout.apply(value)] if layout else []
                 rows.append((key, layout and layout.name, turns))
             yield pd.DataFrame(rows, columns=["fingerprint", "layout", "turns"])
 
@@ -180,10 +188,13 @@ FORMATTED = "formatted string, mask array<struct<begin:bigint,end:bigint>>"
 
 
 def format_turns(turns: DataFrame, template: Template = Template(), conv_id: str = "conv_id", learn: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """Rows (conv_id, formatted, mask): each conversation's text and the spans of the texts of the roles in ``learn``."""
-    known = turns.filter(F.col("position").isNotNull() | F.col("role").isNotNull() | F.col("text").isNotNull())
+    """Rows (conv_id, formatted, mask): each conversation's text and the spans of the texts of the roles in ``learn``.
+
+    Rows without a turn (records of unknown layout) add nothing; a conversation of such rows only has an empty text.
+    """
+    known = F.col("position").isNotNull() | F.col("role").isNotNull() | F.col("text").isNotNull()
     one = F.struct(F.col("position").isNull().alias("last"), F.col("position"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    gathered = known.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    gathered = turns.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(F.when(known, one))).alias("turns"))
 
     @F.pandas_udf("struct<formatted:string,mask:array<struct<begin:bigint,end:bigint>>>")
     def written(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
