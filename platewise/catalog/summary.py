@@ -11,7 +11,7 @@ from platewise.operators import taxa
 from platewise.operators.summary import fastqc_fails
 from platewise.plans.qc_summary import qc_summary
 from platewise.plans.species_calls import species_calls
-from platewise.session import shared_path
+from platewise.session import broadcast_if_small, shared_path
 from platewise.sources.multiqc import read_multiqc_json
 from platewise.sources.text import samples_from_table
 
@@ -181,16 +181,27 @@ JSON_DOC = (
 )
 
 
+#: Entries of a section of one report file, about.
+JSON_ENTRIES = 2_000
+
+
 def _json_tables(spark, sf_dir):
-    """One report file per run, read back."""
+    """The report files of every run, read back: a run of many events has several, each with all sections.
+
+    Files are dealt by event, so an event that comes twice is twice in one file.
+    """
     path = shared_path(spark, "metrics")
     event, k = F.col("event_id").cast("string"), F.get_json_object("props", "$.k")
     values = [F.concat(F.lit("e"), event), event, k, F.col("event_type")]
-    parts = st.load(spark, sf_dir, "events").select(
-        st.run_of("user_id").alias("run_id"), *(F.format_string(form, *values).alias(name) for name, form in JSON_PARTS.items()))
-    joined = parts.groupBy("run_id").agg(*(F.array_join(F.collect_list(name), ", ").alias(name) for name in JSON_PARTS))
-    joined.select("run_id", F.format_string(JSON_DOC, *JSON_PARTS).alias("value")).write.partitionBy("run_id").text(path)
-    return read_multiqc_json(spark, f"{path}/*/*.txt", run_pattern="run_id=([^/]+)/")
+    events = st.load(spark, sf_dir, "events").withColumn("run_id", st.run_of("user_id"))
+    files = events.groupBy(F.col("run_id").alias("_run")).agg(F.ceil(F.count("*") / JSON_ENTRIES).alias("_files"))
+    dealt = events.join(broadcast_if_small(files), F.col("run_id").eqNullSafe(F.col("_run")))
+    parts = dealt.select(
+        "run_id", F.pmod(F.xxhash64("event_id"), F.col("_files")).alias("file"),
+        *(F.format_string(form, *values).alias(name) for name, form in JSON_PARTS.items()))
+    joined = parts.repartition("run_id", "file").groupBy("run_id", "file").agg(*(F.array_join(F.collect_list(name), ", ").alias(name) for name in JSON_PARTS))
+    joined.select("run_id", "file", F.format_string(JSON_DOC, *JSON_PARTS).alias("value")).write.partitionBy("run_id", "file").text(path)
+    return read_multiqc_json(spark, f"{path}/*/*/*.txt", run_pattern="run_id=([^/]+)/")
 
 
 @query("q34_json_sections", f"""WITH e AS (

@@ -1,4 +1,4 @@
-"""The metrics report: one JSON object per run, four sections of which are read."""
+"""The metrics report: one JSON object per file, one or more files per run; four sections are read."""
 
 from __future__ import annotations
 
@@ -51,7 +51,10 @@ def parse_metrics(docs: DataFrame) -> dict[str, DataFrame]:
 def read_multiqc_json(
     spark: SparkSession, path: str | list[str], run_pattern: str = r"([^/]+)/[^/]+/[^/]+/[^/]+$"
 ) -> dict[str, DataFrame]:
-    """Metrics reports, one JSON file per run, as the tables of :func:`parse_metrics`."""
+    """Metrics reports, JSON files of one or more per run, as the tables of :func:`parse_metrics`.
+
+    A file is one JSON object and parsed whole, so a task needs memory for the files it reads, however many a run has.
+    """
     docs = spark.read.text(path, wholetext=True).select(
         F.regexp_extract(file_path(), run_pattern, 1).alias("run_id"), "value"
     )

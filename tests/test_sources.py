@@ -231,6 +231,21 @@ def test_metrics_report(spark, tmp_path, write, rows):
     assert ("r1", "S1_processed_R1", "basic_statistics", "pass") in rows(tables["fastqc_status"])
 
 
+def test_metrics_reports_of_a_run_are_bounded(spark, tmp_path, rows, monkeypatch):
+    """A run of many events has several report files, each of bounded size, and the rows of all; a run that is null keeps its own."""
+    from platewise.catalog import summary
+
+    data = [(n, None if n % 50 == 0 else n % 2, "view", f'{{"k": {n % 7}}}') for n in range(900)]
+    spark.createDataFrame(data, "event_id long, user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(summary, "JSON_ENTRIES", 50)
+    monkeypatch.setattr(summary, "shared_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = summary._json_tables(spark, str(tmp_path))["trim_stats"]
+    assert [tuple(r) for r in rows(found, "metric_key", "surviving_pct")] == sorted((f"e{n}", float(n % 7)) for n in range(900))
+    files = list(tmp_path.glob("metrics/run_id=run1/*/*.txt"))
+    assert len(files) == 9 and max(f.read_text().count("surviving_pct") for f in files) <= 100
+    assert {r["run_id"] for r in found.collect()} == {"run0", "run1", "__HIVE_DEFAULT_PARTITION__"}
+
+
 def test_metrics_report_without_a_section(spark, tmp_path, write):
     write(f"{tmp_path}/r1/a/b/m.json", '{"report_general_stats_data": [{}], "report_saved_raw_data": {"multiqc_kraken": {}}}')
     tables = read_multiqc_json(spark, f"{tmp_path}/r1/a/b/m.json")
