@@ -11,7 +11,7 @@ from platewise.functions.text import (
     base_name, expand_entries, expand_template, has_wildcard, parent_dir, parse_skip_list,
 )
 from platewise.operators.globs import glob_match
-from platewise.session import bucketed, checkpointed
+from platewise.session import broadcast_if_small, bucketed, checkpointed
 
 STATUSES = ["skipped", "skipped_missing_input", "completed", "allowed_failure", "failed"]
 
@@ -49,6 +49,11 @@ def _settings(runs: DataFrame) -> DataFrame:
     return runs.withColumn("settings", F.coalesce(values, F.array().cast(_VALUES)))
 
 
+def _of_run(samples: DataFrame, runs: DataFrame) -> DataFrame:
+    """``samples`` with what their run says. Runs are counted and few: the samples of a run are not gathered for it."""
+    return samples.select("run_id", "sample_ord", "sample_id").join(broadcast_if_small(_settings(runs)), "run_id")
+
+
 def _path(pattern: Column, extra: dict[str, Column] | None = None) -> Column:
     """The pattern with all its names replaced, in one pass of three steps, so that a value may hold names of a later step.
 
@@ -69,16 +74,15 @@ def expected_manifest(samples: DataFrame, tools: DataFrame, runs: DataFrame) ->
     """Every output the tools should leave: one row per sample and per-sample output, one per batch output.
 
     The tool definitions enter as one array that each row explodes, so the size is samples times tools
-    without a join; run settings come by run id. ``runs`` may have a map ``settings`` and ``tools`` a map ``tool_values`` of names
+    without a join; run settings come by run id, broadcast if the runs are few. ``runs`` may have a map ``settings`` and ``tools`` a map ``tool_values`` of names
     that paths can use.
     """
     out = ["run_id", "tool_ord", "tool", "execution_mode", "sample_ord", "sample_id", "path"]
     per_sample = tools.where(F.col("sample_output_pattern").isNotNull())
     batch = tools.where(F.col("output_pattern").isNotNull())
     sample_rows = (
-        samples.withColumn("t", F.explode(_tool_array(per_sample, "sample_output_pattern")))
-        .select("run_id", "sample_ord", "sample_id", "t.*")
-        .join(_settings(runs), "run_id")
+        _of_run(samples, runs).withColumn("t", F.explode(_tool_array(per_sample, "sample_output_pattern")))
+        .select("*", "t.*")
         .withColumn("path", _path(F.col("sample_output_pattern"), {"sample_id": F.col("sample_id")}))
     )
     batch_rows = (
@@ -121,9 +125,8 @@ def required_inputs(samples: DataFrame, tools: DataFrame, runs: DataFrame, artif
     """Missing inputs: one row per (run, tool, sample) and required path, or glob, that no artifact fits."""
     needing = tools.where(F.size(F.coalesce("required", F.array().cast("array<string>"))) > 0)
     rows = (
-        samples.withColumn("t", F.explode(_tool_array(needing, "required")))
-        .select("run_id", "sample_ord", "sample_id", "t.*")
-        .join(_settings(runs), "run_id")
+        _of_run(samples, runs).withColumn("t", F.explode(_tool_array(needing, "required")))
+        .select("*", "t.*")
         .withColumn("pattern", F.explode("required"))
         .withColumn("path", _path(F.col("pattern"), {"sample_id": F.col("sample_id")}))
         .where((F.col("execution_mode") != "batch") | F.col("pattern").contains("{sample_id}"))

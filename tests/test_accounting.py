@@ -178,3 +178,19 @@ def test_versions(spark, tmp_path, rows):
     ]
     newest = {(r.tool, r.sub_tool): r.version for r in acc.latest_versions(log).collect()}
     assert newest == {("trim", None): "2", ("qc", None): "2", ("trim", "gzip"): "1.13"}
+
+
+def test_samples_are_not_gathered_by_run(spark):
+    """The settings of counted, few runs come to the samples, whatever the size estimates say."""
+    samples = spark.range(1000).selectExpr("'r1' AS run_id", "id AS sample_ord", "CAST(id AS STRING) AS sample_id")
+    tools = spark.createDataFrame([(1, "trim", "per_sample", 2, "{rundir}/{sample_id}.fq", None, ["{input_dir}/{sample_id}.raw"], None)], schemas.TOOLS)
+    runs = spark.createDataFrame([("r1", "/run", "/in", "/scripts")], "run_id string, rundir string, input_dir string, script_dir string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        manifest = acc.expected_manifest(samples, tools, runs)
+        plan = manifest._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert manifest.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
