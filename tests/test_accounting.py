@@ -182,9 +182,9 @@ def test_versions(spark, tmp_path, rows):
 
 def test_samples_are_not_gathered_by_run(spark):
     """The settings of counted, few runs come to the samples, whatever the size estimates say."""
-    samples = spark.range(1000).selectExpr("'r1' AS run_id", "id AS sample_ord", "CAST(id AS STRING) AS sample_id")
+    samples = spark.range(1000).selectExpr("concat('r', id % 2) AS run_id", "id AS sample_ord", "CAST(id AS STRING) AS sample_id")
     tools = spark.createDataFrame([(1, "trim", "per_sample", 2, "{rundir}/{sample_id}.fq", None, ["{input_dir}/{sample_id}.raw"], None)], schemas.TOOLS)
-    runs = spark.createDataFrame([("r1", "/run", "/in", "/scripts")], "run_id string, rundir string, input_dir string, script_dir string")
+    runs = spark.createDataFrame([(r, "/run", "/in", "/scripts") for r in ("r0", "r1")], "run_id string, rundir string, input_dir string, script_dir string")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
