@@ -24,15 +24,19 @@ def per_sample(
 
     ``partial(key, rows)`` sees some of a sample's rows at a time and returns partial results (its key
     columns included) of the given schema; ``combine`` is a DataFrame aggregation that merges them.
-    Rows are handled where they are, at most about ``rows_at_once`` at a time: a sample that holds most
-    of the data is spread over all tasks and only partial results are shuffled.
+    Rows are dealt by sample and sorted by it, so that the calls grow with the samples and not with the rows, and handled at most about
+    ``rows_at_once`` at a time. Adaptive execution splits large partitions: a sample that holds most of the data is spread over tasks.
     """
     keys = keys or ["run_id", "sample_id"]
 
     def results(waiting: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Results of equal types go out as one frame."""
         if waiting:
-            for key, rows in pd.concat(waiting).groupby(keys, sort=False, dropna=False):
-                yield partial(key, rows)
+            found = (partial(key, rows) for key, rows in pd.concat(waiting).groupby(keys, sort=False, dropna=False))
+            for _, alike in groupby(found, lambda frame: (tuple(frame.columns), tuple(frame.dtypes))):
+                frame = pd.concat(alike)
+                # Arrow-backed columns are in chunks now, which Spark does not take
+                yield frame.astype({c: object for c, kind in frame.dtypes.items() if isinstance(kind, (pd.StringDtype, pd.ArrowDtype))})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: list[pd.DataFrame] = []
@@ -43,7 +47,7 @@ def per_sample(
                 waiting = []
         yield from results(waiting)
 
-    return combine(df.mapInPandas(run, schema))
+    return combine(df.hint("rebalance", *keys).sortWithinPartitions(*keys).mapInPandas(run, schema))
 
 
 def each_sample(

@@ -27,6 +27,22 @@ def test_per_sample_sees_every_row_once(spark, rows):
         assert rows(got) == sorted((*k, *v) for k, v in expected.items())
 
 
+def test_per_sample_calls_grow_with_the_samples(spark, rows):
+    """Rows of a sample that lie far apart meet in few calls; results whose types differ are not mixed up."""
+    def partial(key, part):
+        big = 2**53 + 1
+        return pd.DataFrame({"run_id": [key[0]], "sample_id": [key[1]], "n": [len(part)], "calls": [1], "big": [big if key[1] != "S7" else None]})
+
+    data = [("r", f"S{i % 300}") for i in range(6000)]
+    df = spark.createDataFrame(data, "run_id string, sample_id string").repartition(6)
+    schema = "run_id string, sample_id string, n bigint, calls bigint, big bigint"
+    got = hooks.per_sample(df, partial, schema, lambda parts: parts.groupBy("sample_id").agg(
+        F.sum("n").alias("n"), F.sum("calls").alias("calls"), F.max("big").alias("big"))).collect()
+    assert len(got) == 300 and {r["n"] for r in got} == {20}
+    assert {r["sample_id"]: r["big"] for r in got} == {s: None if s == "S7" else 2**53 + 1 for _, s in data}
+    assert sum(r["calls"] for r in got) <= 310
+
+
 @pytest.mark.parametrize("size", [1, 200, 4 << 20])
 def test_each_sample_streams_through_all_rows(spark, rows, size):
     """Medians from rows in order, one sample with most of them, nulls as keys, frames of bounded size."""
