@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 PHRED_OFFSET = 33
 BASES_AT_ONCE = 2_000_000
+#: Qualities of which windows are summed at once, about 40 bytes each.
+SCORES_AT_ONCE = 1 << 18
 SCORES = 94
 BASE_CLASSES = "ACGTN"
 
@@ -40,9 +42,9 @@ def _joined(strings: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return codes, starts
 
 
-def slices(lengths: pd.Series) -> Iterator[slice]:
-    """Row ranges that hold about ``BASES_AT_ONCE`` bases each, at least one row."""
-    part = lengths.cumsum().to_numpy() // BASES_AT_ONCE
+def slices(lengths: pd.Series, at_once: int | None = None) -> Iterator[slice]:
+    """Row ranges that hold about ``at_once`` bases each (``BASES_AT_ONCE`` if not given), at least one row."""
+    part = lengths.cumsum().to_numpy() // (at_once or BASES_AT_ONCE)
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
     return (slice(start, end) for start, end in zip(edges, edges[1:]))
 
@@ -60,6 +62,16 @@ def _first_failing(qualities: pd.Series, window: int, required: int) -> np.ndarr
     return np.where(first <= starts[1:] - window, first - starts[:-1], lengths)
 
 
+def _first_failing_of_one(quality: str, window: int, required: int) -> int:
+    """The same for one read of any length, in overlapping pieces up to the first failing window."""
+    for start in range(0, max(len(quality) - window + 1, 1), SCORES_AT_ONCE):
+        piece = quality[start:start + SCORES_AT_ONCE + window - 1]
+        first = int(_first_failing(pd.Series([piece]), window, required)[0])
+        if first < len(piece):
+            return start + first
+    return len(quality)
+
+
 def window_cut(quality: Column, window: int, required: int) -> Column:
     """Bases to keep: those before the start of the first window with a mean below ``required``.
 
@@ -70,8 +82,15 @@ def window_cut(quality: Column, window: int, required: int) -> Column:
     @F.pandas_udf("int")
     def cut(qualities: pd.Series) -> pd.Series:
         present = qualities.fillna("")
-        parts = [_first_failing(present.iloc[part], window, required) for part in slices(present.str.len())]
-        return pd.Series(np.concatenate([*parts, np.empty(0, np.int64)]))
+        found = np.empty(len(present), np.int64)
+        for part in slices(present.str.len(), SCORES_AT_ONCE):
+            rows = present.iloc[part]
+            short = rows.str.len() <= SCORES_AT_ONCE
+            if short.all():
+                found[part] = _first_failing(rows, window, required)
+            else:
+                found[part] = [_first_failing_of_one(quality, window, required) for quality in rows]
+        return pd.Series(found)
 
     return cut(quality)
 

@@ -9,23 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.session import shared_path
+from platewise.session import shared_path, short_batches  # noqa: F401
 
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows and bytes of one Arrow batch, whichever is reached first; a batch has at least one row.
-ROWS_PER_BATCH = 256
-BYTES_PER_BATCH = 4 << 20
-
-
-def short_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH, size: int = BYTES_PER_BATCH) -> None:
-    """Let Arrow batches of this session hold at most ``rows`` rows and ``size`` bytes: texts may be very long, rows alone bound nothing."""
-    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
-        key = f"spark.sql.execution.arrow.{key}"
-        text = spark.conf.get(key)
-        now = int(text) if text.lstrip("-").isdigit() else most + 1
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
 
 
 def free_name(taken: Iterable[str], base: str) -> str:

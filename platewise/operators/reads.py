@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from platewise import reference_values as ref
 from platewise.functions import sequence as sq
-from platewise.session import broadcast_if_small, checkpointed
+from platewise.session import broadcast_if_small, checkpointed, short_batches
 
 SAMPLE_KEY = ["run_id", "sample_id"]
 SEED_LENGTH = 16
+#: Qualities that one task's Python worker gets at once; their bytes are bounded by ``short_batches``.
+ROWS_AT_ONCE = 500
 
 
 def union_lanes(lanes: list[DataFrame]) -> DataFrame:
@@ -65,6 +67,7 @@ def trim_reads(
     in proportion to its length. The length limit is not applied again afterwards. Adapters are a short list
     of sequences; an empty one is an error.
     """
+    short_batches(reads.sparkSession, ROWS_AT_ONCE)
     p = dict(
         leading=leading, trailing=trailing, window=window, required=required,
         min_length=min_length, mismatches=mismatches,

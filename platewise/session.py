@@ -1,4 +1,4 @@
-"""Session settings, shared-folder materialisation and the size-checked broadcast."""
+"""Session settings, shared-folder materialisation, the size-checked broadcast and batch sizes."""
 
 from __future__ import annotations
 
@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows and bytes of one Arrow batch, whichever is reached first; a batch has at least one row.
+ROWS_PER_BATCH = 256
+BYTES_PER_BATCH = 4 << 20
+
 
 def get_session(app_name: str = "platewise", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume; extra ``conf`` wins."""
@@ -96,3 +100,13 @@ def spread_if_few(df: DataFrame, *columns: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
+def short_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH, size: int = BYTES_PER_BATCH) -> None:
+    """Let Arrow batches of this session hold at most ``rows`` rows and ``size`` bytes: texts may be very long, rows alone bound nothing."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        text = spark.conf.get(key)
+        now = int(text) if text.lstrip("-").isdigit() else most + 1
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))

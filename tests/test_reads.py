@@ -197,3 +197,35 @@ def test_cells_counted_or_sorted_are_the_same(copies):
     for s, q, g in zip(seqs, quals, groups.tolist()):
         wanted.update((g, (i * 5 + "ACGTN".index(b.upper())) * 94 + ord(c) - 33) for i, (b, c) in enumerate(zip(s, q)))
     assert got == wanted
+
+
+def test_trimming_bounds_the_bytes_of_a_batch(spark):
+    """Long qualities go to Python in batches of bounded bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        data = [("r", "S", "", str(n), "A" * 50_000, "I" * 50_000, "C" * 10, "I" * 10) for n in range(300)]
+        reads = spark.createDataFrame(data, "run_id string, sample_id string, lane string, read_id string, seq1 string, qual1 string, seq2 string, qual2 string")
+        trimmed = rd.trim_reads(reads)
+        assert 0 < int(spark.conf.get(key)) <= 4 << 20
+        assert trimmed.where("length(seq1) = 50000 AND survivor = 'unpaired_r1'").count() == 300
+    finally:
+        spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_window_cut_in_pieces(spark, monkeypatch, size):
+    """Reads longer than what is summed at once, and empty and short ones, are cut as before."""
+    draw = random.Random(size)
+    quals = ["".join(chr(33 + draw.choice((5, 20, 20, 30))) for _ in range(n)) for n in (0, 1, 3, 4, 5, 9, 30, 39, 40, 41, 100)] + ["I" * 90, None]
+
+    def expected(q):
+        fails = [k for k in range(len(q) - 3) if sum(ord(c) - 33 for c in q[k:k + 4]) < 80]
+        return fails[0] if fails else len(q)
+
+    monkeypatch.setattr(sequence, "SCORES_AT_ONCE", size)
+    for q in quals:
+        assert sequence._first_failing_of_one(q or "", 4, 20) == expected(q or "")
+    frame = spark.createDataFrame(list(enumerate(quals)), "n int, q string")
+    assert {r["n"]: r["k"] for r in frame.select("n", sequence.window_cut(F.col("q"), 4, 20).alias("k")).collect()} == {n: expected(q or "") for n, q in enumerate(quals)}
