@@ -16,7 +16,7 @@ from platewise.session import shared_path
 from platewise.sources.artifacts import concat_lanes, discover_samples, list_artifacts
 from platewise.sources.fastq import read_fastq_pairs, write_fastq_pairs
 from platewise.sources.sinks import (
-    append_resource_usage, append_versions, read_resource_usage, read_versions, versions_as_text, write_qc_summary, write_top_hits,
+    append_resource_usage, append_versions, read_resource_usage, read_top_hits, read_versions, versions_as_text, write_qc_summary, write_top_hits,
 )
 from platewise.sources.text import (
     merge_species_calls, ordered_lines, read_genome_sizes, read_renames, read_report_lines, read_samples,
@@ -197,5 +197,4 @@ def q50(spark, sf_dir):
     """Top hits written as the files of samples and read back."""
     path = shared_path(spark, "top-hits")
     write_top_hits(top_hits(st.report_lines(spark, sf_dir)), path)
-    schema = schemas.table(**{c: schemas.STR for c in schemas.TOP_HITS.names if c not in ("run_id", "sample_id", "hit_ord")}, run_id=schemas.STR, sample_id=schemas.STR)
-    return spark.read.options(header=True).schema(schema).csv(path)
+    return read_top_hits(spark, path)

@@ -336,3 +336,30 @@ def test_top_hit_files(spark, tmp_path):
     assert file.read_text().splitlines() == [
         "Percentage,Count_Clade,Count_Taxon,TaxRank,TaxID,Organism", "50.00,500,10,Genus,570,Klebsiella"
     ]
+
+
+def test_top_hit_files_of_odd_keys_and_texts(spark, tmp_path, rows):
+    """Tasks put the files in place: directories and lines are as Spark writes and reads them, and a second write replaces the first."""
+    keys = [("r1", "S1"), ("r1", "S 1+%=/x"), ("run:'2'", "é{[a]}^"), (None, "S1"), ("r1", ""), ("r1", None)]
+    texts = ["plain", 'a "b", c\\', "", None, "x;y", "#1"]
+    data = [(*key, n, "50.00", "5", None, "Genus", "570", text) for key in keys for n, text in enumerate(texts)]
+    schema = "run_id string, sample_id string, hit_ord int, Percentage string, Count_Clade string, Count_Taxon string, TaxRank string, TaxID string, Organism string"
+    hits, path = spark.createDataFrame(data, schema), f"{tmp_path}/hits"
+    write_top_hits(hits.limit(2).withColumn("run_id", F.lit("old")), path)
+    write_top_hits(hits, path)
+    assert len(list(tmp_path.glob("hits/*/*/*.csv"))) == 5  # an empty key is a null one
+    assert not list(tmp_path.glob("hits/run_id=old"))
+    draft = tmp_path / "hits/run_id=r1/sample_id=S1/.part-00000.csv.7"  # left by a task that was ended
+    draft.write_text("half a li")
+    got = sinks.read_top_hits(spark, path)
+    plain = spark.read.options(header=True).schema(got.schema).csv(path)
+    assert got.columns == plain.columns
+    assert rows(got) == rows(plain)
+    assert got.count() == len(data)
+    assert [r.Organism for r in got.where("sample_id = 'S 1+%=/x'").collect()][0] == "plain"
+
+
+def test_top_hit_files_of_no_rows(spark, tmp_path):
+    schema = "run_id string, sample_id string, hit_ord int, Percentage string, Count_Clade string, Count_Taxon string, TaxRank string, TaxID string, Organism string"
+    write_top_hits(spark.createDataFrame([], schema), f"{tmp_path}/hits")
+    assert sinks.read_top_hits(spark, f"{tmp_path}/hits").collect() == []
