@@ -7,6 +7,7 @@ import random
 import pytest
 
 from platewise.sources import fastq
+from platewise.sources.artifacts import list_artifacts
 from platewise.sources.fastq import bgzf_block, read_fastq_pairs, write_fastq_pairs
 
 SCHEMA = "run_id string, sample_id string, lane string, read_id string, seq1 string, qual1 string, seq2 string, qual2 string"
@@ -142,3 +143,12 @@ def test_written_files_are_blocked(spark, tmp_path):
     back = read_fastq_pairs(spark, f"{tmp_path}/out", run_id="run", split_bytes=20_000)
     assert sorted((r[1], *r[3:]) for r in back.collect()) == sorted((r[1], *r[3:]) for r in rows)
     assert back.rdd.getNumPartitions() > 12
+
+
+def test_line_counts_are_spread(spark, files):
+    """Cuts are few small rows with much work: adaptive execution must not put them into one task."""
+    named = list_artifacts(spark, files[0]).selectExpr("'/' AS root", "path", "length")
+    cuts = fastq.file_cuts(named, 1000)
+    plan = cuts._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+    assert cuts.groupBy("path").agg({"n_lines": "max"}).count() == 12
