@@ -50,3 +50,28 @@ def test_repeated_ids_lose_no_text(spark):
     rows = [(1, one), (1, one), (1, two), (2, "quite another text of its own with some words"), (None, one), (None, one)]
     kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("1", one), ("1", two), ("2", rows[3][1]), ("None", one), ("None", one)])
+
+
+def test_idf_falls_with_every_document():
+    weight = [neardup.idf_weight(10_000, df) for df in (1, 2, 50, 100, 1000, 3333, 10_000)]
+    assert weight[0] == 1 and all(a > b for a, b in zip(weight, weight[1:]))
+
+
+def test_idf_decides_a_pair(spark):
+    """Two pairs alike but for how common their shared shingles are, each shingle in less than a third of all documents."""
+    def words(name, n):
+        return [f"{name}{k}" for k in range(n)]
+
+    def pair(first, shared, name):
+        # 45 of 45 + 2 * 5 shingles are shared: 0.82 if all weigh the same.
+        return [(first, " ".join(shared + words(f"{name}a", 5))), (first + 1, " ".join(shared + words(f"{name}b", 5)))]
+
+    common, rare = words("common", 49), words("rare", 49)
+    texts = pair(0, rare, "r") + pair(2, common, "c")
+    texts += [(10 + k, " ".join(common + words(f"long{k}x", 400))) for k in range(20)] + [(100 + k, " ".join(words(f"other{k}x", 30))) for k in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert found[0] == found[1] == 0
+    assert found[2] == 2 and found[3] == 3
+    weights, n = neardup.common_shingles(docs)
+    assert n == 104 and len(weights) == 45 + 45 and set(weights.values()) == {neardup.idf_weight(104, 22), neardup.idf_weight(104, 2)}
