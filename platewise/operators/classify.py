@@ -18,12 +18,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from platewise.session import broadcast_if_small, checkpointed, has_at_most
+from platewise.session import broadcast_if_small, checkpointed, has_at_most, short_batches
 
 SAMPLE_KEY = ["run_id", "sample_id"]
 STRIDES = (16_384, 1_024, 64)
 #: Bases of a minimizer, k-mers of a run at most, and characters that are cut at once.
 MINIMIZER, RUN_KMERS, AT_ONCE = 10, 64, 1 << 20
+#: Characters that are hashed at once where all k-mers of reads are looked up; arrays of so many numbers stay in a core's cache.
+HASHED_AT_ONCE = 1 << 16
+#: Odd factor of the hashes of k-mers.
+FACTOR = 0x9E3779B97F4A7C15
 #: Taxa whose numbers may be broadcast, three numbers each.
 MAX_TAXA = 2_000_000
 
@@ -99,6 +103,24 @@ def numbered(rows: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return joined.withColumn(columns[0], first)
 
 
+def _parts(texts: list[str], k: int, at_once: int) -> Iterator[tuple[list[int], list[str]]]:
+    """Row numbers and texts of about ``at_once`` characters; long texts come in pieces that overlap by k - 1."""
+    owners, pieces, size = [], [], 0
+    for owner, text in enumerate(texts):
+        if not text or len(text) < k:
+            continue
+        for start in range(0, len(text) - k + 1, at_once):
+            piece = text[start:start + at_once + k - 1]
+            owners.append(owner)
+            pieces.append(piece)
+            size += len(piece)
+            if size >= at_once:
+                yield owners, pieces
+                owners, pieces, size = [], [], 0
+    if pieces:
+        yield owners, pieces
+
+
 def super_kmers(rows: DataFrame, column: str, k: int, m: int = MINIMIZER) -> DataFrame:
     """The other columns of ``rows`` with ``minimizer, run``: runs that together hold every k-mer of ``column`` exactly once.
 
@@ -110,26 +132,9 @@ def super_kmers(rows: DataFrame, column: str, k: int, m: int = MINIMIZER) -> Dat
     schema = T.StructType([*rows.select(*keys).schema, T.StructField("minimizer", T.LongType()), T.StructField("run", T.StringType())])
     at_once, longest = AT_ONCE, RUN_KMERS
 
-    def parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
-        """Row numbers and texts of about ``at_once`` characters; long texts come in pieces that overlap by k - 1."""
-        owners, pieces, size = [], [], 0
-        for owner, text in enumerate(texts):
-            if not text or len(text) < k:
-                continue
-            for start in range(0, len(text) - k + 1, at_once):
-                piece = text[start:start + at_once + k - 1]
-                owners.append(owner)
-                pieces.append(piece)
-                size += len(piece)
-                if size >= at_once:
-                    yield owners, pieces
-                    owners, pieces, size = [], [], 0
-        if pieces:
-            yield owners, pieces
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for owners, pieces in parts(batch.column(len(keys)).to_pylist()):
+            for owners, pieces in _parts(batch.column(len(keys)).to_pylist(), k, at_once):
                 whole = "".join(pieces)
                 codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
                 piece = np.repeat(np.arange(len(pieces)), [len(x) for x in pieces])
@@ -168,10 +173,10 @@ def super_kmers(rows: DataFrame, column: str, k: int, m: int = MINIMIZER) -> Dat
     return rows.select(*keys, column).mapInArrow(cut, schema)
 
 
-def _of_runs(rows: DataFrame, k: int) -> DataFrame:
+def _of_runs(rows: DataFrame, k: int, run: str = "run") -> DataFrame:
     """One row per k-mer of ``run``."""
-    at = F.explode(F.sequence(F.lit(1), F.length("run") - (k - 1)))
-    return rows.withColumn("_at", at).withColumn("kmer", F.substr("run", F.col("_at"), F.lit(k))).drop("run", "_at")
+    at = F.explode(F.sequence(F.lit(1), F.length(run) - (k - 1)))
+    return rows.withColumn("_at", at).withColumn("kmer", F.substr(run, F.col("_at"), F.lit(k))).drop(run, "_at")
 
 
 def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
@@ -196,9 +201,85 @@ def kmer_index(references: DataFrame, taxonomy: DataFrame, k: int) -> DataFrame:
     return bounds.join(broadcast_if_small(pairs, MAX_TAXA), ["low", "high"]).select("kmer", "taxid")
 
 
-def _read_kmers(reads: DataFrame, seqs: Sequence[str], keys: Sequence[str], k: int) -> DataFrame:
-    """k-mers of all sequences of a read, each sequence for itself: none spans two mates."""
-    return kmers(reads.select(*keys, F.explode(F.array(*seqs)).alias("seq")), "seq", k)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ``FACTOR`` from the first on and those of its inverse from the zeroth on, modulo 2 ** 64."""
+    ups = np.cumprod(np.full(size, FACTOR, np.uint64))
+    downs = np.full(size, pow(FACTOR, -1, 1 << 64), np.uint64)
+    downs[0] = 1
+    return ups, np.cumprod(downs)
+
+
+def _hashes(text: str, k: int, ups: np.ndarray, downs: np.ndarray) -> np.ndarray:
+    """A hash of every k-mer of ``text``: its characters times rising powers, taken from a running sum, so it costs the same for any k."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(codes * ups[:len(codes)], out=sums[1:])
+    return (sums[k:] - sums[:-k]) * downs[:len(codes) - k + 1]
+
+
+def _index_hashes(index: DataFrame, k: int) -> np.ndarray:
+    """The hashes of the k-mers of an index that may be broadcast, sorted: 8 bytes for each."""
+    at_once = HASHED_AT_ONCE
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ups, downs = _powers(2 * at_once + k)
+        for batch in batches:
+            for _, pieces in _parts(batch.column(0).to_pylist(), k, at_once):
+                starts = np.cumsum([0, *(len(x) for x in pieces[:-1])])
+                found = _hashes("".join(pieces), k, ups, downs)[starts]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+
+    exact = index.where(F.length("kmer") == k).select("kmer")
+    return np.unique(exact.mapInArrow(hashed, "hash bigint").toArrow()["hash"].to_numpy().view(np.uint64))
+
+
+def likely_runs(rows: DataFrame, column: str, k: int, index: DataFrame) -> DataFrame:
+    """The other columns of ``rows`` with ``_run``: runs that together hold every k-mer of ``column`` that ``index`` has, each exactly once.
+
+    Most k-mers of reads are in no reference. Tasks hash all k-mers of a read as arrays and let go of those with hashes that the index does not have, so
+    only the rest become rows. Different k-mers may share a hash: what is left has to be joined with the index. Runs have at most ``RUN_KMERS`` k-mers.
+    """
+    keys = [c for c in rows.columns if c != column]
+    schema = T.StructType([*rows.select(*keys).schema, T.StructField("_run", T.StringType())])
+    at_once, longest = HASHED_AT_ONCE, RUN_KMERS
+    shared = rows.sparkSession.sparkContext.broadcast(_index_hashes(index, k))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        ups, downs = _powers(2 * at_once + k)
+        # The first bits of a hash name a slot, about 16 for each k-mer of the index; few hashes pass it and are searched for.
+        bits = len(known).bit_length() + 4
+        shift = np.uint64(64 - bits)
+        slots = np.zeros(1 << bits, bool)
+        slots[known >> shift] = True
+        for batch in batches:
+            # bytes that are no text end no job
+            texts = [x and x.decode("utf-8", "replace") for x in batch.column(len(keys)).to_pylist()]
+            for owners, pieces in _parts(texts, k, at_once):
+                whole = "".join(pieces)
+                hashes = _hashes(whole, k, ups, downs)
+                at = np.flatnonzero(slots[(hashes >> shift).view(np.int64)])
+                # k-mers across two pieces are none
+                ends = np.cumsum([len(x) for x in pieces])
+                piece = np.searchsorted(ends, at, side="right")
+                inside = at + k <= ends[piece]
+                at, piece = at[inside], piece[inside]
+                place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+                there = known[place] == hashes[at]
+                at, piece = at[there], piece[there]
+                if not len(at):
+                    continue
+                new = np.ones(len(at), bool)
+                new[1:] = (np.diff(at) != 1) | (np.diff(piece) != 0)
+                begin = np.maximum.accumulate(np.where(new, at, 0))
+                starts = np.flatnonzero(new | ((at - begin) % longest == 0))
+                last = np.append(starts[1:], len(at)) - 1
+                runs = [whole[a:b + k] for a, b in zip(at[starts].tolist(), at[last].tolist())]
+                of = pa.array(np.array(owners)[piece[starts]])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in range(len(keys))), pa.array(runs, pa.string())], names=[*keys, "_run"])
+
+    short_batches(rows.sparkSession)
+    return rows.select(*keys, F.col(column).cast("binary").alias(column)).mapInArrow(cut, schema)
 
 
 def _hot_minimizers(read_runs: DataFrame, fraction: float, limit: int, at_least: int) -> DataFrame:
@@ -237,15 +318,18 @@ def kmer_match(
     The hits of all sequences of a row are summed, so a pair is classified as one read; a missing mate adds none.
 
     A k-mer occurs once in the index, so a read k-mer meets at most one row. The index is stored; one of at
-    most ``max_broadcast`` rows is broadcast and reads are not shuffled before their hits are counted.
+    most ``max_broadcast`` rows is broadcast and reads are not shuffled before their hits are counted. Its hashes go
+    ahead of it, and only k-mers of reads with such a hash become rows (``likely_runs``).
     Beyond it both sides are shuffled by minimizer as runs of k-mers, with the hottest minimizers salted.
     """
     keys = keys or [*SAMPLE_KEY, "read_id"]
     stored = checkpointed(index.select("kmer", "taxid"))
+    # each sequence for itself: no k-mer spans two mates
+    single = reads.select(*keys, F.explode(F.array(*seqs)).alias("seq"))
     if has_at_most(stored, max_broadcast):
-        matched = _read_kmers(reads, seqs, keys, k).join(F.broadcast(stored), "kmer")
+        matched = _of_runs(likely_runs(single, "seq", k, stored), k, "_run").join(F.broadcast(stored), "kmer")
     else:
-        runs = super_kmers(reads.select(*keys, F.explode(F.array(*seqs)).alias("seq")), "seq", k)
+        runs = super_kmers(single, "seq", k)
         matched = _met(runs, stored, _hot_minimizers(runs, sample, hot_limit, hot_count), keys, k, salts)
     return matched.groupBy(*keys, "taxid").agg(F.count("*").alias("hits"))
 

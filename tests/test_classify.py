@@ -200,3 +200,46 @@ def test_runs_hold_every_kmer_once(spark, monkeypatch, k, m, at_once, longest):
             minimizers.setdefault(r.run[i:i + k], set()).add(r.minimizer)
     assert got == Counter((n, t[i:i + k]) for n, t in enumerate(texts) for i in range(len(t or "") - k + 1))
     assert all(len(x) == 1 for x in minimizers.values())
+
+
+@pytest.mark.parametrize("k,at_once,longest", [(8, 1 << 16, 64), (8, 30, 3), (21, 7, 64), (1, 3, 2)])
+def test_only_kmers_of_the_index_become_rows(spark, monkeypatch, k, at_once, longest):
+    monkeypatch.setattr(cl, "HASHED_AT_ONCE", at_once)
+    monkeypatch.setattr(cl, "RUN_KMERS", longest)
+    draw = random.Random(10)
+    reference = "".join(draw.choices("ACGT", k=300)) + "é日🙂" * 10 + "G" * 40
+    known = {reference[i:i + k] for i in range(len(reference) - k + 1)}
+    extra = [(1, "A" * (k + 1)), (1, "C" * (k - 1)), (1, None)]
+    index = spark.createDataFrame([(1, x) for x in sorted(known)] + extra, "taxid int, kmer string")
+    texts = [None, "", "ACG", "G" * 300, reference, "x" + reference[50:90] + "y" + reference[91:130], "".join(draw.choices("acgtné🙂", k=20_000)), reference[:k - 1], reference[k - 1:]]
+    df = spark.createDataFrame([(n, None if n == 4 else f"t{n}", t) for n, t in enumerate(texts)], "id int, tag string, seq string").repartition(2)
+    got = Counter()
+    for r in cl.likely_runs(df, "seq", k, index).collect():
+        assert r.tag == (None if r.id == 4 else f"t{r.id}") and k <= len(r._run) <= longest + k - 1
+        got.update((r.id, r._run[i:i + k]) for i in range(len(r._run) - k + 1))
+    assert got == Counter((n, t[i:i + k]) for n, t in enumerate(texts) for i in range(len(t or "") - k + 1) if t[i:i + k] in known)
+
+
+def test_equal_hashes_are_no_hits(spark, taxonomy, genomes, rows, monkeypatch):
+    """Every hash the same: all k-mers of the reads get through, the index still decides."""
+    index = cl.kmer_index(spark.createDataFrame(list(genomes.items()), "taxid bigint, seq string"), taxonomy, K)
+    reads = [("r", None if n == 1 else "S", f"x{n}", t) for n, t in enumerate([genomes[100][:200], "N" * 100 + genomes[110][5:50], "é" * 70, None, "ACG"])]
+    df = spark.createDataFrame(reads + reads[:1], "run_id string, sample_id string, read_id string, seq string")
+    hits = rows(cl.kmer_match(df, index, K))
+    expected = brute_index(genomes)
+    found = Counter((s, n, expected[t[i:i + K]]) for _, s, n, t in reads + reads[:1] for i in range(len(t or "") - K + 1) if t[i:i + K] in expected)
+    assert {(s, n, t): c for _, s, n, t, c in hits} == found
+    empty = index.where("false")
+    assert cl.kmer_match(df, empty, K).count() == 0
+    whole = cl._hashes
+    monkeypatch.setattr(cl, "_hashes", lambda text, k, ups, downs: whole(text, k, ups, downs) * 0)
+    runs = cl.likely_runs(df.select("read_id", "seq"), "seq", K, index).collect()
+    assert sum(len(r._run) - K + 1 for r in runs) == sum(max(0, len(t or "") - K + 1) for *_, t in reads + reads[:1])
+    assert rows(cl.kmer_match(df, index, K)) == hits
+
+
+def test_reads_of_broken_text(spark, taxonomy, genomes):
+    index = cl.kmer_index(spark.createDataFrame(list(genomes.items()), "taxid bigint, seq string"), taxonomy, K)
+    df = spark.createDataFrame([("x", bytearray(b"\xff\xfe" + genomes[100][:50].encode() + b"\xf0"))], "read_id string, seq binary")
+    hits = cl.kmer_match(df.selectExpr("read_id", "cast(seq as string) as seq"), index, K, keys=["read_id"])
+    assert sum(r.hits for r in hits.collect()) == 50 - K + 1
